@@ -6,21 +6,40 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.sql import types as T
 
+_TEXTS = T.ArrayType(T.StringType())
+
+
+def _struct(**columns: str | T.DataType) -> T.StructType:
+    schema = T.StructType()
+    for name, data_type in columns.items():
+        schema.add(name, data_type)
+    return schema
+
+
 # --- messages -----------------------------------------------------------------
 
-FEED_MESSAGE = T.StructType.fromDDL(
-    "type STRING, msg STRING, "
-    "data ARRAY<STRUCT<s: STRING, p: DOUBLE, v: DOUBLE, t: BIGINT, c: ARRAY<STRING>>>"
+FEED_MESSAGE = _struct(
+    type="string",
+    msg="string",
+    data=T.ArrayType(_struct(s="string", p="double", v="double", t="long", c=_TEXTS)),
 )
 
-TRADE = T.StructType.fromDDL(
-    "symbol STRING, exchange STRING, base_currency STRING, quote_currency STRING, "
-    "price DOUBLE, volume DOUBLE, timestamp_ms BIGINT, conditions ARRAY<STRING>, "
-    "ingestion_timestamp_ms BIGINT"
+TRADE = _struct(
+    symbol="string",
+    exchange="string",
+    base_currency="string",
+    quote_currency="string",
+    price="double",
+    volume="double",
+    timestamp_ms="long",
+    conditions=_TEXTS,
+    ingestion_timestamp_ms="long",
 )
 
-PRODUCER_METADATA = T.StructType.fromDDL(
-    "producer_id STRING, kafka_topic STRING, schema_version STRING"
+PRODUCER_METADATA = _struct(
+    producer_id="string",
+    kafka_topic="string",
+    schema_version="string",
 )
 
 ENVELOPE = (
@@ -30,9 +49,14 @@ ENVELOPE = (
     .add("producer_metadata", PRODUCER_METADATA)
 )
 
-KAFKA_RECORD = T.StructType.fromDDL(
-    "key BINARY, value BINARY, topic STRING, partition INT, offset BIGINT, "
-    "timestamp TIMESTAMP, timestampType INT"
+KAFKA_RECORD = _struct(
+    key="binary",
+    value="binary",
+    topic="string",
+    partition="integer",
+    offset="long",
+    timestamp="timestamp",
+    timestampType="integer",
 )
 
 _AVRO_TYPES = {"string": "string", "double": "double", "bigint": "long", "int": "int"}
@@ -85,9 +109,9 @@ class TableSpec:
             raise ValueError("give either a table name or a path")
         return replace(self, name=name, path=path, **changes)
 
-    def with_columns(self, ddl: str) -> TableSpec:
-        """The same table with columns appended."""
-        extra = T.StructType.fromDDL(ddl)
+    def with_columns(self, **columns: str) -> TableSpec:
+        """The same table with columns (name=type) appended."""
+        extra = _struct(**columns)
         return replace(self, schema=T.StructType(self.schema.fields + extra.fields))
 
     @property
@@ -122,23 +146,42 @@ _ZSTD_PROPERTIES = {
 }
 
 BRONZE_TRADES = TableSpec(
-    schema=T.StructType.fromDDL(
-        "symbol STRING, exchange STRING, base_currency STRING, quote_currency STRING, "
-        "price DOUBLE, volume DOUBLE, trade_datetime TIMESTAMP, trade_date DATE, "
-        "timestamp_ms BIGINT, conditions ARRAY<STRING>, ingestion_timestamp_ms BIGINT, "
-        "message_type STRING, producer_id STRING, kafka_topic STRING, schema_version STRING, "
-        "kafka_partition INT, kafka_offset BIGINT, bronze_ingestion_timestamp TIMESTAMP, "
-        "trade_index INT"
+    schema=_struct(
+        symbol="string",
+        exchange="string",
+        base_currency="string",
+        quote_currency="string",
+        price="double",
+        volume="double",
+        trade_datetime="timestamp",
+        trade_date="date",
+        timestamp_ms="long",
+        conditions=_TEXTS,
+        ingestion_timestamp_ms="long",
+        message_type="string",
+        producer_id="string",
+        kafka_topic="string",
+        schema_version="string",
+        kafka_partition="integer",
+        kafka_offset="long",
+        bronze_ingestion_timestamp="timestamp",
+        trade_index="integer",
     ),
     partition_by=("trade_date", "exchange"),
     write_options={"compression": "zstd", "maxRecordsPerFile": "5000000"},
 )
 
 RAW_LANDING = TableSpec(
-    schema=T.StructType.fromDDL(
-        "kafka_topic STRING, kafka_partition INT, kafka_offset BIGINT, kafka_timestamp TIMESTAMP, "
-        "kafka_key STRING, raw_value STRING, raw_value_bytes_len INT, "
-        "bronze_ingestion_ts TIMESTAMP, ingestion_date DATE"
+    schema=_struct(
+        kafka_topic="string",
+        kafka_partition="integer",
+        kafka_offset="long",
+        kafka_timestamp="timestamp",
+        kafka_key="string",
+        raw_value="string",
+        raw_value_bytes_len="integer",
+        bronze_ingestion_ts="timestamp",
+        ingestion_date="date",
     ),
     partition_by=("ingestion_date",),
     write_options={"compression": "snappy"},
@@ -146,16 +189,35 @@ RAW_LANDING = TableSpec(
 )
 
 SILVER_TRADES = TableSpec(
-    schema=T.StructType.fromDDL(
-        "trade_id STRING, symbol STRING, exchange STRING, base_currency STRING, "
-        "quote_currency STRING, price DOUBLE, volume DOUBLE, trade_value DOUBLE, "
-        "trade_datetime TIMESTAMP, trade_date DATE, timestamp_ms BIGINT, hour_of_day INT, "
-        "day_of_week INT, is_buy BOOLEAN, is_sell BOOLEAN, is_maker BOOLEAN, is_taker BOOLEAN, "
-        "trade_side STRING, conditions ARRAY<STRING>, is_valid BOOLEAN, "
-        "validation_errors ARRAY<STRING>, data_quality_score DOUBLE, source_system STRING, "
-        "bronze_table STRING, bronze_ingestion_timestamp TIMESTAMP, "
-        "silver_ingestion_timestamp TIMESTAMP, silver_ingestion_date DATE, "
-        "transformation_version STRING"
+    schema=_struct(
+        trade_id="string",
+        symbol="string",
+        exchange="string",
+        base_currency="string",
+        quote_currency="string",
+        price="double",
+        volume="double",
+        trade_value="double",
+        trade_datetime="timestamp",
+        trade_date="date",
+        timestamp_ms="long",
+        hour_of_day="integer",
+        day_of_week="integer",
+        is_buy="boolean",
+        is_sell="boolean",
+        is_maker="boolean",
+        is_taker="boolean",
+        trade_side="string",
+        conditions=_TEXTS,
+        is_valid="boolean",
+        validation_errors=_TEXTS,
+        data_quality_score="double",
+        source_system="string",
+        bronze_table="string",
+        bronze_ingestion_timestamp="timestamp",
+        silver_ingestion_timestamp="timestamp",
+        silver_ingestion_date="date",
+        transformation_version="string",
     ),
     partition_by=("trade_date", "exchange"),
     sort_by=("base_currency", "quote_currency", "trade_datetime DESC"),
@@ -164,16 +226,30 @@ SILVER_TRADES = TableSpec(
 )
 
 # Silver rows that keep the source key, so that a reload can recognise them.
-SOURCE_KEY_DDL = "kafka_topic STRING, kafka_partition INT, kafka_offset BIGINT, trade_index INT"
-SILVER_TRADES_KEYED = SILVER_TRADES.with_columns(SOURCE_KEY_DDL)
+SILVER_TRADES_KEYED = SILVER_TRADES.with_columns(
+    kafka_topic="string", kafka_partition="integer", kafka_offset="long", trade_index="integer"
+)
 
 CANDLES = TableSpec(
-    schema=T.StructType.fromDDL(
-        "symbol STRING, exchange STRING, base_currency STRING, quote_currency STRING, "
-        "hour_start TIMESTAMP, hour_end TIMESTAMP, open_price DOUBLE, high_price DOUBLE, "
-        "low_price DOUBLE, close_price DOUBLE, total_volume DOUBLE, trade_count BIGINT, "
-        "avg_price DOUBLE, vwap DOUBLE, price_change DOUBLE, price_change_pct DOUBLE, "
-        "agg_date DATE, silver_ingestion_timestamp TIMESTAMP"
+    schema=_struct(
+        symbol="string",
+        exchange="string",
+        base_currency="string",
+        quote_currency="string",
+        hour_start="timestamp",
+        hour_end="timestamp",
+        open_price="double",
+        high_price="double",
+        low_price="double",
+        close_price="double",
+        total_volume="double",
+        trade_count="long",
+        avg_price="double",
+        vwap="double",
+        price_change="double",
+        price_change_pct="double",
+        agg_date="date",
+        silver_ingestion_timestamp="timestamp",
     ),
     partition_by=("agg_date", "exchange"),
     sort_by=("symbol", "hour_start"),

@@ -101,7 +101,7 @@ def append_epoch(df: DataFrame, spec: TableSpec, epoch_id: int) -> None:
 
 def with_epoch(spec: TableSpec) -> TableSpec:
     """The table with the partition column :func:`append_epoch` needs."""
-    widened = spec.with_columns(f"{EPOCH_COLUMN} BIGINT")
+    widened = spec.with_columns(**{EPOCH_COLUMN: "long"})
     return replace(widened, partition_by=(*spec.partition_by, EPOCH_COLUMN))
 
 
