@@ -1,0 +1,112 @@
+"""Physical plans: what would hurt at scale must not appear."""
+
+import re
+
+import pytest
+
+import __spark_entry__ as entry_points
+from tradelake import schemas
+from tradelake.operators import candles, listing, picks, reports, scans, silver
+from tradelake.plans import medallion
+from tradelake.sinks import tables
+from workload import views as V
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def stored(spark, sf_dir):
+    """Bronze as it is stored: partitioned by date and exchange."""
+    from tradelake.session import scratch_dir
+
+    spec = schemas.BRONZE_TRADES.at(path=scratch_dir(spark, "plans"))
+    tables.append(V.bronze(spark, sf_dir), spec)
+    return spec
+
+
+STATEFUL = re.compile("streaming|idempotent|replay|rerun|poll|land_|settled|trades_by_date")
+
+
+@pytest.mark.parametrize("name", [n for n in entry_points.queries() if not STATEFUL.search(n)])
+def test_no_python_and_no_cross_join(spark, sf_dir, name):
+    text = plan(entry_points.queries()[name](spark, sf_dir))
+    for bad in ("EvalPython", "MapInPandas", "MapInArrow", "CartesianProduct", "BroadcastNestedLoopJoin", "ExistingRDD"):
+        assert bad not in text
+
+
+def test_candles_shuffle_once_in_a_hash_aggregate(spark, stored):
+    text = plan(candles.candles(scans.scan_trades(tables.read_table(spark, stored))))
+    assert text.count("Exchange") == 1
+    assert "SortAggregate" not in text and text.count("HashAggregate") == 2
+    assert "Window" not in text
+
+
+def test_candles_read_only_their_columns(spark, stored):
+    text = plan(candles.candles(tables.read_table(spark, stored)))
+    schema = re.search(r"ReadSchema: struct<(.*)", text).group(1)
+    assert "producer_id" not in schema and "conditions" not in schema
+
+
+def test_silver_needs_no_shuffle(spark, stored):
+    assert "Exchange" not in plan(silver.silver_trades(tables.read_table(spark, stored)))
+
+
+def test_date_range_prunes_partitions(spark, stored):
+    text = plan(scans.scan_date_range(tables.read_table(spark, stored), "2024-01-10", "2024-01-12"))
+    filters = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", text).group(1)
+    assert ">= 2024-01-10" in filters and "< 2024-01-12" in filters
+
+
+def test_exchange_filter_prunes_partitions(spark, stored):
+    text = plan(tables.read_table(spark, stored).where("exchange = 'view'"))
+    assert "exchange" in re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", text).group(1)
+
+
+def test_incremental_bound_reaches_the_scan(spark, stored):
+    text = plan(scans.scan_incremental(tables.read_table(spark, stored), 1705000000000000))
+    assert "GreaterThan(bronze_ingestion_timestamp" in text
+
+
+def test_touched_partitions_prune(spark, stored):
+    table = tables.read_table(spark, stored)
+    batch = scans.scan_date_range(table, "2024-01-10")
+    text = plan(tables.touched_partitions(table, batch, stored.partition_by))
+    assert re.search(r"PartitionFilters: \[struct\(trade_date.* IN(SET)? ", text)
+
+
+@pytest.mark.parametrize("pick", [picks.first_trades, picks.last_trades, picks.dedupe_trades])
+def test_picks_limit_groups_before_the_shuffle(spark, stored, pick):
+    text = plan(pick(tables.read_table(spark, stored)))
+    assert "WindowGroupLimit" in text and "Partial" in text
+    assert text.count("Exchange") == 1
+
+
+def test_feed_text_is_parsed_once(spark, sf_dir):
+    messages = V.feed(spark, sf_dir)
+    text = plan(medallion.feed_to_records(messages, "p", "t"))
+    assert text.count("from_json") == 1
+    trades = medallion.records_to_bronze(V.document_records(spark, sf_dir))
+    assert plan(trades).count("from_json") == 1
+
+
+def test_quality_report_does_not_multiply_rows(spark, stored):
+    text = plan(reports.quality_report(silver.silver_trades(tables.read_table(spark, stored))))
+    assert "Generate" not in text and text.count("Exchange") == 1
+
+
+def test_listing_is_broadcast_only_by_size(spark, sf_dir):
+    trades, listed = V.stock_trades(spark, sf_dir), V.listed_symbols(spark, sf_dir)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for check in (listing.known_symbols, listing.unknown_symbols):
+            assert "SortMergeJoin" in plan(check(trades, listed))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_latest_candles_is_a_top_k(spark, stored):
+    text = plan(reports.latest_candles(candles.candles(tables.read_table(spark, stored))))
+    assert "TakeOrderedAndProject" in text

@@ -1,0 +1,189 @@
+"""Streams give what the batch gives; restarts add nothing; late data is known."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tradelake import schemas
+from tradelake.operators import candles, silver
+from tradelake.sinks import tables
+from tradelake.sources import files
+from tradelake.streaming import jobs, metrics
+
+T0, MINUTE, HOUR = 1704067200000, 60000, 3600000
+
+
+def _file(rows, path):
+    rows.coalesce(1).write.mode("append").parquet(path)
+
+
+def _stream(spark, path, schema=None, **options):
+    return files.stream_files(spark, path, schema or schemas.BRONZE_TRADES.schema, **options)
+
+
+def _clock():
+    return F.timestamp_millis(F.lit(T0))
+
+
+def _rows(df):
+    return sorted(map(str, df.collect()))
+
+
+def test_silver_stream_equals_batch_and_resumes(spark, folder, bronze_rows):
+    source, checkpoint = folder("in"), folder("checkpoint")
+    target = tables.with_epoch(schemas.SILVER_TRADES).at(path=folder("out"))
+    tables.ensure_table(spark, target)
+    first, second = bronze_rows({}, {"price": -1.0}), bronze_rows({"kafka_offset": 5, "exchange": ""})
+
+    def run():
+        stream = jobs.silver_stream(_stream(spark, source), clock=_clock())
+        jobs.stream_to_table(stream, target, checkpoint).awaitTermination()
+        return tables.read_table(spark, target).drop(tables.EPOCH_COLUMN)
+
+    _file(first, source)
+    assert _rows(run()) == _rows(silver.silver_trades(first, clock=_clock()))
+    # a restart with nothing new adds nothing; new files are picked up once
+    assert run().count() == 2
+    _file(second, source)
+    both = silver.silver_trades(first.unionByName(second), clock=_clock())
+    assert _rows(run()) == _rows(both)
+
+
+def test_bounded_micro_batches(spark, folder, bronze_rows):
+    source = folder("in")
+    for i in range(3):
+        _file(bronze_rows({"kafka_offset": i}), source)
+    seen = []
+    stream = _stream(spark, source, max_files_per_trigger=1)
+    jobs.write_stream(stream, lambda b, e: seen.append((e, b.count())), folder("c")).awaitTermination()
+    assert seen == [(0, 1), (1, 1), (2, 1)]
+
+
+def test_writes_run_with_adaptive_execution(spark, folder, bronze_rows):
+    source, seen = folder("in"), []
+    _file(bronze_rows({}), source)
+
+    def write(batch, _):
+        seen.append(batch.sparkSession.conf.get("spark.sql.adaptive.enabled"))
+
+    jobs.write_stream(_stream(spark, source), write, folder("c"), output_mode="update").awaitTermination()
+    assert seen == ["true"]
+
+
+def test_candle_stream(spark, folder, bronze_rows):
+    """On time, late within the delay, beyond it, and the event that closes an hour."""
+    jobs.stream_settings(spark)
+    source, checkpoint = folder("in"), folder("checkpoint")
+    target = tables.with_epoch(schemas.CANDLES).at(path=folder("out"))
+    tables.ensure_table(spark, target)
+
+    def run(*rows):
+        _file(bronze_rows(*rows), source)
+        stream = jobs.candle_stream(_stream(spark, source), "10 minutes", clock=_clock())
+        jobs.stream_to_table(stream, target, checkpoint).awaitTermination()
+        found = tables.read_table(spark, target).orderBy("hour_start").collect()
+        return [(r["open_price"], r["close_price"], r["trade_count"]) for r in found]
+
+    on_time = {"price": 2.0, "timestamp_ms": T0 + 30 * MINUTE}
+    assert run(on_time, {"price": 3.0, "timestamp_ms": T0 + 59 * MINUTE}) == []
+    late = {"price": 1.0, "timestamp_ms": T0 + 29 * MINUTE, "kafka_offset": 10}
+    assert run(late, {"price": 9.0, "timestamp_ms": T0 + HOUR + 5 * MINUTE, "kafka_offset": 11}) == []
+    closing = {"price": 9.0, "timestamp_ms": T0 + HOUR + 30 * MINUTE, "kafka_offset": 12}
+    assert run(closing) == [(1.0, 3.0, 3)]
+    too_late = {"price": 7.0, "timestamp_ms": T0 + MINUTE, "kafka_offset": 13}
+    assert run(too_late) == [(1.0, 3.0, 3)]
+    # the batch job over whole days counts the late trade
+    whole = spark.read.schema(schemas.BRONZE_TRADES.schema).parquet(source)
+    first = candles.candles(whole).orderBy("hour_start").first()
+    assert (first["open_price"], first["trade_count"]) == (7.0, 4)
+
+
+@pytest.mark.parametrize("immediate", [False, True])
+def test_dedupe_stream(spark, folder, bronze_rows, immediate):
+    jobs.stream_settings(spark)
+    source, checkpoint, out = folder("in"), folder("checkpoint"), folder("out")
+    target = tables.with_epoch(schemas.BRONZE_TRADES).at(path=out)
+    tables.ensure_table(spark, target)
+
+    def run(*rows):
+        _file(bronze_rows(*rows), source)
+        stream = jobs.dedupe_stream(_stream(spark, source), immediate=immediate)
+        jobs.stream_to_table(stream, target, checkpoint).awaitTermination()
+
+    copies = [{"kafka_offset": 1}, {"kafka_offset": 1}, {"kafka_offset": 1, "trade_index": 1}]
+    run(*copies)
+    run(*copies, {"kafka_offset": 2, "timestamp_ms": T0 + HOUR})
+    run(*copies)
+    stored = tables.read_table(spark, target).select("kafka_offset", "trade_index")
+    expected = [(1, 0), (1, 1)] + ([(2, 0)] if immediate else [])
+    assert sorted(tuple(r) for r in stored.collect()) == expected
+
+
+def test_quarantine_stream(spark, folder):
+    path = folder("records")
+    rows = [(None, bytearray(b"{"), "t", 0, 1, None, 0), (None, None, "t", 0, 2, None, 0)]
+    _file(spark.createDataFrame(rows, schemas.KAFKA_RECORD), path)
+    seen = []
+    stream = jobs.quarantine_stream(files.stream_records(spark, path))
+    jobs.write_stream(stream, lambda b, _: seen.extend(b.collect()), folder("c")).awaitTermination()
+    assert sorted(r["decode_error"] for r in seen) == ["undecodable", "value_null"]
+
+
+def test_poll_table(spark, folder, bronze_rows):
+    """Rows inside the overlap are scanned again and not stored again."""
+    source = schemas.BRONZE_TRADES.at(path=folder("bronze"))
+    target = schemas.SILVER_TRADES_KEYED.at(path=folder("silver"))
+    tables.ensure_table(spark, target)
+    ticks_path, checkpoint = folder("ticks"), folder("checkpoint")
+
+    def tick():
+        spark.range(1).write.mode("append").parquet(ticks_path)
+        ticks = _stream(spark, ticks_path, spark.range(1).schema)
+        jobs.poll_table(spark, ticks, source, target, checkpoint, None, clock=_clock()).awaitTermination()
+        return tables.read_table(spark, target).count()
+
+    tables.append(bronze_rows({}, {}), source)
+    assert tick() == 2
+    assert tick() == 2
+    tables.append(bronze_rows({"kafka_offset": 9}), source)
+    assert tick() == 3
+
+
+def test_rate_ticks(spark, folder):
+    ticks = files.tick_source(spark)
+    assert ticks.isStreaming
+    seen = []
+    query = jobs.write_stream(ticks, lambda _, e: seen.append(e), folder("c"), interval="1 second")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert seen
+
+
+def test_metrics(spark, folder, bronze_rows):
+    source = folder("in")
+    _file(bronze_rows({}, {"timestamp_ms": T0 + 5}), source)
+    listener = metrics.watch(spark)
+    try:
+        rows = metrics.observed(_stream(spark, source), "bronze", at="trade_datetime")
+        query = jobs.write_stream(rows, lambda b, _: b.count(), folder("c"), name="counted")
+        query.awaitTermination()
+        for _ in range(50):
+            if "bronze" in listener.latest.get("counted", {}):
+                break
+            import time
+
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    got = listener.latest["counted"]
+    assert got["bronze"]["row_count"] == 2 and got["bronze"]["min_ts"] < got["bronze"]["max_ts"]
+
+
+def test_settings(spark):
+    jobs.stream_settings(spark, empty_batches=False, rocksdb=False)
+    assert spark.conf.get(jobs.EMPTY_BATCHES) == "false"
+    jobs.stream_settings(spark)
+    assert spark.conf.get(jobs.EMPTY_BATCHES) == "true"
+    assert jobs.trigger() == {"availableNow": True}
+    assert jobs.trigger("10 seconds") == {"processingTime": "10 seconds"}

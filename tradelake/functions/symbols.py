@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,19 +20,60 @@ def is_crypto_symbol(symbol: Column) -> Column:
     return F.contains(symbol, F.lit(":")) & _prefix(symbol).isin(*C.CRYPTO_EXCHANGES)
 
 
-def split_pair(pair: Column, legacy_order: bool = False) -> tuple[Column, Column]:
-    """(base, quote) of a pair such as ``BTCUSDT``; both null when no suffix fits.
+def _quote(text: Column, legacy_order: bool) -> Column:
+    """The currency an upper-case pair ends with.
 
-    A longer fiat suffix wins over a shorter one (BUSD before USD).
-    ``legacy_order`` tries the list as written instead, so that USD hides BUSD.
+    A longer suffix wins over a shorter one inside it (BUSD over USD);
+    ``legacy_order`` tests the list as written, where USD comes first.
     """
     fiat = C.FIAT_QUOTES if legacy_order else sorted(C.FIAT_QUOTES, key=len, reverse=True)
+    suffixes = (*fiat, *C.CRYPTO_QUOTES)
+    return F.coalesce(*[F.when(F.endswith(text, F.lit(x)), F.lit(x)) for x in suffixes])
+
+
+def _base(text: Column, quote: Column) -> Column:
+    return F.left(text, F.length(text) - F.length(quote))
+
+
+def split_pair(pair: Column, legacy_order: bool = False) -> tuple[Column, Column]:
+    """(base, quote) of a pair such as ``BTCUSDT``; both null when no suffix fits."""
     text = F.upper(pair)
-    quote = F.lit(None).cast("string")
-    for suffix in reversed((*fiat, *C.CRYPTO_QUOTES)):
-        quote = F.when(F.endswith(text, F.lit(suffix)), F.lit(suffix)).otherwise(quote)
-    base = F.left(text, F.length(text) - F.length(quote))
-    return base, quote
+    quote = _quote(text, legacy_order)
+    return _base(text, quote), quote
+
+
+# Parsing in three steps.  Over a column they fold into one expression; over an
+# array each runs as a pass of its own, as lambda bodies share no subexpressions.
+
+
+def _separate(symbol: Column) -> Column:
+    """Exchange and pair, both null unless the exchange is a known one."""
+    crypto = is_crypto_symbol(symbol)
+    pair = F.substr(symbol, F.instr(symbol, ":") + 1)
+    return F.struct(
+        symbol.alias("symbol"),
+        F.when(crypto, _prefix(symbol)).alias("exchange"),
+        F.when(crypto, F.upper(pair)).alias("pair"),
+    )
+
+
+def _quoted(parts: Column, legacy_order: bool = False) -> Column:
+    fields = [parts[n].alias(n) for n in ("symbol", "exchange", "pair")]
+    return F.struct(*fields, _quote(parts["pair"], legacy_order).alias("quote"))
+
+
+def _parsed(parts: Column) -> Column:
+    symbol, exchange, quote = parts["symbol"], parts["exchange"], parts["quote"]
+    stock = ~F.contains(symbol, F.lit(":"))
+    return F.struct(
+        exchange.alias("exchange"),
+        F.when(stock, symbol).otherwise(_base(parts["pair"], quote)).alias("base_currency"),
+        quote.alias("quote_currency"),
+        F.when(exchange.isNotNull(), "crypto")
+        .when(stock, "stock")
+        .otherwise("unknown")
+        .alias("symbol_type"),
+    )
 
 
 def parse_symbol(symbol: Column, legacy_order: bool = False) -> Column:
@@ -39,16 +82,27 @@ def parse_symbol(symbol: Column, legacy_order: bool = False) -> Column:
     ``crypto``: known exchange before a colon.  ``stock``: no colon, the symbol
     itself is the base.  ``unknown``: any other exchange, or a null symbol.
     """
-    pair = F.substr(symbol, F.instr(symbol, ":") + 1)
-    base, quote = split_pair(pair, legacy_order)
-    crypto = is_crypto_symbol(symbol)
-    stock = ~F.contains(symbol, F.lit(":"))
-    return F.struct(
-        F.when(crypto, _prefix(symbol)).alias("exchange"),
-        F.when(crypto, base).when(stock, symbol).alias("base_currency"),
-        F.when(crypto, quote).alias("quote_currency"),
-        F.when(crypto, "crypto").when(stock, "stock").otherwise("unknown").alias("symbol_type"),
-    )
+    return _parsed(_quoted(_separate(symbol), legacy_order))
+
+
+def parse_symbols_of(elements: Column, symbol_of: Callable[[Column], Column]) -> Column:
+    """array<struct(element, symbol, parsed)> of an array of structs."""
+
+    def start(e: Column) -> Column:
+        return F.struct(e.alias("element"), _separate(symbol_of(e)).alias("parts"))
+
+    def quote(e: Column) -> Column:
+        return F.struct(e["element"].alias("element"), _quoted(e["parts"]).alias("parts"))
+
+    def finish(e: Column) -> Column:
+        parts = e["parts"]
+        return F.struct(
+            e["element"].alias("element"),
+            parts["symbol"].alias("symbol"),
+            _parsed(parts).alias("parsed"),
+        )
+
+    return F.transform(F.transform(F.transform(elements, start), quote), finish)
 
 
 def symbol_key(symbol: Column) -> Column:

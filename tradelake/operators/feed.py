@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradelake import constants as C
-from tradelake.functions.symbols import parse_symbol, symbol_key
+from tradelake.functions.symbols import parse_symbol, parse_symbols_of, symbol_key
 from tradelake.functions.times import now_ms
 from tradelake.operators.decode import envelope_avro_schema, parse_once
 from tradelake.schemas import FEED_MESSAGE, TRADE
@@ -54,10 +54,12 @@ def route_messages(messages: DataFrame, value_col: str = "value") -> DataFrame:
     ).drop("_feed")
 
 
-def _enriched(raw: Column, ingestion_ms: Column) -> Column:
-    """One feed element as a TRADE struct; absent fields take their defaults."""
-    symbol = F.coalesce(raw["s"], F.lit(""))
-    parsed = parse_symbol(symbol)
+def _symbol(raw: Column) -> Column:
+    return F.coalesce(raw["s"], F.lit(""))
+
+
+def _enriched(raw: Column, symbol: Column, parsed: Column, ingestion_ms: Column) -> Column:
+    """A feed element as a TRADE struct; absent fields take their defaults."""
     values = {
         "symbol": symbol,
         "exchange": F.coalesce(parsed["exchange"], F.lit("")),
@@ -79,9 +81,9 @@ def enrich_feed_trades(routed: DataFrame, ingestion_ms: Column | None = None) ->
     elements = routed.where(F.col("route") == "trades").select(
         *rest, F.posexplode("data").alias("trade_index", "_raw")
     )
-    return elements.select(*rest, "trade_index", _enriched(F.col("_raw"), clock).alias("_t")).select(
-        *rest, "trade_index", "_t.*"
-    )
+    raw = F.col("_raw")
+    trade = _enriched(raw, _symbol(raw), parse_symbol(_symbol(raw)), clock)
+    return elements.withColumn("_trade", trade).select(*rest, "trade_index", "_trade.*")
 
 
 def pack_envelope(
@@ -94,9 +96,13 @@ def pack_envelope(
     """Add ``envelope``, one per ``trades`` message.  The array is rebuilt in
     place, so no message is taken apart and grouped back together."""
     clock = now_ms() if ingestion_ms is None else ingestion_ms
+    trades = F.transform(
+        parse_symbols_of(F.col("data"), _symbol),
+        lambda e: _enriched(e["element"], e["symbol"], e["parsed"], clock),
+    )
     envelope = F.struct(
         F.col("message_type"),
-        F.transform("data", lambda raw: _enriched(raw, clock)).alias("trades"),
+        trades.alias("trades"),
         F.struct(
             F.lit(producer_id).alias("producer_id"),
             F.lit(topic).alias("kafka_topic"),

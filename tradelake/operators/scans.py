@@ -57,8 +57,19 @@ def scan_incremental(
     return df.where(F.col(ingested) > bound)
 
 
-def high_water_mark(target: DataFrame, ingested: str = "bronze_ingestion_timestamp") -> DataFrame:
-    """One row, ``max_ts``: null for an empty target."""
+def high_water_mark(
+    target: DataFrame,
+    ingested: str = "bronze_ingestion_timestamp",
+    since: dt.date | str | None = None,
+    date_col: str = "trade_date",
+) -> DataFrame:
+    """One row, ``max_ts``: null for an empty target.
+
+    ``since`` reads only partitions from that date on.  The mark may then be
+    older than the true one, which widens the overlap but skips nothing.
+    """
+    if since is not None:
+        target = target.where(F.col(date_col) >= F.lit(since).cast("date"))
     return target.agg(F.max(ingested).alias("max_ts"))
 
 

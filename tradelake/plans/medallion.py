@@ -69,6 +69,23 @@ def run_candle_batch(
     tables.overwrite_partitions(rows, target)
 
 
+def settle_days(
+    spark: SparkSession,
+    epochs: TableSpec,
+    settled: TableSpec,
+    start: dt.date | str,
+    end: dt.date | str | None = None,
+) -> None:
+    """Copy whole days of an epoch table into its settled table.
+
+    A stream leaves one small file per epoch and partition.  Here each day is
+    written again in full-size, sorted files; a rerun replaces the same days.
+    """
+    tables.ensure_table(spark, settled)
+    rows = scans.scan_date_range(tables.read_table(spark, epochs), start, end)
+    tables.overwrite_partitions(rows, settled)
+
+
 def daily_gold(spark: SparkSession, candle_table: TableSpec, symbol: str | None = None) -> DataFrame:
     """Daily summary over the stored candles."""
     return reports.daily_summary(tables.read_table(spark, candle_table), symbol)

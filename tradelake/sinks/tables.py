@@ -122,13 +122,14 @@ def insert_new(
     finds what the first try stored.  Only the keys of the touched partitions
     are read back.  Catalogs with MERGE do the same in one transaction.
     """
-    batch = dedupe_trades(_whole_names(df.select(*spec.schema.names), spec), keys, prefer)
+    rows = _whole_names(df.select(*spec.schema.names), spec)
+    batch = dedupe_trades(rows, keys, prefer)
     if spec.name is not None and spec.format in _MERGE_FORMATS:
         target = spec.name.rpartition(".")[2]
         same = _same(keys + spec.partition_by, lambda k: f"new.{k}", lambda k: f"{target}.{k}")
         batch.alias("new").mergeInto(spec.name, same).whenNotMatched().insertAll().merge()
         return
-    stored = touched_partitions(read_table(df.sparkSession, spec), batch, spec.partition_by)
+    stored = touched_partitions(read_table(df.sparkSession, spec), rows, spec.partition_by)
     stored = stored.select(*[F.col(k).alias(f"_{k}") for k in keys])
     same = _same(keys, lambda k: k, lambda k: f"_{k}")
     append(batch.join(stored, same, "left_anti"), spec)

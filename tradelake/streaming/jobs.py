@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -130,17 +131,26 @@ def poll_table(
     checkpoint: str,
     interval: str | None = SILVER_INTERVAL,
     buffer_seconds: int = C.OVERLAP_SECONDS,
+    recent_days: int = 3,
     **silver_options,
 ) -> StreamingQuery:
     """Silver from a bronze table that has no streaming read.
 
     Each tick scans what was ingested since the newest silver row, less an
-    overlap.  The overlap is stored already; ``insert_new`` skips it.
+    overlap.  The overlap is stored already; ``insert_new`` skips it.  The mark
+    is looked up in the last ``recent_days`` of trading, and in the whole table
+    only when those are empty.  Where the table can be streamed, prefer
+    :func:`silver_stream`: its checkpoint knows the new files without a scan.
     """
 
-    def refresh(_: DataFrame, __: int) -> None:
+    def newest() -> int | None:
         stored = tables.read_table(spark, target)
-        mark = scans.read_mark(scans.high_water_mark(stored))
+        since = dt.datetime.now(dt.timezone.utc).date() - dt.timedelta(days=recent_days)
+        recent = scans.read_mark(scans.high_water_mark(stored, since=since))
+        return scans.read_mark(scans.high_water_mark(stored)) if recent is None else recent
+
+    def refresh(_: DataFrame, __: int) -> None:
+        mark = newest()
         fresh = scans.scan_incremental(tables.read_table(spark, source), mark, buffer_seconds)
         rows = silver.silver_trades(fresh, keep=C.SOURCE_KEY, **silver_options)
         tables.insert_new(rows, target)

@@ -428,6 +428,8 @@ ORACLE: dict[str, str] = {
     "table_poll": _RELOADED,
     "epoch_replay": f"""{BRONZE} SELECT kafka_partition, kafka_offset, trade_index, symbol, {_r('price')} AS price,
        cast(CASE WHEN trade_date < DATE '{SAMPLE_START}' THEN 0 ELSE 1 END AS bigint) AS write_epoch FROM bronze""",
+    "settled_days": f"""{BRONZE} SELECT kafka_partition, kafka_offset, trade_index, symbol, {_r('price')} AS price
+       FROM bronze""",
     "candle_rerun": HOURLY + _CANDLE_SELECT,
     "streaming_bronze": f"WITH {ENRICHED}" + _BRONZE_SELECT,
     "streaming_silver": DIRTY_SILVER + _SILVER_SELECT,

@@ -42,14 +42,15 @@ SAMPLE_START, SAMPLE_END = "2024-01-10", "2024-01-20"
 SYMBOL = "VIEW:T1USDT"
 
 
-def query(fn: Query) -> Query:
-    """Register under the function's name; results in portable types."""
+def query(fn: Query, name: str | None = None) -> Query:
+    """Register under the function's (or a given) name; results in portable types."""
+    name = name or fn.__name__
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return V.portable(fn(configure(spark), sf_dir))
 
-    run.__name__, run.__doc__ = fn.__name__, fn.__doc__
-    QUERIES[fn.__name__] = run
+    run.__name__, run.__doc__ = name, fn.__doc__
+    QUERIES[name] = run
     return fn
 
 
@@ -292,12 +293,11 @@ def _flags(spark: SparkSession, sf_dir: str, match: str) -> DataFrame:
     return V.bronze(spark, sf_dir).select("kafka_offset", *[c.alias(n) for n, c in flags.items()])
 
 
-@query
-def trade_flags_exact(spark, sf_dir):
+def exact_flags(spark, sf_dir):
     return _flags(spark, sf_dir, "exact")
 
 
-QUERIES["trade_flags"] = QUERIES.pop("trade_flags_exact")
+query(exact_flags, "trade_flags")
 
 
 @query
@@ -445,6 +445,20 @@ def epoch_replay(spark, sf_dir):
     return tables.read_table(spark, target).select(*KEY, "symbol", "price", tables.EPOCH_COLUMN)
 
 
+@query
+def settled_days(spark, sf_dir):
+    """Two epochs of every day settled into full-size files, one range twice."""
+    rows = V.bronze(spark, sf_dir)
+    epochs = tables.with_epoch(schemas.BRONZE_TRADES).at(path=scratch_dir(spark, "epochs"))
+    settled = schemas.BRONZE_TRADES.at(path=scratch_dir(spark, "settled"))
+    morning = F.hour("trade_datetime") < 12
+    for epoch, part in enumerate((rows.where(morning), rows.where(~morning))):
+        tables.append_epoch(part, epochs, epoch)
+    medallion.settle_days(spark, epochs, settled, "2024-01-01", "2024-02-01")
+    medallion.settle_days(spark, epochs, settled, SAMPLE_START, SAMPLE_END)
+    return tables.read_table(spark, settled).select(*KEY, "symbol", "price")
+
+
 @query
 def candle_rerun(spark, sf_dir):
     """The candle job over a stored table: all days, then a range again."""
