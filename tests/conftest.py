@@ -14,12 +14,13 @@ def spark():
     session = build_session(
         "tests",
         master="local[8]",
-        shuffle_partitions=4,
+        shuffle_partitions=8,
         conf={
             "spark.driver.memory": "4g",
             "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tradelake-tests-"),
             "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tradelake-warehouse-"),
-            "spark.sql.sources.parallelPartitionDiscovery.parallelism": "8",
+            # Many tiny folders: let several tasks write them.
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
         },
     )
     session.sparkContext.setLogLevel("OFF")

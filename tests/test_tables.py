@@ -118,7 +118,7 @@ def test_files_are_sorted_and_a_hot_partition_is_split(spark, folder):
         "rand(1) AS price",
         "rand(2) AS volume",
         f"timestamp_millis({T0} + id) AS trade_datetime",
-        "date'2024-01-01' AS trade_date",
+        f"to_date(timestamp_millis({T0} + id)) AS trade_date",
         f"{T0} + id AS timestamp_ms",
         "cast(NULL AS array<string>) AS conditions",
         "id AS ingestion_timestamp_ms",

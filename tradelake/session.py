@@ -9,14 +9,12 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Runtime SQL settings every job relies on.  Time columns are UTC by contract,
-# arithmetic fails loudly, and partition sizes are left to adaptive execution.
+# arithmetic fails loudly, and adaptive execution sizes partitions and splits
+# skewed ones (its parts are on by default).
 SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
 

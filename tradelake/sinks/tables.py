@@ -100,9 +100,13 @@ def append_epoch(df: DataFrame, spec: TableSpec, epoch_id: int) -> None:
 
 
 def with_epoch(spec: TableSpec) -> TableSpec:
-    """The table with the partition column :func:`append_epoch` needs."""
+    """The table with the partition column :func:`append_epoch` needs.
+
+    Its files are small and short-lived, so they are left unsorted; settled
+    days are sorted when they are written again.
+    """
     widened = spec.with_columns(**{EPOCH_COLUMN: "long"})
-    return replace(widened, partition_by=(*spec.partition_by, EPOCH_COLUMN))
+    return replace(widened, partition_by=(*spec.partition_by, EPOCH_COLUMN), sort_by=())
 
 
 def overwrite_partitions(df: DataFrame, spec: TableSpec) -> None:
