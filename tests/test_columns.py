@@ -198,7 +198,12 @@ def test_packed_key_orders_like_its_columns(spark):
 def test_packed_key_fails_loudly_when_too_wide(spark):
     df = spark.createDataFrame([(0, 10000, 0, 0)], "ms long, kafka_partition int, kafka_offset long, trade_index int")
     key = identity.packed_order_key(F.col("ms"), ("kafka_partition", "kafka_offset", "trade_index"))
-    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
-        df.select(key).collect()
+    try:
+        for ansi in ("false", "true"):
+            spark.conf.set("spark.sql.ansi.enabled", ansi)
+            with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+                df.select(key).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
     with pytest.raises(ValueError):
         identity.packed_order_key(F.col("ms"), ("other",))

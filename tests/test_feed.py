@@ -64,7 +64,9 @@ def test_enrich_defaults_and_order(spark):
 
 
 def test_envelope_round_trip(spark):
-    records = medallion.feed_to_records(_messages(spark, [TWO, '{"type":"ping"}']), "me", "out", F.lit(5))
+    messages = _messages(spark, [TWO, '{"type":"ping"}'])
+    assert medallion.feed_to_records(messages, "me", "out").first()["key"] is None
+    records = medallion.feed_to_records(messages, "me", "out", F.lit(5), keyed=True)
     row = records.first()
     body = json.loads(bytes(row["value"]).decode())
     assert list(body) == ["message_type", "trades", "producer_metadata"]

@@ -27,8 +27,8 @@ def packed_order_key(ms_in_window: Column, tie_break: Sequence[str]) -> Column:
 
     ``min_by``/``max_by`` over a fixed-width key stay in a hash aggregate; over
     a struct they fall back to sorting every input row.  A value too wide for
-    its digits fails the cast under ANSI mode, it never reorders rows silently.
-    A null tie-break column sorts first.
+    its digits fails the job, with or without ANSI mode; it never reorders rows
+    silently.  A null tie-break column sorts first.
     """
     unknown = set(tie_break) - set(_DIGITS)
     if unknown:
@@ -38,7 +38,8 @@ def packed_order_key(ms_in_window: Column, tie_break: Sequence[str]) -> Column:
     for name in tie_break:
         shift -= _DIGITS[name]
         key = key + _shifted(F.coalesce(F.col(name), F.lit(-1)), _DIGITS[name], shift)
-    return key.cast("decimal(38,0)")
+    too_wide = F.raise_error(F.lit("NUMERIC_VALUE_OUT_OF_RANGE: order key")).cast("decimal(38,0)")
+    return F.coalesce(key.cast("decimal(38,0)"), too_wide)
 
 
 def _shifted(value: Column, digits: int, shift: int) -> Column:

@@ -116,8 +116,13 @@ def pack_envelope(
     )
 
 
-def encode_envelope(packed: DataFrame, codec: str = "json") -> DataFrame:
-    """``key`` (first symbol of the message) and ``value`` of the outgoing record."""
+def encode_envelope(packed: DataFrame, codec: str = "json", keyed: bool = False) -> DataFrame:
+    """``key`` and ``value`` of the outgoing record.
+
+    Without a key the producer spreads messages evenly.  ``keyed`` uses the
+    first symbol, which keeps a symbol in order but sends a hot one to a single
+    topic partition.
+    """
     if codec == "json":
         value = F.encode(F.to_json("envelope"), "utf-8")
     elif codec == "avro":
@@ -127,6 +132,5 @@ def encode_envelope(packed: DataFrame, codec: str = "json") -> DataFrame:
     else:
         raise ValueError(f"codec must be 'json' or 'avro', not {codec!r}")
     first_symbol = F.get("envelope.trades", F.lit(0))["symbol"]
-    return packed.withColumns(
-        {"key": F.encode(symbol_key(first_symbol), "utf-8"), "value": value}
-    ).drop("envelope")
+    key = F.encode(symbol_key(first_symbol), "utf-8") if keyed else F.lit(None).cast("binary")
+    return packed.withColumns({"key": key, "value": value}).drop("envelope")

@@ -19,11 +19,12 @@ def feed_to_records(
     topic: str,
     ingestion_ms: Column | None = None,
     codec: str = "json",
+    keyed: bool = False,
 ) -> DataFrame:
     """Raw feed messages -> outgoing records with ``key`` and ``value``."""
     routed = feed.route_messages(messages)
     packed = feed.pack_envelope(routed, producer_id, topic, ingestion_ms)
-    return feed.encode_envelope(packed, codec)
+    return feed.encode_envelope(packed, codec, keyed)
 
 
 def records_to_bronze(

@@ -62,8 +62,9 @@ def _silver(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     return silver.silver_trades(V.dirty_bronze(spark, sf_dir), clock=V.now(), **options)
 
 
-def _feed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return medallion.feed_to_records(V.feed(spark, sf_dir), V.PRODUCER, V.TOPIC, F.lit(V.NOW_MS))
+def _feed_records(spark: SparkSession, sf_dir: str, keyed: bool = False) -> DataFrame:
+    messages = V.feed(spark, sf_dir)
+    return medallion.feed_to_records(messages, V.PRODUCER, V.TOPIC, F.lit(V.NOW_MS), keyed=keyed)
 
 
 def _feed_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,7 +199,8 @@ def enrich_feed(spark, sf_dir):
 @query
 def pack_envelope(spark, sf_dir):
     """Outgoing records, their JSON body read back."""
-    records = decode.parse_json(_feed_records(spark, sf_dir), "value", schemas.ENVELOPE, "message")
+    records = _feed_records(spark, sf_dir, keyed=True)
+    records = decode.parse_json(records, "value", schemas.ENVELOPE, "message")
     trades = F.col("message.trades")
     return records.select(
         F.col("offset").alias("kafka_offset"),
