@@ -192,3 +192,16 @@ def test_source_key_survives_silver():
     assert schemas.SILVER_TRADES_KEYED.schema.names[:28] == schemas.SILVER_TRADES.schema.names
 
 
+
+
+def test_insert_new_joins_on_hashed_keys(spark, bronze_table, bronze_rows, monkeypatch):
+    """Null-safe key equality stays an equi-join, and only key columns are read back."""
+    tables.append(bronze_rows({}, {}), bronze_table)
+    seen = []
+    monkeypatch.setattr(tables, "append", lambda df, spec: seen.append(df))
+    tables.insert_new(bronze_rows({}, {"kafka_offset": 5}), bronze_table)
+    text = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in text and "NestedLoop" not in text and "Cartesian" not in text
+    stored_scan = [line for line in text.splitlines() if "FileScan" in line][-1]
+    assert "price" not in stored_scan and "kafka_offset" in stored_scan
+    assert [k for k, _ in _keys(seen[0])] == [5]
