@@ -4,8 +4,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from workload.oracle import ORACLE as SQL
+from workload.queries import QUERIES
 
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
@@ -28,6 +29,8 @@ def _plain(value):
 def test_only_the_unordered_limit_has_no_sql():
     assert set(QUERIES) - set(SQL) == {"peek"}
     assert set(SQL) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(SQL) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
