@@ -6,6 +6,7 @@ import functools
 import json
 import os
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,14 +19,15 @@ from pyspark.sql import types as T
 
 from tradelake.llm.common import byte_slices, field, text_column
 
-# Distinct words whose ids a worker remembers; all are forgotten beyond it.
-REMEMBERED = 300_000
+# Distinct words in each of a worker's two generations of remembered words.
+REMEMBERED = 250_000
 CALL_WORDS = 2_000
 LONG_WORD = 64
 # Rows handed to Spark at once, in bytes of ids.
 OUT_BYTES = 4 << 20
 
-_LETTERS = re.compile(rb"([a-z]+)([!-/:-@\[-`{-~]*)")
+# Small letters (they stay as they are under the normalizer), then ASCII marks.
+_LETTERS = re.compile("([a-z\xdf-\xf6\xf8-\xff]+)([!-/:-@\\[-`{-~]*)")
 
 
 def cuts_at_white_space(spec: dict) -> bool:
@@ -44,6 +46,10 @@ def cuts_at_white_space(spec: dict) -> bool:
     return bool(known and drops and whole)
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Encoder:
     """Token ids of texts as little-endian unsigned 32-bit numbers.
 
@@ -53,7 +59,9 @@ class Encoder:
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
+        self.letters = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
@@ -62,45 +70,51 @@ class Encoder:
         self.by_word = cuts_at_white_space(spec)
         # Special strings are looked up before letters are lower-cased.
         self.special = [a["content"].encode().lower() for a in spec.get("added_tokens") or []]
+        # A full generation becomes the older one; words met again move on.
         self.words: dict[bytes, bytes] = {}
-        self.runs: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.runs: dict[str, bytes] = {}
 
     def _split(self, data: bytes) -> list[bytes]:
         lower = data.lower()
         return (data if any(s in lower for s in self.special) else lower).split()
 
-    def _run(self, run: bytes) -> bytes:
-        """Ids of one pre-token of ASCII letters or of ASCII marks."""
+    def _run(self, run: str) -> bytes:
+        """Ids of one pre-token of letters or of ASCII marks."""
         found = self.runs.get(run)
         if found is None:
-            ids = [t.id for t in self.library.model.tokenize(run.decode())]
-            found = self.runs[run] = np.array(ids, "<u4").tobytes()
+            whole = run if run.isascii() else self.letters(run)[0][0]
+            found = self.runs[run] = _packed([t.id for t in self.library.model.tokenize(whole)])
         return found
 
     def _learn(self, wanted: set[bytes]) -> None:
-        if len(self.words) + len(self.runs) > REMEMBERED:
-            self.words.clear()
+        if len(self.words) > REMEMBERED:
+            self.older, self.words = self.words, {}
             self.runs.clear()
-        other = []
+        words, older, other = self.words, self.older, []
         for word in wanted:
-            if word in self.words:
+            if word in words:
+                continue
+            known = older.get(word)
+            if known is not None:
+                words[word] = known
                 continue
-            simple = _LETTERS.fullmatch(word) if len(word) <= LONG_WORD else None
+            simple = _LETTERS.fullmatch(word.decode()) if len(word) <= LONG_WORD else None
             if simple and not any(s in word for s in self.special):
                 letters, marks = simple.groups()
-                self.words[word] = self._run(letters) + (self._run(marks) if marks else b"")
+                words[word] = self._run(letters) + (self._run(marks) if marks else b"")
             else:
                 other.append(word)
         for i in range(0, len(other), CALL_WORDS):
             part = other[i : i + CALL_WORDS]
             encoded = self.library.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
             for word, e in zip(part, encoded, strict=True):
-                self.words[word] = np.array(e.ids, "<u4").tobytes()
+                words[word] = _packed(e.ids)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             encoded = self.library.encode_batch_fast(texts, add_special_tokens=False)
-            return [np.array(e.ids, "<u4").tobytes() for e in encoded]
+            return [_packed(e.ids) for e in encoded]
         words = [self._split(t.encode()) for t in texts]
         self._learn(set().union(*words))
         of = self.words.__getitem__
