@@ -32,7 +32,12 @@ def route_messages(messages: DataFrame, value_col: str = "value") -> DataFrame:
     parsed = parse_once(messages, F.from_json(text, _PARSED, options), "_feed")
 
     kind, data = F.col("_feed.type"), F.col("_feed.data")
-    is_object = F.coalesce(F.startswith(F.ltrim(text), F.lit("{")), F.lit(False))
+    # The parsers stop at the end of the first value.  Inside an array and inside an
+    # object nothing can follow it unseen.
+    whole = (F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1) & F.get_json_object(
+        F.concat(F.lit('{"v":'), text, F.lit("}")), "$.v"
+    ).isNotNull()
+    is_object = F.coalesce(F.startswith(F.ltrim(text), F.lit("{")) & whole, F.lit(False))
     # A parsed null does not tell "data": null from no data at all.
     has_data_key = F.array_contains(F.json_object_keys(text), "data")
     route = (
@@ -44,12 +49,11 @@ def route_messages(messages: DataFrame, value_col: str = "value") -> DataFrame:
         .when(kind.isNull(), "malformed")
         .otherwise("trades")
     )
-    return parsed.withColumns(
+    return parsed.withColumn("route", route).withColumns(
         {
-            "route": route,
             "message_type": kind,
             "error_text": F.when(kind == "error", F.coalesce("_feed.msg", F.lit("Unknown error"))),
-            "data": data,
+            "data": F.when(F.col("route") != "malformed", data),
         }
     ).drop("_feed")
 

@@ -57,9 +57,9 @@ def daily_summary(candles: DataFrame, symbol: str | None = None) -> DataFrame:
     )
 
 
-def peek(df: DataFrame, n: int = 10) -> DataFrame:
-    """Any ``n`` rows."""
-    return df.limit(n)
+def peek(df: DataFrame, n: int = 10, order: tuple[str, ...] = ()) -> DataFrame:
+    """Any ``n`` rows, or the first ``n`` by the columns ``order``."""
+    return df.orderBy(*order).limit(n) if order else df.limit(n)
 
 
 def latest_candles(candles: DataFrame, n: int = 10) -> DataFrame:

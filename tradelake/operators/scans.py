@@ -34,11 +34,16 @@ def scan_date_range(
     start: dt.date | str,
     end: dt.date | str | None = None,
     date_col: str = "trade_date",
+    undated: bool = False,
 ) -> DataFrame:
-    """``[start, end)`` on the partition column; ``start`` alone is one day."""
+    """``[start, end)`` on the partition column; ``start`` alone is one day.
+
+    Rows without a date are outside, or with ``undated`` part of every range.
+    """
     first = F.lit(start).cast("date")
     last = F.date_add(first, 1) if end is None else F.lit(end).cast("date")
-    return df.where((F.col(date_col) >= first) & (F.col(date_col) < last))
+    within = (F.col(date_col) >= first) & (F.col(date_col) < last)
+    return df.where(within | F.col(date_col).isNull()) if undated else df.where(within)
 
 
 def scan_incremental(

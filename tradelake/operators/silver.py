@@ -17,12 +17,13 @@ def clean_trades(bronze: DataFrame, decimals: bool = False) -> DataFrame:
     """Round amounts, upper-case names, add ``trade_value`` and ``trade_id``.
 
     ``trade_value`` multiplies the amounts as they came; ``decimals`` stores
-    the three amounts as DECIMAL(20,8) instead of DOUBLE.
+    the three amounts as DECIMAL(20,8) instead of DOUBLE.  An amount too large
+    for that is null there, which the rules report.
     """
 
     def amount(value: Column) -> Column:
         rounded = F.round(value, C.AMOUNT_SCALE)
-        return rounded.cast(f"decimal(20,{C.AMOUNT_SCALE})") if decimals else rounded
+        return rounded.try_cast(f"decimal(20,{C.AMOUNT_SCALE})") if decimals else rounded
 
     price, volume = F.col("price"), F.col("volume")
     return bronze.withColumns(

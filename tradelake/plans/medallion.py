@@ -42,9 +42,12 @@ def run_silver_batch(
     only_valid: bool = False,
     **silver_options,
 ) -> None:
-    """Silver trades of ``[start, end)`` into a keyed table; reruns add nothing."""
+    """Silver trades of ``[start, end)`` into a keyed table; reruns add nothing.
+
+    Trades without a date belong to every range: the rules report them.
+    """
     tables.ensure_table(spark, target)
-    rows = scans.scan_date_range(tables.read_table(spark, source), start, end)
+    rows = scans.scan_date_range(tables.read_table(spark, source), start, end, undated=True)
     cleaned = silver.silver_trades(rows, keep=C.SOURCE_KEY, **silver_options)
     tables.insert_new(silver.keep_valid(cleaned, only_valid), target)
 
@@ -70,6 +73,18 @@ def run_candle_batch(
     tables.overwrite_partitions(rows, target)
 
 
+def open_candles(stored: DataFrame, trades: DataFrame, **options) -> DataFrame:
+    """Candles of ``trades`` that ``stored`` lacks.
+
+    The closing step of a candle stream that has stopped: windows that its watermark
+    had not passed, and those whose trades all came too late or out of time.
+    """
+    keys = ["symbol", "exchange", "base_currency", "quote_currency", "hour_start"]
+    have = stored.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return candles.candles(trades, **options).join(have, same, "left_anti")
+
+
 def settle_days(
     spark: SparkSession,
     epochs: TableSpec,
@@ -81,9 +96,10 @@ def settle_days(
 
     A stream leaves one small file per epoch and partition.  Here each day is
     written again in full-size, sorted files; a rerun replaces the same days.
+    Rows without a date are one more such partition, copied each time.
     """
     tables.ensure_table(spark, settled)
-    rows = scans.scan_date_range(tables.read_table(spark, epochs), start, end)
+    rows = scans.scan_date_range(tables.read_table(spark, epochs), start, end, undated=True)
     tables.overwrite_partitions(rows, settled)
 
 

@@ -110,9 +110,11 @@ class TableSpec:
         return replace(self, name=name, path=path, **changes)
 
     def with_columns(self, **columns: str) -> TableSpec:
-        """The same table with columns (name=type) appended."""
+        """The same table with columns (name=type): of another type, or appended."""
         extra = _struct(**columns)
-        return replace(self, schema=T.StructType(self.schema.fields + extra.fields))
+        kept = [extra[f.name] if f.name in columns else f for f in self.schema.fields]
+        new = [f for f in extra.fields if f.name not in self.schema.names]
+        return replace(self, schema=T.StructType(kept + new))
 
     @property
     def stored_schema(self) -> T.StructType:
@@ -123,6 +125,9 @@ class TableSpec:
     def ddl(self) -> str:
         columns = ",\n  ".join(f"{f.name} {f.dataType.simpleString()}" for f in self.schema.fields)
         parts = [f"CREATE TABLE IF NOT EXISTS {self.name} (\n  {columns}\n)", f"USING {self.format}"]
+        if self.write_options and self.format not in ("iceberg", "delta"):
+            pairs = ", ".join(f"'{k}'='{v}'" for k, v in self.write_options.items())
+            parts.append(f"OPTIONS ({pairs})")
         if self.partition_by:
             parts.append(f"PARTITIONED BY ({', '.join(self.partition_by)})")
         if self.properties:
@@ -230,6 +235,11 @@ SILVER_TRADES_KEYED = SILVER_TRADES.with_columns(
     kafka_topic="string", kafka_partition="integer", kafka_offset="long", trade_index="integer"
 )
 
+# The same with the three amounts as exact decimals.
+SILVER_TRADES_DECIMAL = SILVER_TRADES.with_columns(
+    price="decimal(20,8)", volume="decimal(20,8)", trade_value="decimal(20,8)"
+)
+
 CANDLES = TableSpec(
     schema=_struct(
         symbol="string",

@@ -6,10 +6,12 @@ Every function assumes one writer per table at a time.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import replace
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,17 +23,27 @@ from tradelake.schemas import TableSpec
 # Formats whose catalogs take MERGE INTO.
 _MERGE_FORMATS = ("iceberg", "delta")
 
-# More touched partitions than this are not listed on the driver.
-MAX_LISTED_PARTITIONS = 2_000
-
+# Which stream wrote a row, and in which of its epochs.
+STREAM_COLUMN = "write_stream"
 EPOCH_COLUMN = "write_epoch"
 
+# Folder layouts store null and the empty text under one name; the empty text
+# gets a name of its own.
+EMPTY_TEXT = "__EMPTY__"
+
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
 
 def ensure_table(spark: SparkSession, spec: TableSpec) -> None:
     """Create the namespace and the table, or the folder, where missing."""
     if spec.name is None:
-        empty = spark.createDataFrame([], spec.stored_schema)
-        _file_writer(empty, spec).mode("append").save(spec.path)
+        try:
+            spark.read.format(spec.format).schema(spec.stored_schema).load(spec.path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            empty = spark.createDataFrame([], spec.stored_schema)
+            _file_writer(empty, spec).mode("append").save(spec.path)
         return
     if "." in spec.name:
         spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {spec.name.rpartition('.')[0]}")
@@ -45,7 +57,7 @@ def read_table(spark: SparkSession, spec: TableSpec) -> DataFrame:
         df = spark.table(spec.name)
     else:
         df = spark.read.format(spec.format).schema(spec.stored_schema).load(spec.path)
-    return _whole_names(df.select(*spec.schema.names), spec)
+    return _renamed(df.select(*spec.schema.names), spec, EMPTY_TEXT, "")
 
 
 def arrange(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -56,7 +68,7 @@ def arrange(df: DataFrame, spec: TableSpec) -> DataFrame:
     third of a day) and merge small ones, so files come out near the target
     size.  Partition columns lead the sort, or the writer would sort again.
     """
-    arranged = _whole_names(df.select(*spec.schema.names), spec)
+    arranged = _renamed(df.select(*spec.schema.names), spec, "", EMPTY_TEXT)
     if spec.partition_by:
         arranged = arranged.hint("rebalance", *spec.partition_by)
     if spec.sort_by:
@@ -65,16 +77,12 @@ def arrange(df: DataFrame, spec: TableSpec) -> DataFrame:
     return arranged
 
 
-def _whole_names(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Text partition columns with null as the empty string.
-
-    A folder layout stores both under one default name, and trades of an
-    unknown exchange carry the empty string; it must come back as written.
-    """
+def _renamed(df: DataFrame, spec: TableSpec, old: str, new: str) -> DataFrame:
+    """Text partition columns with one value under another name."""
     if spec.format in _MERGE_FORMATS:
         return df
     text = [c for c in spec.partition_by if isinstance(spec.schema[c].dataType, T.StringType)]
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit("")) for c in text})
+    return df.withColumns({c: F.when(F.col(c) == old, F.lit(new)).otherwise(F.col(c)) for c in text})
 
 
 def _sort_term(term: str) -> Column:
@@ -87,26 +95,44 @@ def append(df: DataFrame, spec: TableSpec) -> None:
     _write(arrange(df, spec), spec, "append")
 
 
-def append_epoch(df: DataFrame, spec: TableSpec, epoch_id: int) -> None:
+def append_epoch(df: DataFrame, spec: TableSpec, epoch_id: int, stream_id: str = "batch") -> None:
     """Append a micro-batch so that replaying the epoch replaces its own rows.
 
-    The table's innermost partition is the epoch (see :func:`with_epoch`); a
-    replay overwrites exactly the folders the first try wrote.  Nothing already
-    stored is read, so the cost does not grow with the table.  A file-source
-    or Kafka checkpoint gives a replayed epoch the same rows.
+    The table's innermost partitions are the stream and its epoch (see
+    :func:`with_epoch`); a replay overwrites exactly what the first try of the
+    same stream wrote.  Epochs begin at 0 with each new checkpoint, so the
+    stream's own id keeps those of two checkpoints apart.  Nothing already stored
+    is read, so the cost does not grow with the table.  A file-source or Kafka
+    checkpoint gives a replayed epoch the same rows.
     """
-    stamped = df.withColumn(EPOCH_COLUMN, F.lit(epoch_id).cast("bigint"))
+    stamped = df.withColumns(
+        {STREAM_COLUMN: F.lit(stream_id), EPOCH_COLUMN: F.lit(epoch_id).cast("bigint")}
+    )
     _write(arrange(stamped, spec), spec, "overwrite")
 
 
 def with_epoch(spec: TableSpec) -> TableSpec:
-    """The table with the partition column :func:`append_epoch` needs.
+    """The table with the partition columns :func:`append_epoch` needs.
 
     Its files are small and short-lived, so they are left unsorted; settled
     days are sorted when they are written again.
     """
-    widened = spec.with_columns(**{EPOCH_COLUMN: "long"})
-    return replace(widened, partition_by=(*spec.partition_by, EPOCH_COLUMN), sort_by=())
+    widened = spec.with_columns(**{STREAM_COLUMN: "string", EPOCH_COLUMN: "long"})
+    return replace(widened, partition_by=(*spec.partition_by, STREAM_COLUMN, EPOCH_COLUMN), sort_by=())
+
+
+def read_settled_and_fresh(
+    spark: SparkSession, settled: TableSpec, epochs: TableSpec, fresh_from: str, date_col: str = "trade_date"
+) -> DataFrame:
+    """Settled days before ``fresh_from`` and streamed epochs since (or without a date).
+
+    Both sides are bounded on the partition column, so that only the folders of
+    the days concerned are opened.
+    """
+    first = F.lit(fresh_from).cast("date")
+    old = read_table(spark, settled).where(F.col(date_col) < first)
+    new = read_table(spark, epochs).where((F.col(date_col) >= first) | F.col(date_col).isNull())
+    return old.unionByName(new.select(*settled.schema.names))
 
 
 def overwrite_partitions(df: DataFrame, spec: TableSpec) -> None:
@@ -126,50 +152,38 @@ def insert_new(
     finds what the first try stored.  Only the keys of the touched partitions
     are read back.  Catalogs with MERGE do the same in one transaction.
     """
-    rows = _whole_names(df.select(*spec.schema.names), spec)
-    batch = dedupe_trades(rows, keys, prefer)
+    rows = df.select(*spec.schema.names)
     if spec.name is not None and spec.format in _MERGE_FORMATS:
         target = spec.name.rpartition(".")[2]
-        same = _same(keys + spec.partition_by, lambda k: f"new.{k}", lambda k: f"{target}.{k}")
-        batch.alias("new").mergeInto(spec.name, same).whenNotMatched().insertAll().merge()
+        pairs = [F.col(f"new.{k}").eqNullSafe(F.col(f"{target}.{k}")) for k in keys + spec.partition_by]
+        batch = dedupe_trades(rows, keys, prefer).alias("new")
+        batch.mergeInto(spec.name, reduce(lambda a, b: a & b, pairs)).whenNotMatched().insertAll().merge()
         return
+    # One column that is never null: removing copies and looking up stored
+    # keys then need the rows in the same places, and share one shuffle.
+    batch = dedupe_trades(rows.withColumn(_KEY, _key(keys)), (_KEY,), prefer)
     stored = touched_partitions(read_table(df.sparkSession, spec), rows, spec.partition_by)
-    stored = stored.select(*[F.col(k).alias(f"_{k}") for k in keys])
-    same = _same(keys, lambda k: k, lambda k: f"_{k}")
-    append(batch.join(stored, same, "left_anti"), spec)
+    append(batch.join(stored.select(_key(keys).alias(_KEY)), _KEY, "left_anti"), spec)
 
 
-def _same(keys: Sequence[str], left: Callable, right: Callable) -> Column:
-    pairs = [F.col(left(k)).eqNullSafe(F.col(right(k))) for k in keys]
-    return reduce(lambda a, b: a & b, pairs)
+_KEY = "_key"
 
 
-def touched_partitions(
-    target: DataFrame,
-    batch: DataFrame,
-    partition_by: Sequence[str],
-    limit: int = MAX_LISTED_PARTITIONS,
-) -> DataFrame:
-    """``target`` pruned to the partitions that ``batch`` has rows in.
+def _key(keys: Sequence[str]) -> Column:
+    return F.to_json(F.struct(*keys))
 
-    Partition values are few and are listed as literals, which prunes folders
-    before any file is opened.  Past ``limit`` the range of the first partition
-    column bounds the scan instead: wider, but as exact for a key lookup.
+
+def touched_partitions(target: DataFrame, batch: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """``target`` pruned to the values that ``batch`` has in the first partition column.
+
+    These are days, as many as the calendar has at most; as literals they prune
+    folders before any file is opened.
     """
-    types = {c: batch.schema[c].dataType for c in partition_by}
-    values = batch.select(*partition_by).distinct()
-    listed = values.limit(limit + 1).collect()
-    if not listed:
-        return target.limit(0)
-    if len(listed) <= limit:
-        literals = [
-            F.struct(*[F.lit(row[c]).cast(types[c]).alias(c) for c in partition_by]) for row in listed
-        ]
-        return target.where(F.struct(*partition_by).isin(literals))
-    first = F.col(partition_by[0])
-    low, high, nulls = values.agg(F.min(first), F.max(first), F.count_if(first.isNull())).first()
-    within = first.between(F.lit(low), F.lit(high))
-    return target.where(within | first.isNull()) if nulls else target.where(within)
+    first = partition_by[0]
+    days = [row[0] for row in batch.select(first).distinct().collect()]
+    literals = [F.lit(day).cast(batch.schema[first].dataType) for day in days if day is not None]
+    within = F.col(first).isin(literals) if literals else F.lit(False)
+    return target.where(within | F.col(first).isNull()) if None in days else target.where(within)
 
 
 def _file_writer(df: DataFrame, spec: TableSpec):
@@ -184,9 +198,22 @@ def _write(df: DataFrame, spec: TableSpec, mode: str) -> None:
         writer.mode(mode).save(spec.path)
         return
     in_order = df.select(*df.sparkSession.table(spec.name).columns)
-    if mode == "append":
-        in_order.write.options(**spec.write_options).insertInto(spec.name)
+    if spec.format in _MERGE_FORMATS:
+        writer = in_order.writeTo(spec.name).options(**spec.write_options)
+        writer.append() if mode == "append" else writer.overwritePartitions()
+    elif mode == "append":
+        in_order.write.insertInto(spec.name)
     else:
-        in_order.write.options(**spec.write_options).option(
-            "partitionOverwriteMode", "dynamic"
-        ).insertInto(spec.name, overwrite=True)
+        # insertInto looks at the session's mode, not at a writer's option.
+        with _setting(df.sparkSession, OVERWRITE_MODE, "dynamic"):
+            in_order.write.insertInto(spec.name, overwrite=True)
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)

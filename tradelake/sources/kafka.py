@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 # --- fixed values: Kafka client class names and defaults ---
 _LOGIN_MODULES = {
+    "SCRAM-SHA-256": "org.apache.kafka.common.security.scram.ScramLoginModule",
     "SCRAM-SHA-512": "org.apache.kafka.common.security.scram.ScramLoginModule",
     "PLAIN": "org.apache.kafka.common.security.plain.PlainLoginModule",
 }
-MAX_OFFSETS_PER_TRIGGER = 10000
+# A preset for small brokers; streams take what there is unless told otherwise.
+SMALL_MAX_OFFSETS = 10000
 
 
 def sasl_options(
@@ -22,14 +24,16 @@ def sasl_options(
     protocol: str = "SASL_SSL",
     mechanism: str = "SCRAM-SHA-512",
     truststore: str | None = None,
-    verify_endpoint: bool = False,
+    verify_endpoint: bool = True,
 ) -> dict[str, str]:
     """Login options for a source or a sink.
 
     Over SASL_SSL a PEM trust store may be named; the broker's host name is
-    checked only with ``verify_endpoint``.
+    checked unless ``verify_endpoint`` is off.
     """
-    module = _LOGIN_MODULES.get(mechanism, _LOGIN_MODULES["PLAIN"])
+    if mechanism not in _LOGIN_MODULES:
+        raise ValueError(f"mechanism must be one of {sorted(_LOGIN_MODULES)}, not {mechanism!r}")
+    module = _LOGIN_MODULES[mechanism]
     quoted = [text.replace("\\", "\\\\").replace('"', '\\"') for text in (username, password)]
     options = {
         "kafka.security.protocol": protocol,
@@ -50,7 +54,7 @@ def topic_options(
     servers: str,
     *,
     starting_offsets: str = "latest",
-    max_offsets: int | None = MAX_OFFSETS_PER_TRIGGER,
+    max_offsets: int | None = None,
     min_partitions: int | None = None,
     fail_on_data_loss: bool = True,
     group_id: str | None = None,
@@ -58,7 +62,7 @@ def topic_options(
 ) -> dict[str, str]:
     """Options of a topic subscription.
 
-    ``max_offsets`` bounds one micro-batch.  ``min_partitions`` splits a hot
+    ``max_offsets`` bounds one micro-batch (none by default).  ``min_partitions`` splits a hot
     topic partition over several tasks.
     """
     options = {

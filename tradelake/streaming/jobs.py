@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import datetime as dt
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +13,7 @@ from tradelake import constants as C
 from tradelake.operators import bronze, candles, decode, landing, scans, silver
 from tradelake.schemas import TableSpec
 from tradelake.sinks import tables
+from tradelake.streaming.metrics import observed
 
 # --- fixed values: default trigger intervals of the three streams ---
 BRONZE_INTERVAL = "10 seconds"
@@ -65,10 +66,24 @@ def write_stream(
 
 def stream_to_table(df: DataFrame, spec: TableSpec, checkpoint: str, **options) -> StreamingQuery:
     """Start a stream into an epoch table (``tables.with_epoch``): a replayed
-    micro-batch replaces its own rows, so at-least-once sources store once."""
-    return write_stream(
-        df, lambda batch, epoch: tables.append_epoch(batch, spec, epoch), checkpoint, **options
-    )
+    micro-batch replaces its own rows, so at-least-once sources store once.
+
+    The rows carry the stream's id, which its checkpoint keeps: a second stream
+    into the same table, or a new checkpoint, adds to what is there.
+    """
+    known: list[str] = []
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        if not known:
+            known.append(stream_id(batch.sparkSession, checkpoint))
+        tables.append_epoch(batch, spec, epoch, known[0])
+
+    return write_stream(df, write, checkpoint, **options)
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the stream when its checkpoint was new."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
 
 # --- the streams -----------------------------------------------------------------
@@ -93,12 +108,33 @@ def silver_stream(bronze_rows: DataFrame, **options) -> DataFrame:
     return silver.silver_trades(bronze_rows, **options)
 
 
+# A trade's time is believed up to a day past the time it was ingested.
+def _timely(at: str, ingested: str) -> Column:
+    latest = F.unix_millis(ingested) + C.MAX_FUTURE_MS
+    return F.coalesce(F.unix_millis(at) <= latest, F.lit(False))
+
+
+def timely(trades: DataFrame, at: str = "trade_datetime", ingested: str = "bronze_ingestion_timestamp") -> DataFrame:
+    """Trades whose time may move a watermark: there, and not far ahead of ingestion.
+
+    One trade dated years ahead would else make every later one too late.
+    """
+    return trades.where(_timely(at, ingested))
+
+
+def untimely(trades: DataFrame, at: str = "trade_datetime", ingested: str = "bronze_ingestion_timestamp") -> DataFrame:
+    """The others, for a quarantine table of their own."""
+    return trades.where(~_timely(at, ingested))
+
+
 def candle_stream(
     trades: DataFrame, delay: str = "10 minutes", interval: str = "1 hour", **options
 ) -> DataFrame:
     """Candles in append mode: a window appears once, when the watermark passes
-    its end; trades later than ``delay`` are left to a batch recomputation."""
-    return candles.candles(trades.withWatermark("trade_datetime", delay), interval, **options)
+    its end.  Trades later than ``delay``, those that are not :func:`timely`, and
+    windows still open when the stream stops are left to a batch recomputation
+    (``medallion.open_candles``)."""
+    return candles.candles(timely(trades).withWatermark("trade_datetime", delay), interval, **options)
 
 
 def dedupe_stream(
@@ -113,9 +149,11 @@ def dedupe_stream(
     By default copies are folded map-side by an aggregation and a trade appears
     when the watermark passes it: a key delivered over and over costs one row
     per task.  ``immediate`` emits the first copy at once but sends every copy
-    of a key to one task.
+    of a key to one task.  Rows that are not :func:`timely` go into
+    :func:`untimely`; where nothing may wait or be set apart, use
+    :func:`dedupe_to_table`.
     """
-    marked = trades.withWatermark(at, delay)
+    marked = timely(trades, at).withWatermark(at, delay)
     if immediate:
         return marked.dropDuplicatesWithinWatermark(list(keys))
     rest = [c for c in trades.columns if c not in (*keys, at)]
@@ -123,6 +161,48 @@ def dedupe_stream(
     return kept.select(*keys, at, "_row.*").select(*trades.columns)
 
 
+def dedupe_to_table(trades: DataFrame, spec: TableSpec, checkpoint: str, **options) -> StreamingQuery:
+    """Start a stream that stores each source key once, whatever its time.
+
+    Copies fold map-side inside a micro-batch, and keys already stored are looked
+    up in the days the batch touches; there is no watermark that a row could miss.
+    """
+    return write_stream(trades, lambda batch, _: tables.insert_new(batch, spec), checkpoint, **options)
+
+
+# --- jobs: source to table with the default trigger, checkpoint and counts ---------
+
+
+def start_bronze(records: DataFrame, target: TableSpec, checkpoints: str, codec: str = "json", clock: Column | None = None, interval: str | None = BRONZE_INTERVAL) -> StreamingQuery:
+    """Envelope records into the bronze table; rows are counted as ``bronze``."""
+    rows = observed(bronze_stream(records, codec, clock), "bronze", at="trade_datetime")
+    return _started(rows, target, checkpoints, "bronze", interval)
+
+
+def start_quarantine(records: DataFrame, target: TableSpec, checkpoints: str, codec: str = "json", interval: str | None = BRONZE_INTERVAL) -> StreamingQuery:
+    """Undecodable records into their table; rows are counted as ``quarantine``."""
+    rows = observed(quarantine_stream(records, codec), "quarantine")
+    return _started(rows, target, checkpoints, "quarantine", interval)
+
+
+def start_landing(records: DataFrame, target: TableSpec, checkpoints: str, clock: Column | None = None, interval: str | None = LANDING_INTERVAL) -> StreamingQuery:
+    """Records as they are into the landing table; rows are counted as ``landing``."""
+    return _started(observed(landing_stream(records, clock), "landing"), target, checkpoints, "landing", interval)
+
+
+def start_silver(bronze_rows: DataFrame, target: TableSpec, checkpoints: str, interval: str | None = SILVER_INTERVAL, **silver_options) -> StreamingQuery:
+    """Bronze rows into the silver table; rows are counted as ``silver``."""
+    rows = observed(silver_stream(bronze_rows, **silver_options), "silver", at="trade_datetime")
+    return _started(rows, target, checkpoints, "silver", interval)
+
+
+def _started(rows: DataFrame, target: TableSpec, checkpoints: str, name: str, interval: str | None) -> StreamingQuery:
+    """Every table has a checkpoint folder and a query name of its own."""
+    spark = rows.sparkSession
+    tables.ensure_table(spark, target)
+    return stream_to_table(rows, target, f"{checkpoints.rstrip('/')}/{name}", interval=interval, name=name)
+
+
 def poll_table(
     spark: SparkSession,
     ticks: DataFrame,
@@ -131,28 +211,33 @@ def poll_table(
     checkpoint: str,
     interval: str | None = SILVER_INTERVAL,
     buffer_seconds: int = C.OVERLAP_SECONDS,
-    recent_days: int = 3,
     **silver_options,
 ) -> StreamingQuery:
     """Silver from a bronze table that has no streaming read.
 
     Each tick scans what was ingested since the newest silver row, less an
-    overlap.  The overlap is stored already; ``insert_new`` skips it.  The mark
-    is looked up in the last ``recent_days`` of trading, and in the whole table
-    only when those are empty.  Where the table can be streamed, prefer
+    overlap.  The overlap is stored already; ``insert_new`` skips it.  The mark is
+    read from the whole table once, when the stream starts; after that it is the
+    newest row of what was scanned last, so old trades that arrive late move it
+    like any other.  A row that becomes visible more than ``buffer_seconds`` after a
+    newer one is missed.  Where the table can be streamed, prefer
     :func:`silver_stream`: its checkpoint knows the new files without a scan.
     """
-
-    def newest() -> int | None:
-        stored = tables.read_table(spark, target)
-        since = dt.datetime.now(dt.timezone.utc).date() - dt.timedelta(days=recent_days)
-        recent = scans.read_mark(scans.high_water_mark(stored, since=since))
-        return scans.read_mark(scans.high_water_mark(stored)) if recent is None else recent
+    seen: list[int | None] = []
 
     def refresh(_: DataFrame, __: int) -> None:
-        mark = newest()
-        fresh = scans.scan_incremental(tables.read_table(spark, source), mark, buffer_seconds)
+        if not seen:
+            seen.append(scans.read_mark(scans.high_water_mark(tables.read_table(spark, target))))
+        mark = seen[0]
+        stored = tables.read_table(spark, source)
+        fresh = scans.scan_incremental(stored, mark, buffer_seconds)
+        upto = scans.read_mark(scans.high_water_mark(fresh))
+        if upto is None:
+            return
+        # What arrives while this tick runs belongs to the next one.
+        fresh = fresh.where(F.col("bronze_ingestion_timestamp") <= F.timestamp_micros(F.lit(upto)))
         rows = silver.silver_trades(fresh, keep=C.SOURCE_KEY, **silver_options)
         tables.insert_new(rows, target)
+        seen[0] = upto if mark is None else max(upto, mark)
 
     return write_stream(ticks, refresh, checkpoint, interval)
