@@ -43,7 +43,17 @@ HEADLINE = (
     "dedupe_trades",
 )
 # Queries that write tables; the writing is part of the time.
-ONCE = ("idempotent_reload", "candle_rerun", "streaming_silver", "streaming_candles")
+ONCE = (
+    "idempotent_reload",
+    "candle_rerun",
+    "catalog_candle_rerun",
+    "settled_days",
+    "epoch_replay",
+    "table_poll",
+    "streaming_silver",
+    "streaming_candles",
+    "streaming_dedupe",
+)
 
 
 def one_aggregate_candles(spark: SparkSession, sf_dir: str) -> DataFrame:

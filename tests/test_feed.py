@@ -135,3 +135,10 @@ def test_avro_schema():
 def test_unknown_codec(spark):
     with pytest.raises(ValueError):
         decode.decode_envelope(_messages(spark, [TWO]), codec="xml")
+
+
+def test_nothing_may_follow_the_object(spark):
+    good = ['{"type":"ping"}', ' {"type":"ping"} \n']
+    bad = ['{"type":"ping"} x', '{"type":"ping"}{}', '{"type":"ping"},{}', '{"type":"ping"}],[{}', '{"type":"ping"}},{"v":{}', '[{"type":"ping"}]']
+    df = spark.createDataFrame([(v,) for v in good + bad], "value string")
+    assert [r["route"] for r in feed.route_messages(df).collect()] == ["ping"] * 2 + ["malformed"] * 6

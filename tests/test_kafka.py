@@ -1,7 +1,9 @@
 """Kafka options: no broker is needed to check what would be sent."""
 
+import pytest
+
 from tradelake.sinks.kafka import publish_options
-from tradelake.sources.kafka import sasl_options, topic_options
+from tradelake.sources.kafka import SMALL_MAX_OFFSETS, sasl_options, topic_options
 
 
 def test_topic_options():
@@ -11,17 +13,18 @@ def test_topic_options():
         "subscribe": "t",
         "startingOffsets": "earliest",
         "failOnDataLoss": "true",
-        "maxOffsetsPerTrigger": "10000",
         "minPartitions": "64",
         "kafka.group.id": "g",
     }
-    tolerant = topic_options("t", "h", max_offsets=None, fail_on_data_loss=False)
+    small = topic_options("t", "h", max_offsets=SMALL_MAX_OFFSETS)
+    assert small["maxOffsetsPerTrigger"] == "10000"
+    tolerant = topic_options("t", "h", fail_on_data_loss=False)
     assert tolerant["failOnDataLoss"] == "false" and "maxOffsetsPerTrigger" not in tolerant
     assert tolerant["startingOffsets"] == "latest"
 
 
 def test_scram_over_ssl():
-    options = sasl_options("u", 'p"w', truststore="/ca.pem")
+    options = sasl_options("u", 'p"w', truststore="/ca.pem", verify_endpoint=False)
     assert options["kafka.sasl.mechanism"] == "SCRAM-SHA-512"
     assert "scram.ScramLoginModule" in options["kafka.sasl.jaas.config"]
     assert 'password="p\\"w";' in options["kafka.sasl.jaas.config"]
@@ -34,7 +37,10 @@ def test_plain_and_verified():
     options = sasl_options("u", "p", protocol="SASL_PLAINTEXT", mechanism="PLAIN", truststore="/x")
     assert "plain.PlainLoginModule" in options["kafka.sasl.jaas.config"]
     assert not any(k.startswith("kafka.ssl") for k in options)
-    assert "kafka.ssl.endpoint.identification.algorithm" not in sasl_options("u", "p", verify_endpoint=True)
+    assert "kafka.ssl.endpoint.identification.algorithm" not in sasl_options("u", "p")
+    assert "scram" in sasl_options("u", "p", mechanism="SCRAM-SHA-256")["kafka.sasl.jaas.config"]
+    with pytest.raises(ValueError):
+        sasl_options("u", "p", mechanism="GSSAPI")
 
 
 def test_security_reaches_source_and_sink():

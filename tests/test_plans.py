@@ -4,12 +4,12 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry_points
 from tradelake import schemas
 from tradelake.operators import candles, listing, picks, reports, scans, silver
 from tradelake.plans import medallion
 from tradelake.sinks import tables
 from workload import views as V
+from workload.queries import QUERIES
 
 
 def plan(df) -> str:
@@ -29,9 +29,9 @@ def stored(spark, sf_dir):
 STATEFUL = re.compile("streaming|idempotent|replay|rerun|poll|land_|settled|trades_by_date")
 
 
-@pytest.mark.parametrize("name", [n for n in entry_points.queries() if not STATEFUL.search(n)])
+@pytest.mark.parametrize("name", [n for n in QUERIES if not STATEFUL.search(n)])
 def test_no_python_and_no_cross_join(spark, sf_dir, name):
-    text = plan(entry_points.queries()[name](spark, sf_dir))
+    text = plan(QUERIES[name](spark, sf_dir))
     for bad in ("EvalPython", "MapInPandas", "MapInArrow", "CartesianProduct", "BroadcastNestedLoopJoin", "ExistingRDD"):
         assert bad not in text
 
@@ -73,7 +73,7 @@ def test_touched_partitions_prune(spark, stored):
     table = tables.read_table(spark, stored)
     batch = scans.scan_date_range(table, "2024-01-10")
     text = plan(tables.touched_partitions(table, batch, stored.partition_by))
-    assert re.search(r"PartitionFilters: \[struct\(trade_date.* IN(SET)? ", text)
+    assert re.search(r"PartitionFilters: \[.*trade_date.*2024-01-10", text)
 
 
 @pytest.mark.parametrize("pick", [picks.first_trades, picks.last_trades, picks.dedupe_trades])

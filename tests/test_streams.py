@@ -37,7 +37,7 @@ def test_silver_stream_equals_batch_and_resumes(spark, folder, bronze_rows):
     def run():
         stream = jobs.silver_stream(_stream(spark, source), clock=_clock())
         jobs.stream_to_table(stream, target, checkpoint).awaitTermination()
-        return tables.read_table(spark, target).drop(tables.EPOCH_COLUMN)
+        return tables.read_table(spark, target).select(*schemas.SILVER_TRADES.schema.names)
 
     _file(first, source)
     assert _rows(run()) == _rows(silver.silver_trades(first, clock=_clock()))
@@ -118,6 +118,67 @@ def test_dedupe_stream(spark, folder, bronze_rows, immediate):
     assert sorted(tuple(r) for r in stored.collect()) == expected
 
 
+def test_untimely_rows_move_no_watermark(spark, folder, bronze_rows):
+    """One trade dated far ahead in the first file leaves the later ones alone."""
+    jobs.stream_settings(spark)
+    source, checkpoint = folder("in"), folder("checkpoint")
+    target = tables.with_epoch(schemas.CANDLES).at(path=folder("out"))
+    tables.ensure_table(spark, target)
+    wild = {"timestamp_ms": 32503680000000, "kafka_offset": 50}
+    files_ = ([{}, {"kafka_offset": 1}, wild], [{"kafka_offset": 2, "timestamp_ms": T0 + 2 * HOUR}], [{"kafka_offset": 3, "timestamp_ms": T0 + 9 * HOUR}])
+    for rows in files_:
+        _file(bronze_rows(*rows), source)
+        stream = _stream(spark, source)
+        jobs.stream_to_table(jobs.candle_stream(stream, clock=_clock()), target, checkpoint).awaitTermination()
+    hours = {r["hour_start"].hour for r in tables.read_table(spark, target).collect()}
+    assert hours == {0, 2}
+    whole = spark.read.schema(schemas.BRONZE_TRADES.schema).parquet(source)
+    assert [r["kafka_offset"] for r in jobs.untimely(whole).collect()] == [50]
+    assert jobs.timely(whole).count() + jobs.untimely(whole).count() == whole.count()
+
+
+def test_jobs_from_feed_text_to_tables(spark, folder):
+    """Bronze and quarantine with a checkpoint and counts each."""
+    text, records = folder("feed"), folder("records")
+    good = '{"type":"trade","data":[{"s":"BINANCE:BTCUSDT","p":1,"v":2,"t":1704067200000}]}'
+    spark.createDataFrame([(good,), (good,), ('{"type":"ping"} x',)], "value string").write.text(text)
+    from tradelake.plans import medallion
+
+    feed = files.read_feed_text(spark, text).selectExpr("cast(value AS binary) AS value")
+    sent = medallion.feed_to_records(feed, "p", "t", F.lit(T0)).select("value")
+    assert sent.count() == 2
+    broken = spark.createDataFrame([(bytearray(b"{"),)], "value binary")
+    numbered = sent.unionByName(broken).selectExpr(
+        "cast(NULL AS binary) AS key", "value", "'t' AS topic", "0 AS partition",
+        "monotonically_increasing_id() AS offset", f"timestamp_millis({T0}) AS timestamp", "0 AS timestampType",
+    )
+    _file(numbered, records)
+    listener = metrics.watch(spark)
+    try:
+        stream, checkpoints = files.stream_records(spark, records), folder("checkpoints")
+        bronze_table = tables.with_epoch(schemas.BRONZE_TRADES).at(path=folder("bronze"))
+        quarantined = jobs.quarantine_stream(stream)
+        quarantine_table = tables.with_epoch(
+            schemas.TableSpec(schema=quarantined.schema, partition_by=())
+        ).at(path=folder("quarantine"))
+        landing_table = tables.with_epoch(schemas.RAW_LANDING).at(path=folder("landing"))
+        jobs.start_bronze(stream, bronze_table, checkpoints, clock=_clock(), interval=None).awaitTermination()
+        jobs.start_quarantine(stream, quarantine_table, checkpoints, interval=None).awaitTermination()
+        jobs.start_landing(stream, landing_table, checkpoints, _clock(), interval=None).awaitTermination()
+        counts = {}
+        for _ in range(100):
+            counts = {k: listener.latest.get(k, {}).get(k, {}).get("row_count") for k in ("bronze", "quarantine", "landing")}
+            if None not in counts.values():
+                break
+            import time
+
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    stored = [tables.read_table(spark, t).count() for t in (bronze_table, quarantine_table, landing_table)]
+    assert list(counts.values()) == stored == [2, 1, 3]
+
+
 def test_quarantine_stream(spark, folder):
     path = folder("records")
     rows = [(None, bytearray(b"{"), "t", 0, 1, None, 0), (None, None, "t", 0, 2, None, 0)]

@@ -32,7 +32,7 @@ def test_empty_table_reads_with_its_schema(spark, bronze_table):
 
 
 def test_append_stores_rows_as_written(spark, bronze_table, bronze_rows):
-    rows = bronze_rows({"exchange": ""}, {"exchange": "A/B"}, {"timestamp_ms": None, "conditions": ["x"]})
+    rows = bronze_rows({"exchange": ""}, {"exchange": "A/B"}, {"exchange": None, "timestamp_ms": None, "conditions": ["x"]})
     tables.append(rows, bronze_table)
     stored = tables.read_table(spark, bronze_table)
     assert sorted(map(str, stored.collect())) == sorted(map(str, rows.collect()))
@@ -58,16 +58,14 @@ def test_insert_new_with_null_keys(spark, bronze_table, bronze_rows):
     assert tables.read_table(spark, bronze_table).count() == 2
 
 
-def test_touched_partitions_past_the_limit(spark, bronze_table, bronze_rows):
+def test_touched_partitions(spark, bronze_table, bronze_rows):
     rows = bronze_rows(*[{"timestamp_ms": T0 + i * DAY} for i in range(6)], {"timestamp_ms": None})
     tables.append(rows, bronze_table)
     stored = tables.read_table(spark, bronze_table)
     batch = rows.where("kafka_offset BETWEEN 1 AND 3")
     exact = tables.touched_partitions(stored, batch, bronze_table.partition_by)
     assert [k for k, _ in _keys(exact)] == [1, 2, 3]
-    ranged = tables.touched_partitions(stored, batch, bronze_table.partition_by, limit=1)
-    assert [k for k, _ in _keys(ranged)] == [1, 2, 3]
-    with_null = tables.touched_partitions(stored, rows.where("kafka_offset >= 5"), bronze_table.partition_by, limit=1)
+    with_null = tables.touched_partitions(stored, rows.where("kafka_offset >= 5"), bronze_table.partition_by)
     assert [k for k, _ in _keys(with_null)] == [5, 6]
     assert tables.touched_partitions(stored, rows.limit(0), bronze_table.partition_by).count() == 0
 
@@ -165,6 +163,67 @@ def test_catalog_tables(spark, bronze_rows):
     assert {r["exchange"] for r in tables.read_table(spark, candle_table).collect()} == {"", "BINANCE"}
 
 
+def test_catalog_reruns_leave_other_partitions(spark, bronze_rows):
+    spec = tables.with_epoch(schemas.BRONZE_TRADES).at(name="trade_db.epochs")
+    tables.ensure_table(spark, spec)
+    for epoch in (0, 1, 2, 2):
+        tables.append_epoch(bronze_rows({"kafka_offset": epoch}), spec, epoch)
+    tables.append_epoch(bronze_rows({"kafka_offset": 9}), spec, 0, "another")
+    tables.append_epoch(bronze_rows({}).limit(0), spec, 3)
+    assert [k for k, _ in _keys(tables.read_table(spark, spec))] == [0, 1, 2, 9]
+    assert spark.conf.get(tables.OVERWRITE_MODE).upper() == "STATIC"
+    source = schemas.BRONZE_TRADES.at(name="trade_db.some_days")
+    target = schemas.CANDLES.at(name="trade_db.some_candles")
+    tables.ensure_table(spark, source)
+    tables.append(bronze_rows({}, {"timestamp_ms": T0 + DAY}), source)
+    medallion.run_candle_batch(spark, source, target)
+    medallion.run_candle_batch(spark, source, target, "2024-01-02")
+    tables.overwrite_partitions(tables.read_table(spark, target).limit(0), target)
+    assert tables.read_table(spark, target).count() == 2
+    names = tables.read_table(spark, target).inputFiles()
+    assert names and all(n.endswith(".zstd.parquet") for n in names)
+
+
+def test_one_shuffle_for_copies_and_stored_keys(spark, bronze_table, bronze_rows, monkeypatch):
+    tables.append(bronze_rows({}), bronze_table)
+    seen = []
+    monkeypatch.setattr(tables, "append", lambda df, spec: seen.append(df))
+    tables.insert_new(bronze_rows({}, {"kafka_offset": 5}), bronze_table)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = seen[0].select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # one for the batch (copies and look-up), one for the stored keys
+    assert text.count("Exchange hashpartitioning") == 2
+
+
+def test_rows_without_a_date_are_settled_and_cleaned(spark, folder, bronze_rows):
+    rows = bronze_rows({}, {"timestamp_ms": None}, {"timestamp_ms": T0 + DAY})
+    epochs = tables.with_epoch(schemas.BRONZE_TRADES).at(path=folder("epochs"))
+    settled = schemas.BRONZE_TRADES.at(path=folder("settled"))
+    tables.append_epoch(rows, epochs, 0)
+    for _ in range(2):
+        medallion.settle_days(spark, epochs, settled, "2024-01-01", "2024-01-03")
+    assert tables.read_table(spark, settled).count() == 3
+    silver_table = schemas.SILVER_TRADES_KEYED.at(path=folder("silver"))
+    medallion.run_silver_batch(spark, settled, silver_table, "2024-01-01", "2024-01-03")
+    errors = [r["validation_errors"] for r in tables.read_table(spark, silver_table).collect()]
+    assert sum("timestamp_invalid" in e for e in errors) == 1
+
+
+def test_one_day_of_epochs_opens_its_folders_only(spark, folder, bronze_rows):
+    epochs = tables.with_epoch(schemas.BRONZE_TRADES).at(path=folder("epochs"))
+    settled = schemas.BRONZE_TRADES.at(path=folder("settled"))
+    tables.append_epoch(bronze_rows({}, {"timestamp_ms": T0 + DAY}), epochs, 0)
+    medallion.settle_days(spark, epochs, settled, "2024-01-01")
+    both = tables.read_settled_and_fresh(spark, settled, epochs, "2024-01-02")
+    assert _keys(both) == [(0, 0), (1, 0)]
+    text = both._jdf.queryExecution().executedPlan().toString()
+    assert text.count("PartitionFilters: [") == 2 and "PartitionFilters: []" not in text
+
+
 def test_ddl():
     ddl = schemas.SILVER_TRADES.at(name="c.n.t", format="iceberg").ddl()
     assert ddl.startswith("CREATE TABLE IF NOT EXISTS c.n.t (")

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from tradelake import constants as C
 from workload.queries import SAMPLE_END, SAMPLE_START, SYMBOL
 from workload.views import NOW_MS, PRODUCER, TOPIC
 
 NOW = "'2024-02-01 00:00:00.000'"
 
 
+# Quote currencies in the order in which they are tried.
+LEGACY_QUOTES = ("USD", "USDT", "USDC", "BUSD", "EUR", "GBP", "JPY", "BTC", "ETH")
+LONGEST_QUOTES = ("USDT", "USDC", "BUSD", "USD", "EUR", "GBP", "JPY", "BTC", "ETH")
+_KNOWN_EXCHANGES = ", ".join(f"'{name}'" for name in C.CRYPTO_EXCHANGES)
+
+
 def _ts(c: str) -> str:
     """Timestamp as text with milliseconds."""
     return f"strftime({c}, '%Y-%m-%d %H:%M:%S.%g')"
@@ -39,13 +46,19 @@ TRADES = """trades AS (
 DIRTY = """dirty AS (
   SELECT CASE WHEN kafka_offset % 41 = 0 THEN ' ' WHEN kafka_offset % 43 = 0 THEN replace(symbol, ':', '')
               ELSE symbol END AS symbol,
-         exchange,
-         CASE WHEN kafka_offset % 47 = 0 THEN 'usdt' WHEN kafka_offset % 53 = 0 THEN NULL
+         CASE WHEN kafka_offset % 5 = 0 THEN 'kraken' WHEN kafka_offset % 71 = 0 THEN NULL
+              ELSE exchange END AS exchange,
+         CASE WHEN kafka_offset % 47 = 0 THEN 'usdt' WHEN kafka_offset % 7 = 0 THEN 'btc'
+              WHEN kafka_offset % 53 = 0 OR kafka_offset % 73 = 0 THEN NULL
               ELSE base_currency END AS base_currency,
-         quote_currency,
+         CASE WHEN kafka_offset % 73 = 0 THEN NULL WHEN kafka_offset % 79 = 0 THEN ' '
+              WHEN kafka_offset % 83 = 0 THEN 'eu' WHEN kafka_offset % 89 = 0 THEN 'wrapped'
+              ELSE quote_currency END AS quote_currency,
          CASE WHEN kafka_offset % 29 = 0 THEN -price WHEN kafka_offset % 31 = 0 THEN NULL
-              WHEN kafka_offset % 37 = 0 THEN price * 1e15 ELSE price END AS price,
-         volume,
+              WHEN kafka_offset % 37 = 0 THEN price * 1e15
+              WHEN kafka_offset % 97 = 0 THEN 'NaN'::double ELSE price END AS price,
+         CASE WHEN kafka_offset % 101 = 0 THEN 1e-9 WHEN kafka_offset % 103 = 0 THEN volume * 1e16
+              WHEN kafka_offset % 107 = 0 THEN NULL ELSE volume END AS volume,
          CASE WHEN kafka_offset % 59 = 0 THEN 0 WHEN kafka_offset % 61 = 0 THEN timestamp_ms - 40000000000
               WHEN kafka_offset % 67 = 0 THEN timestamp_ms + 90000000000 ELSE timestamp_ms END AS timestamp_ms,
          kafka_partition, kafka_offset, conditions
@@ -76,16 +89,17 @@ CLEAN = f"""clean AS (
 
 def _errors(strict: bool = False) -> str:
     extra = """,
-       CASE WHEN coalesce(upper(exchange) IN ('BINANCE', 'COINBASE', 'KRAKEN', 'BITFINEX', 'BITSTAMP',
-            'GEMINI', 'HUOBI', 'BITTREX'), false) THEN NULL ELSE 'exchange_unknown' END,
+       CASE WHEN coalesce(upper(exchange) IN (KNOWN), false) THEN NULL
+            ELSE 'exchange_unknown' END,
        CASE WHEN coalesce(length(base_currency) BETWEEN 3 AND 4, false) THEN NULL
             ELSE 'base_currency_format' END,
        CASE WHEN coalesce(length(quote_currency) BETWEEN 3 AND 4, false) THEN NULL
             ELSE 'quote_currency_format' END"""
+    extra = extra.replace("KNOWN", _KNOWN_EXCHANGES)
     return f"""concat_ws(',',
-       CASE WHEN price IS NULL OR price <= 0 THEN 'price_invalid'
+       CASE WHEN price IS NULL OR price <= 0 OR isnan(price) THEN 'price_invalid'
             WHEN price < 1e-8 OR price > 1e15 THEN 'price_out_of_range' END,
-       CASE WHEN volume IS NULL OR volume <= 0 THEN 'volume_invalid'
+       CASE WHEN volume IS NULL OR volume <= 0 OR isnan(volume) THEN 'volume_invalid'
             WHEN volume < 1e-8 OR volume > 1e15 THEN 'volume_out_of_range' END,
        CASE WHEN timestamp_ms IS NULL OR timestamp_ms <= 0 THEN 'timestamp_invalid'
             WHEN timestamp_ms < {NOW_MS} - 31536000000 THEN 'timestamp_too_old'
@@ -202,9 +216,9 @@ FEED = f"""inputs AS (
 feed AS (
   SELECT event_id, ms, CASE event_type
       WHEN 'error' THEN '{{"type":"error","msg":"event ' || event_id || '"}}'
-      WHEN 'signup' THEN CASE event_id % 2 WHEN 0 THEN '{{"type":"ping"}}'
+      WHEN 'signup' THEN CASE event_id % 4 WHEN 0 THEN '{{"type":"ping"}}' WHEN 2 THEN '{{"type":"ping"}} tail'
                                            ELSE '{{"type":"trade","data":[{{"s":' END
-      WHEN 'view' THEN '{{"type":"trade","data":[' || {_ONE} || ']}}'
+      WHEN 'view' THEN '{{"type":"trade","data":[' || {_ONE} || ']}}' || CASE event_id % 9 WHEN 0 THEN ' {{}}' ELSE '' END
       WHEN 'click' THEN '{{"type":"trade","data":[' || {_ONE} || ',' || {_TWO} || ']}}'
       ELSE CASE event_id % 3 WHEN 0 THEN '{{"type":"trade"}}'
                              WHEN 1 THEN '{{"type":"trade","data":[]}}'
@@ -239,8 +253,7 @@ raw AS (
 def _parse(symbol: str, legacy: bool = False) -> str:
     """SELECT items exchange, base_currency, quote_currency, symbol_type."""
     pair = f"upper(substr({symbol}, strpos({symbol}, ':') + 1))"
-    known = f"""({symbol} LIKE '%:%' AND upper(split_part({symbol}, ':', 1)) IN ('BINANCE', 'COINBASE',
-        'KRAKEN', 'BITFINEX', 'BITSTAMP', 'GEMINI', 'HUOBI', 'BITTREX'))"""
+    known = f"""({symbol} LIKE '%:%' AND upper(split_part({symbol}, ':', 1)) IN ({_KNOWN_EXCHANGES}))"""
     base, quote = _split(pair, legacy)
     return f"""
        CASE WHEN {known} THEN upper(split_part({symbol}, ':', 1)) END AS exchange,
@@ -251,9 +264,8 @@ def _parse(symbol: str, legacy: bool = False) -> str:
 
 
 def _split(pair: str, legacy: bool) -> tuple[str, str]:
-    fiat = "USD|USDT|USDC|BUSD|EUR|GBP|JPY" if legacy else "USDT|USDC|BUSD|USD|EUR|GBP|JPY"
     tests = " ".join(
-        f"WHEN {pair} LIKE '%{q}' THEN '{q}'" for q in [*fiat.split("|"), "BTC", "ETH"]
+        f"WHEN {pair} LIKE '%{q}' THEN '{q}'" for q in (LEGACY_QUOTES if legacy else LONGEST_QUOTES)
     )
     quote = f"CASE {tests} END"
     return f"left({pair}, length({pair}) - length({quote}))", quote
@@ -306,11 +318,7 @@ marked AS (
              OR contains(symbol, 'KRAKEN') OR contains(symbol, 'BITFINEX')))
          OR symbol IN (SELECT 'S' || s_suppkey FROM supplier) AS known FROM stocks)"""
 
-_CODES = (
-    "price_invalid price_out_of_range volume_invalid volume_out_of_range timestamp_invalid "
-    "timestamp_too_old timestamp_too_future symbol_empty symbol_invalid_format base_currency_empty "
-    "quote_currency_empty currencies_same"
-).split()
+_CODES = C.ERROR_CODES
 
 _DAILY = f"""
 SELECT {_day('agg_date')} AS agg_date, symbol, count(*) AS hours,
@@ -326,6 +334,25 @@ _NEWEST = "ORDER BY hour_start DESC, symbol, exchange, base_currency, quote_curr
 _RELOADED = f"""{BRONZE}, {CLEAN} SELECT kafka_partition, kafka_offset, trade_index, trade_id,
        {_r('trade_value')} AS trade_value, {_day('trade_date')} AS trade_date FROM clean"""
 
+# Every seventh trade dated a thousand years ahead, every eleventh without a time.
+_WILD = """wild AS (
+  SELECT * REPLACE (CASE WHEN kafka_offset % 11 = 0 THEN NULL WHEN kafka_offset % 7 = 0
+                         THEN trade_datetime + INTERVAL 365000 DAYS ELSE trade_datetime END AS trade_datetime,
+                    CASE WHEN kafka_offset % 11 = 0 THEN NULL WHEN kafka_offset % 7 = 0
+                         THEN cast(trade_datetime + INTERVAL 365000 DAYS AS date) ELSE trade_date END AS trade_date)
+  FROM bronze)"""
+
+_FULL_BRONZE = f"""
+SELECT symbol, exchange, base_currency, quote_currency, {_r('price')} AS price, {_r('volume')} AS volume,
+       {_ts('trade_datetime')} AS trade_datetime, {_day('trade_date')} AS trade_date, timestamp_ms,
+       coalesce(array_to_string(conditions, ','), '') AS conditions, timestamp_ms + 1000 AS ingestion_timestamp_ms,
+       'trade' AS message_type, '{PRODUCER}' AS producer_id, '{TOPIC}' AS kafka_topic, '1.0' AS schema_version,
+       kafka_partition, kafka_offset, {_ts('bronze_ingestion_timestamp')} AS bronze_ingestion_timestamp, trade_index
+FROM {{source}}"""
+
+_STORED = BRONZE + _FULL_BRONZE.format(source="bronze")
+_STORED_WILD = f"{BRONZE}, {_WILD}" + _FULL_BRONZE.format(source="wild")
+
 ORACLE: dict[str, str] = {
     "ohlcv_1h": HOURLY + _CANDLE_SELECT,
     "ohlcv_interval": f"{BRONZE}, {_candles('bronze', '5 minutes')}" + _CANDLE_SELECT,
@@ -352,7 +379,7 @@ ORACLE: dict[str, str] = {
     "parse_json_props": "SELECT event_id, cast(props->>'$.k' AS bigint) AS k FROM events",
     "route_messages": f"""WITH {FEED} SELECT event_id AS "offset", route,
        CASE WHEN route <> 'malformed' THEN json_extract_string(value, '$.type')
-            ELSE 'trade' END AS message_type,
+            WHEN contains(value, '"ping"') THEN 'ping' ELSE 'trade' END AS message_type,
        CASE WHEN route = 'error' THEN json_extract_string(value, '$.msg') END AS error_text,
        CASE WHEN route IN ('trades', 'empty_data') THEN cast(json_array_length(value, '$.data') AS int) END
          AS trades FROM routed""",
@@ -367,7 +394,7 @@ ORACLE: dict[str, str] = {
        replace(lower(any_value(symbol)), ':', '_') AS message_key FROM bronze GROUP BY kafka_offset""",
     "decode_quarantine": f"""WITH {FEED} SELECT cast(event_id % 3 AS int) AS kafka_partition,
        event_id AS kafka_offset, ms AS kafka_timestamp,
-       CASE WHEN route = 'ping' THEN 'value_null' ELSE 'undecodable' END AS decode_error FROM routed""",
+       CASE WHEN contains(value, '"ping"') THEN 'value_null' ELSE 'undecodable' END AS decode_error FROM routed""",
     "explode_trades": f"""WITH {ENRICHED} SELECT kafka_offset, trade_index, 'trade' AS message_type, symbol,
        {_r('price')} AS price FROM bronze""",
     "bronze_trades": f"WITH {ENRICHED}" + _BRONZE_SELECT,
@@ -428,17 +455,27 @@ ORACLE: dict[str, str] = {
     "table_poll": _RELOADED,
     "epoch_replay": f"""{BRONZE} SELECT kafka_partition, kafka_offset, trade_index, symbol, {_r('price')} AS price,
        cast(CASE WHEN trade_date < DATE '{SAMPLE_START}' THEN 0 ELSE 1 END AS bigint) AS write_epoch FROM bronze""",
-    "settled_days": f"""{BRONZE} SELECT kafka_partition, kafka_offset, trade_index, symbol, {_r('price')} AS price
-       FROM bronze""",
+    "settled_days": _STORED,
     "candle_rerun": HOURLY + _CANDLE_SELECT,
     "streaming_bronze": f"WITH {ENRICHED}" + _BRONZE_SELECT,
     "streaming_silver": DIRTY_SILVER + _SILVER_SELECT,
-    "streaming_landing": f"""SELECT cast(event_id % 3 AS int) AS kafka_partition, event_id AS kafka_offset,
-       {_ts('make_timestamp(epoch_us(ts) // 1000 * 1000)')} AS kafka_timestamp, '2024-02-01' AS ingestion_date
-       FROM events""",
-    "streaming_candles": HOURLY + _CANDLE_SELECT + """
-       WHERE priced.hour_end <= (SELECT max(trade_datetime) FROM bronze) - INTERVAL 10 MINUTES""",
-    "streaming_dedupe": f"""{BRONZE} SELECT kafka_partition, kafka_offset, trade_index, symbol, {_r('price')} AS price,
-       {_ts('trade_datetime')} AS trade_datetime FROM bronze
-       WHERE bronze.trade_datetime <= (SELECT max(trade_datetime) FROM bronze) - INTERVAL 10 MINUTES""",
+    "streaming_landing": f"""WITH {FEED} SELECT 'feed' AS kafka_topic, cast(event_id % 3 AS int) AS kafka_partition,
+       event_id AS kafka_offset, {_ts('make_timestamp(ms * 1000)')} AS kafka_timestamp,
+       cast(NULL AS varchar) AS kafka_key, value AS raw_value, cast(strlen(value) AS int) AS raw_value_bytes_len,
+       {NOW} AS bronze_ingestion_ts, '2024-02-01' AS ingestion_date FROM feed""",
+    "streaming_candles": HOURLY + _CANDLE_SELECT,
+    "streaming_candles_wild_date": f"{BRONZE}, {_WILD}, {_candles('(SELECT * FROM wild WHERE trade_datetime IS NOT NULL)')}" + _CANDLE_SELECT,
+    "streaming_dedupe": _STORED,
+    "streaming_dedupe_wild_date": _STORED_WILD,
+    "settled_null_dates": _STORED_WILD,
+    "catalog_candle_rerun": HOURLY + _CANDLE_SELECT,
+    "catalog_epochs": _STORED,
+    "catalog_reload": _RELOADED,
+    "two_checkpoints": _STORED,
+    "settled_and_fresh": _STORED_WILD,
+    "silver_decimals": f"""{DIRTY_BRONZE}, {CLEAN} SELECT kafka_offset,
+       CASE WHEN abs(price) < 1e12 THEN cast(cast(price AS decimal(20,8)) AS varchar) END AS price,
+       CASE WHEN abs(volume) < 1e12 THEN cast(cast(volume AS decimal(20,8)) AS varchar) END AS volume
+       FROM clean""",
+    "peek": f"{BRONZE}, priced AS (SELECT * FROM bronze ORDER BY kafka_partition, kafka_offset, trade_index LIMIT 10)" + _FULL_BRONZE.format(source="priced"),
 }

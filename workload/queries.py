@@ -391,7 +391,8 @@ def symbol_daily_summary(spark, sf_dir):
 
 @query
 def peek(spark, sf_dir):
-    return reports.peek(V.bronze(spark, sf_dir))
+    """The first rows by source key; any rows would do for a look."""
+    return reports.peek(V.bronze(spark, sf_dir), order=KEY)
 
 
 @query
@@ -458,7 +459,7 @@ def settled_days(spark, sf_dir):
         tables.append_epoch(part, epochs, epoch)
     medallion.settle_days(spark, epochs, settled, "2024-01-01", "2024-02-01")
     medallion.settle_days(spark, epochs, settled, SAMPLE_START, SAMPLE_END)
-    return tables.read_table(spark, settled).select(*KEY, "symbol", "price")
+    return tables.read_table(spark, settled)
 
 
 @query
@@ -489,7 +490,7 @@ def _finished(stream: DataFrame, spec: TableSpec) -> DataFrame:
     tables.ensure_table(spark, target)
     checkpoint = scratch_dir(spark, "checkpoint")
     jobs.stream_to_table(stream, target, checkpoint).awaitTermination()
-    return tables.read_table(spark, target).drop(tables.EPOCH_COLUMN)
+    return tables.read_table(spark, target).select(*spec.schema.names)
 
 
 @query
@@ -508,26 +509,137 @@ def streaming_silver(spark, sf_dir):
 @query
 def streaming_landing(spark, sf_dir):
     messages = V.feed_messages(_stream(spark, sf_dir, "events"))
-    landed = _finished(jobs.landing_stream(messages, V.now()), schemas.RAW_LANDING)
-    return landed.select("kafka_partition", "kafka_offset", "kafka_timestamp", "ingestion_date")
+    return _finished(jobs.landing_stream(messages, V.now()), schemas.RAW_LANDING)
+
+
+def _wild(rows: DataFrame) -> DataFrame:
+    """Every seventh trade dated a thousand years ahead, every eleventh without a time."""
+    offset = F.col("kafka_offset")
+    ahead = F.expr("trade_datetime + INTERVAL 365000 DAYS")
+    at = F.when(offset % 11 == 0, F.lit(None)).when(offset % 7 == 0, ahead).otherwise(F.col("trade_datetime"))
+    return rows.withColumn("trade_datetime", at).withColumn("trade_date", F.to_date("trade_datetime"))
+
+
+def _all_candles(stream: DataFrame, trades: DataFrame) -> DataFrame:
+    """The stream's candles, then those it had not closed when it stopped."""
+    jobs.stream_settings(stream.sparkSession)
+    closed = _finished(jobs.candle_stream(stream, clock=V.now()), schemas.CANDLES)
+    rest = medallion.open_candles(closed, trades, clock=V.now())
+    return closed.unionByName(rest).select(*CANDLE_COLUMNS)
 
 
 @query
 def streaming_candles(spark, sf_dir):
-    """Windows the watermark has closed once the data is through."""
-    jobs.stream_settings(spark)
-    rows = V.as_bronze(V.trades(_stream(spark, sf_dir, "events")))
-    return _finished(jobs.candle_stream(rows, clock=V.now()), schemas.CANDLES).select(*CANDLE_COLUMNS)
+    return _all_candles(V.as_bronze(V.trades(_stream(spark, sf_dir, "events"))), V.bronze(spark, sf_dir))
+
+
+@query
+def streaming_candles_wild_date(spark, sf_dir):
+    """Trades out of time neither stop the stream nor get lost."""
+    stream = _wild(V.as_bronze(V.trades(_stream(spark, sf_dir, "events"))))
+    return _all_candles(stream, _wild(V.bronze(spark, sf_dir)))
+
+
+def _stored_once(stream: DataFrame) -> DataFrame:
+    """Every trade twice in the stream, once in the table."""
+    spark = stream.sparkSession
+    target = schemas.BRONZE_TRADES.at(path=scratch_dir(spark, "deduped"))
+    tables.ensure_table(spark, target)
+    twice = stream.withColumn("_copy", F.explode(F.lit([0, 1]))).drop("_copy")
+    jobs.dedupe_to_table(twice, target, scratch_dir(spark, "checkpoint")).awaitTermination()
+    return tables.read_table(spark, target)
 
 
 @query
 def streaming_dedupe(spark, sf_dir):
-    """Every trade twice in the stream; those the watermark has passed."""
-    jobs.stream_settings(spark)
-    once = V.as_bronze(V.trades(_stream(spark, sf_dir, "events")))
-    twice = once.withColumn("_copy", F.explode(F.lit([0, 1]))).drop("_copy")
-    rows = _finished(jobs.dedupe_stream(twice), schemas.BRONZE_TRADES)
-    return rows.select(*KEY, "symbol", "price", "trade_datetime")
+    return _stored_once(V.as_bronze(V.trades(_stream(spark, sf_dir, "events"))))
+
+
+@query
+def streaming_dedupe_wild_date(spark, sf_dir):
+    return _stored_once(_wild(V.as_bronze(V.trades(_stream(spark, sf_dir, "events")))))
+
+
+@query
+def two_checkpoints(spark, sf_dir):
+    """Two streams with checkpoints of their own fill one table."""
+    target = tables.with_epoch(schemas.BRONZE_TRADES).at(path=scratch_dir(spark, "shared"))
+    tables.ensure_table(spark, target)
+    for half in (0, 1):
+        rows = V.as_bronze(V.trades(_stream(spark, sf_dir, "events"))).where(F.col("kafka_offset") % 2 == half)
+        jobs.stream_to_table(rows, target, scratch_dir(spark, "checkpoint")).awaitTermination()
+    return tables.read_table(spark, target).select(*schemas.BRONZE_TRADES.schema.names)
+
+
+@query
+def settled_null_dates(spark, sf_dir):
+    """Days and rows without a date settled, all of them twice."""
+    epochs = tables.with_epoch(schemas.BRONZE_TRADES).at(path=scratch_dir(spark, "epochs"))
+    settled = schemas.BRONZE_TRADES.at(path=scratch_dir(spark, "settled"))
+    tables.append_epoch(_wild(V.bronze(spark, sf_dir)), epochs, 0)
+    for _ in range(2):
+        medallion.settle_days(spark, epochs, settled, "0001-01-01", "9999-12-31")
+    return tables.read_table(spark, settled)
+
+
+@query
+def settled_and_fresh(spark, sf_dir):
+    """Early days read from the settled table, the others from the epochs."""
+    epochs = tables.with_epoch(schemas.BRONZE_TRADES).at(path=scratch_dir(spark, "epochs"))
+    settled = schemas.BRONZE_TRADES.at(path=scratch_dir(spark, "settled"))
+    tables.append_epoch(_wild(V.bronze(spark, sf_dir)), epochs, 0)
+    medallion.settle_days(spark, epochs, settled, "0001-01-01", SAMPLE_START)
+    return tables.read_settled_and_fresh(spark, settled, epochs, SAMPLE_START)
+
+
+# --- catalog tables ---------------------------------------------------------------
+
+
+def _catalog(spark: SparkSession, spec: TableSpec, label: str) -> TableSpec:
+    named = spec.at(name=f"{label}_{scratch_dir(spark, label).rpartition('-')[2]}")
+    tables.ensure_table(spark, named)
+    return named
+
+
+@query
+def catalog_candle_rerun(spark, sf_dir):
+    """All days, then a range again; the other days stay."""
+    source = _catalog(spark, schemas.BRONZE_TRADES, "bronze")
+    target = _catalog(spark, schemas.CANDLES, "candles")
+    tables.append(V.bronze(spark, sf_dir), source)
+    medallion.run_candle_batch(spark, source, target)
+    medallion.run_candle_batch(spark, source, target, SAMPLE_START, SAMPLE_END)
+    tables.overwrite_partitions(tables.read_table(spark, target).limit(0), target)
+    return tables.read_table(spark, target).select(*CANDLE_COLUMNS)
+
+
+@query
+def catalog_epochs(spark, sf_dir):
+    """Three epochs, the last one replayed."""
+    target = _catalog(spark, tables.with_epoch(schemas.BRONZE_TRADES), "epochs")
+    rows = V.bronze(spark, sf_dir)
+    for epoch in (0, 1, 2, 2):
+        tables.append_epoch(rows.where(F.col("kafka_offset") % 3 == epoch), target, epoch)
+    return tables.read_table(spark, target).select(*schemas.BRONZE_TRADES.schema.names)
+
+
+@query
+def catalog_reload(spark, sf_dir):
+    target = _catalog(spark, schemas.SILVER_TRADES_KEYED, "silver")
+    rows = silver.silver_trades(V.bronze(spark, sf_dir), clock=V.now(), keep=C.SOURCE_KEY)
+    for part in (scans.scan_date_range(rows, SAMPLE_START, SAMPLE_END), rows, rows):
+        tables.insert_new(part, target)
+    return tables.read_table(spark, target).select(*KEY, "trade_id", "trade_value", "trade_date")
+
+
+@query
+def silver_decimals(spark, sf_dir):
+    """Exact amounts stored and read back."""
+    target = schemas.SILVER_TRADES_DECIMAL.with_columns(kafka_offset="long").at(path=scratch_dir(spark, "decimals"))
+    rows = silver.silver_trades(V.dirty_bronze(spark, sf_dir), clock=V.now(), decimals=True, keep=("kafka_offset",))
+    tables.append(rows, target)
+    stored = tables.read_table(spark, target)
+    return stored.select("kafka_offset", F.col("price").cast("string"), F.col("volume").cast("string"))
 
 
 @query

@@ -54,13 +54,18 @@ def trades(events: DataFrame) -> DataFrame:
 DIRTY_EXPRS = [
     """CASE WHEN kafka_offset % 41 = 0 THEN ' '
             WHEN kafka_offset % 43 = 0 THEN replace(symbol, ':', '') ELSE symbol END AS symbol""",
-    "exchange",
-    """CASE WHEN kafka_offset % 47 = 0 THEN 'usdt'
-            WHEN kafka_offset % 53 = 0 THEN NULL ELSE base_currency END AS base_currency""",
-    "quote_currency",
+    """CASE WHEN kafka_offset % 5 = 0 THEN 'kraken' WHEN kafka_offset % 71 = 0 THEN NULL
+            ELSE exchange END AS exchange""",
+    """CASE WHEN kafka_offset % 47 = 0 THEN 'usdt' WHEN kafka_offset % 7 = 0 THEN 'btc'
+            WHEN kafka_offset % 53 = 0 OR kafka_offset % 73 = 0 THEN NULL ELSE base_currency END AS base_currency""",
+    """CASE WHEN kafka_offset % 73 = 0 THEN NULL WHEN kafka_offset % 79 = 0 THEN ' '
+            WHEN kafka_offset % 83 = 0 THEN 'eu' WHEN kafka_offset % 89 = 0 THEN 'wrapped'
+            ELSE quote_currency END AS quote_currency""",
     """CASE WHEN kafka_offset % 29 = 0 THEN -price WHEN kafka_offset % 31 = 0 THEN NULL
-            WHEN kafka_offset % 37 = 0 THEN price * 1e15D ELSE price END AS price""",
-    "volume",
+            WHEN kafka_offset % 37 = 0 THEN price * 1e15D
+            WHEN kafka_offset % 97 = 0 THEN double('NaN') ELSE price END AS price""",
+    """CASE WHEN kafka_offset % 101 = 0 THEN 1e-9D WHEN kafka_offset % 103 = 0 THEN volume * 1e16D
+            WHEN kafka_offset % 107 = 0 THEN NULL ELSE volume END AS volume""",
     """CASE WHEN kafka_offset % 59 = 0 THEN 0
             WHEN kafka_offset % 61 = 0 THEN timestamp_ms - 40000000000
             WHEN kafka_offset % 67 = 0 THEN timestamp_ms + 90000000000
@@ -123,9 +128,10 @@ _BARE = """concat('{"s":"', symbol, '","t":', cast(ms AS string), ',"c":null}')"
 FEED_VALUE = f"""
     CASE event_type
       WHEN 'error' THEN concat('{{"type":"error","msg":"event ', cast(event_id AS string), '"}}')
-      WHEN 'signup' THEN CASE event_id % 2 WHEN 0 THEN '{{"type":"ping"}}'
+      WHEN 'signup' THEN CASE event_id % 4 WHEN 0 THEN '{{"type":"ping"}}' WHEN 2 THEN '{{"type":"ping"}} tail'
                                            ELSE '{{"type":"trade","data":[{{"s":' END
-      WHEN 'view' THEN concat('{{"type":"trade","data":[', {_ONE}, ']}}')
+      WHEN 'view' THEN concat('{{"type":"trade","data":[', {_ONE}, ']}}',
+                              CASE event_id % 9 WHEN 0 THEN ' {{}}' ELSE '' END)
       WHEN 'click' THEN concat('{{"type":"trade","data":[', {_ONE}, ',', {_TWO}, ']}}')
       ELSE CASE event_id % 3 WHEN 0 THEN '{{"type":"trade"}}'
                              WHEN 1 THEN '{{"type":"trade","data":[]}}'
