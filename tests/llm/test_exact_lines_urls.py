@@ -35,6 +35,9 @@ def test_groups_of_copies(docs):
     assert sorted(lower(r.text) for r in kept) == sorted(groups)
     assert all(r.doc_id == max((i for i in groups[lower(r.text)] if i is not None), default=None) for r in kept)
     assert exact.keep_one(df).columns == df.columns
+    clash = df.select("doc_id", "text", *(F.lit(c).alias(c) for c in ("_key", "_digest", "_size", "_place", "keep_id")))
+    assert exact.keep_one(clash).columns == clash.columns
+    assert {r[2:] for r in exact.keep_one(clash).collect()} == {("_key", "_digest", "_size", "_place", "keep_id")}
 
 
 def plain_chunks(text, divisor=3):

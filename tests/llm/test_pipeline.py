@@ -67,6 +67,37 @@ def test_run(spark, sf_dir):
     assert rows.count() > 0
 
 
+def test_odd_rows(spark, sf_dir):
+    (item,) = table(spark, sf_dir, "benchmark").limit(1).select("text").collect()[0]
+    prose = [f"the {a} went to the {b} and it was there for some time" for a in ("dog", "cat") for b in ("house", "garden")]
+    long = " ".join(prose) + " " + " ".join(f"the house {chr(97 + i % 26)}{chr(97 + i // 26 % 26)} was there" for i in range(30_000))
+    texts = [*prose, prose[0], prose[0].upper(), long, None, "", "12 34 !?", item]
+    rows = [(i, t, None if i % 2 else "en") for i, t in enumerate(texts)]
+    rows += [(None, "the dog that has no number was in the garden"), (None, None), rows[6], rows[6]]
+    clash = ("_key", "_text", "_id", "_digest", "fingerprint", "keep_id", "lang_pred", "start", "n_words", "ids")
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in clash)
+    full = [(r[0], r[1], r[2] if len(r) > 2 else None, None, None, *clash[:-1], None) for r in rows]
+    docs = spark.createDataFrame(full, schema)
+    columns, seen = docs.columns, {}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = checkpointed(stage(spark, docs, sf_dir))
+        seen[name] = docs.collect()
+        if name != "packing":
+            assert docs.columns == columns
+            assert {r[5:] for r in seen[name]} == {(*clash[:-1], None)}
+    ids = {name: sorted(str(r["doc_id"]) for r in seen[name]) for name in seen}
+    # No letter, no language; repeated rows are still there.
+    assert ids["language_id"] == sorted(["0", "1", "2", "3", "4", "5", "6", "6", "6", "10", "None"])
+    # Of equal texts the largest identifier; of repeated rows one.
+    assert ids["exact_dedup"] == sorted(["1", "2", "3", "5", "6", "10", "None"])
+    assert set(ids["near_dedup"]) <= set(ids["exact_dedup"]) and {"6", "10", "None"} <= set(ids["near_dedup"])
+    # The item itself goes, nothing else does.
+    assert ids["decontamination"] == [i for i in ids["near_dedup"] if i != "10"]
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    kept = {r["doc_id"]: _ids(library, r["text"]) for r in seen["decontamination"]}
+    _check_pieces([r.asDict() for r in seen["packing"]], kept)
+
+
 def test_an_empty_corpus(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").limit(0)
     for _, stage in corpus_pipeline.STAGES:

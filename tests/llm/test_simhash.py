@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tradelake.llm import simhash
 from tradelake.llm.components import components
@@ -120,3 +121,7 @@ def test_odd_rows(docs):
     assert simhash.near_groups(df.limit(0)).count() == 0
     kept = sorted((str(r[0]), r[1]) for r in simhash.keep_one(df).collect())
     assert kept == [("3", "One two three four"), ("3", "u v"), ("7", ""), ("None", "q r s")]
+    clash = df.select("doc_id", "text", *(F.lit(c).alias(c) for c in ("_key", "_fp", "_place", "component_id")))
+    kept = simhash.keep_one(clash)
+    assert kept.columns == clash.columns and kept.count() == 4
+    assert {r[2:] for r in kept.collect()} == {("_key", "_fp", "_place", "component_id")}

@@ -82,11 +82,13 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     """The rows of ``df`` that :func:`group_copies` keeps, with all their columns."""
     groups = group_copies(df, id_col, text_col)
     kept = groups.where("kept").select(_key(F.col("text_sha256"), F.col(id_col)).alias("_key"))
-    keyed = _digests(df, text_col).withColumn("_key", _key(F.lower(F.hex("_digest")), F.col(id_col)))
+    # The row goes along as one value, so that its columns may have any name.
+    whole = df.select(F.struct("*").alias("_whole"), df[id_col].alias("_id"), df[text_col].alias("_text"))
+    keyed = _digests(whole, "_text").select("_whole", _key(F.lower(F.hex("_digest")), F.col("_id")).alias("_key"))
     # The same row twice (identifier and text) is still there twice.
     first = F.row_number().over(Window.partitionBy("_key").orderBy("_key"))
     found = keyed.join(kept, "_key", "left_semi").withColumn("_place", first)
-    return found.where("_place = 1").select(*df.columns)
+    return found.where("_place = 1").select("_whole.*")
 
 
 def _key(digest: Column, identifier: Column) -> Column:

@@ -292,9 +292,11 @@ def keep_one(
     repeat identifier and text count as one.
     """
     key = F.concat_ws(":", F.md5(text_column(df, text_col)), df[id_col].cast("string"))
-    keyed = df.withColumn("_key", key)
-    groups = near_groups(keyed, id_col, text_col, shingle, max_bits, keep=("_key",))
+    texts = df.select(df[id_col], df[text_col], key.alias("_key"))
+    groups = near_groups(texts, id_col, text_col, shingle, max_bits, keep=("_key",))
     best = groups.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select("_key").distinct()
     first = F.row_number().over(Window.partitionBy("_key").orderBy("_key"))
+    # The row goes along as one value, so that its columns may have any name.
+    keyed = df.select(F.struct("*").alias("_whole"), key.alias("_key"))
     found = keyed.join(best, "_key", "left_semi").withColumn("_place", first)
-    return found.where("_place = 1").select(*df.columns)
+    return found.where("_place = 1").select("_whole.*")
