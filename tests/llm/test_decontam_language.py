@@ -108,20 +108,20 @@ def test_cut(spark, docs):
     assert got.where("text IS NULL").count() == 1
 
 
-def plain_bits(texts, text, alphabet):
+def plain_bits(texts, text, most):
     """Code length with escapes (method C) and exclusion, symbol by symbol."""
-    seen = [{}, {}, {}]
+    seen = [{} for _ in range(most + 1)]
     for t in texts:
-        padded = b"  " + t
-        for i in range(2, len(padded)):
-            for order in range(3):
+        padded = b" " * most + t
+        for i in range(most, len(padded)):
+            for order in range(most + 1):
                 ctx = padded[i - order : i]
                 seen[order].setdefault(ctx, {}).setdefault(padded[i], 0)
                 seen[order][ctx][padded[i]] += 1
-    bits, padded = 0.0, b"  " + text
-    for i in range(2, len(padded)):
+    bits, padded = 0.0, b" " * most + text
+    for i in range(most, len(padded)):
         excluded = set()
-        for order in (2, 1, 0):
+        for order in range(most, -1, -1):
             counts = seen[order].get(padded[i - order : i], {})
             counts = {s: c for s, c in counts.items() if s not in excluded}
             if not counts:
@@ -137,14 +137,19 @@ def plain_bits(texts, text, alphabet):
     return bits
 
 
-def test_code_lengths_are_exact():
-    samples = {"x": ["abracadabra ab", "banana bread"], "y": ["zyx zzz", "été"]}
-    models = language.Models(samples)
+@pytest.mark.parametrize("order", range(6))
+@pytest.mark.parametrize("scored", [6, 1 << 20])
+def test_code_lengths_are_exact(monkeypatch, order, scored):
+    monkeypatch.setattr(language, "SCORED", scored)
+    monkeypatch.setattr(language, "COMPUTED", 4 * scored)
+    samples = {"x": ["abracadabra ab", "banana bread", ""], "y": ["zyx zzz", "été"]}
+    models = language.Models(samples, order)
+    assert models.tree.order == order
     texts = [language.normalised(t) for t in ("abra zyx", "", "ba", "Été!7q", "quux" * 50)]
     got = models.bits(texts)
     for k, name in enumerate(models.names):
         learned = [language.normalised(t) for t in samples[name]]
-        plain = [plain_bits(learned, t, None) for t in texts]
+        plain = [plain_bits(learned, t, order) for t in texts]
         assert np.allclose(got[:, k], plain, rtol=1e-5)
 
 
@@ -178,8 +183,12 @@ def test_odd_languages(docs):
 
 
 def test_the_sample_is_bounded(docs):
-    df = docs(*((i, f"text {i} " * 10, "en") for i in range(200)))
+    rng = random.Random(3)
+    df = docs(*((i, random_text(rng, 20, "abcdef"), "en") for i in range(200)))
     few = language.learn(df, max_docs=5, max_bytes=10**6)
-    assert few.tables[0].size == few.n**3
+    many = language.learn(df)
+    assert many.tables[0].size > few.tables[0].size
+    shallow = language.Models({"en": ["some text"]}, table_bytes=1000)
+    assert 0 < shallow.tree.order < language.ORDER and shallow.tables[0].nbytes <= 1000
     whole = language.learn(df, max_docs=1, max_bytes=1)
     assert whole.names == ["en"]

@@ -15,11 +15,14 @@ from tradelake.llm.common import byte_slices, field, per_text, text_column
 # Documents and bytes per language that the statistics are learned from.
 TRAIN_DOCS = 200
 TRAIN_BYTES = 400_000
+# The longest context, in bytes.
+ORDER = 4
 # Bytes of all languages' tables together, which are broadcast.
 TABLE_BYTES = 256 << 20
 UNKNOWN = "und"
-# Bytes scored at once.
+# Bytes scored, and code lengths computed, at once.
 SCORED = 1 << 20
+COMPUTED = 1 << 20
 
 _BLANK = bytes(c if chr(c).isalpha() or c > 127 else 32 for c in range(256))
 
@@ -30,90 +33,137 @@ def normalised(text: str) -> bytes:
 
 
 class Contexts:
-    """Counts of one language's byte contexts of no, one and two bytes.
+    """The tree of contexts of all languages: the symbols before a place, nearest first.
 
-    The three arrays are the levels of the context tree: how often a symbol
-    came, came after one symbol, and after two.
+    A context of ``k`` symbols is a node of level ``k`` below the context without its
+    farthest symbol, and :meth:`walk` goes down from the root as far as the text's
+    symbols lead.  ``keys[k]`` numbers the contexts of a level in ascending order
+    and ``above[k]`` has the place, one level up, of each one's parent.
     """
 
-    def __init__(self, texts: list[bytes], symbols: np.ndarray, n: int):
-        parts = [symbols[np.frombuffer(b"  " + t, np.uint8)] for t in texts]
-        self.n = n
-        self.two = np.zeros(n**3, np.int64)
-        for s in parts:
-            s = s.astype(np.int64)
-            np.add.at(self.two, (s[:-2] * n + s[1:-1]) * n + s[2:], 1)
-        self.two = self.two.reshape(n, n, n)
-        self.one = self.two.sum(axis=0)
-        self.none = self.one.sum(axis=0)
-
-    def code_lengths(self) -> np.ndarray:
-        """Bits of each symbol after each pair of symbols.
-
-        Escape method C: a context seen ``m`` times with ``q`` different symbols
-        gives a symbol seen ``c`` times c/(m+q), and q/(m+q) to the next shorter
-        context, in which the symbols already excluded no longer count.  A
-        context never seen gives way for nothing.  At the end all 256 bytes are
-        equally likely.
+    def __init__(self, keys: list[np.ndarray], n: int):
+        self.keys, self.n, self.order = keys, n, len(keys) - 1
+        self.above = [np.zeros(1, np.int64)]
+        self.above += [np.searchsorted(keys[k - 1], keys[k] % n ** (k - 1)) for k in range(1, self.order + 1)]
+        starts = np.cumsum([0, *(len(k) for k in keys)])
+        # A walk that finds no child stays: it goes on in a copy of the node without ways out.
+        self.inner = int(starts[self.order])
+        stay = self.inner + np.arange(self.inner, dtype=np.int32)
+        below = np.repeat(np.concatenate([stay, stay])[:, None], n, axis=1)
+        for k in range(1, self.order + 1):
+            children = np.arange(starts[k], starts[k + 1]) + (self.inner if k == self.order else 0)
+            below[starts[k - 1] + self.above[k], keys[k] // n ** (k - 1)] = children
+        self.below = below.ravel()
+
+    def walk(self, s: np.ndarray) -> np.ndarray:
+        """The longest context known at each symbol of ``s`` from the place ``order`` on."""
+        m = len(s) - self.order
+        node = np.zeros(m, np.int32)
+        for j in range(1, self.order + 1):
+            node = self.below.take(node * self.n + s[self.order - j : self.order - j + m])
+        return np.where(node >= self.inner, node - self.inner, node)
+
+    def code_lengths(self, grams: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Bits of each symbol (columns) in each context (rows) in one language.
+
+        ``grams[k]`` are the language's contexts of level ``k`` with a symbol behind
+        them, and how often each came.  Escape method C: a context seen ``m`` times
+        with ``q`` different symbols gives a symbol seen ``c`` times c/(m+q), and
+        q/(m+q) to the next shorter context, in which the symbols already excluded
+        no longer count.  A context never seen gives way for nothing.  At the end
+        all 256 bytes are equally likely.
         """
-        n = self.n
-        bits = np.zeros((n, n, n))
-        escaped = np.zeros((n, n, 1))
-        open_ = np.ones((n, n, n), bool)  # not yet coded
-        for level in (self.two, self.one[None, :, :], self.none[None, None, :]):
-            counts = np.where(open_, level, 0)
+        counted = []
+        for keys, (found, times) in zip(self.keys, grams):
+            counts = np.zeros((len(keys), self.n), np.int32)
+            counts[np.searchsorted(keys, found // self.n), found % self.n] = times
+            counted.append(counts)
+        rows, step = [], max(1, COMPUTED // self.n)
+        for k, keys in enumerate(self.keys):
+            for lo in range(0, len(keys), step):
+                rows.append(self._rows(counted, k, np.arange(lo, min(lo + step, len(keys)))))
+        return np.concatenate(rows)
+
+    def _rows(self, counted: list[np.ndarray], level: int, nodes: np.ndarray) -> np.ndarray:
+        bits = np.zeros((len(nodes), self.n))
+        escaped = np.zeros((len(nodes), 1))
+        open_ = np.ones((len(nodes), self.n), bool)  # not yet coded
+        for k in range(level, -1, -1):
+            counts = np.where(open_, counted[k][nodes], 0)
             seen = counts > 0
             total, kinds = counts.sum(-1, keepdims=True), seen.sum(-1, keepdims=True)
             whole = np.maximum(total + kinds, 1)
             bits = np.where(seen, escaped - np.log2(np.maximum(counts, 1) / whole), bits)
             escaped = escaped + np.where(total > 0, -np.log2(np.maximum(kinds, 1) / whole), 0)
             open_ &= ~seen
+            nodes = self.above[k][nodes]
         return np.where(open_, escaped + 8, bits).astype(np.float32)
 
 
+def _grams(texts: list[np.ndarray], n: int, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Contexts of no to ``order`` symbols with the symbol behind, as numbers, and their counts."""
+    keys = [np.zeros(len(t) - order, np.int64) for t in texts]
+    last = np.concatenate([t[order:] for t in texts])
+    out = []
+    for k in range(order + 1):
+        if k:
+            keys = [key + t[order - k : len(t) - k] * n ** (k - 1) for key, t in zip(keys, texts)]
+        out.append(np.unique(np.concatenate(keys) * n + last, return_counts=True))
+    return out
+
+
 class Models:
     """Frozen code lengths of all languages."""
 
-    def __init__(self, samples: dict[str, list[str]]):
+    def __init__(self, samples: dict[str, list[str]], order: int = ORDER, table_bytes: int = TABLE_BYTES):
         self.names = sorted(samples)
-        texts = {k: [normalised(t) for t in v] for k, v in samples.items()}
+        texts = {k: [b" " * order + normalised(t) for t in v] for k, v in samples.items()}
         seen = np.zeros(256, np.int64)
         for found in texts.values():
             for t in found:
                 seen += np.bincount(np.frombuffer(t, np.uint8), minlength=256)
-        seen[32] = seen.max() + 1
-        # Bytes never learned from share the last symbol, and rare ones where
-        # the tables of all languages would be too large.
-        most = int((TABLE_BYTES / 4 / max(1, len(texts))) ** (1 / 3))
-        used = np.argsort(-seen, kind="stable")[: min(most - 1, int((seen > 0).sum()))]
+        # Bytes never learned from share the last symbol.
+        used = np.flatnonzero(seen)
         self.n = len(used) + 1
-        self.symbols = np.full(256, self.n - 1, np.int32)
-        self.symbols[np.sort(used)] = np.arange(self.n - 1)
-        self.tables = [Contexts(texts[k], self.symbols, self.n).code_lengths().ravel() for k in self.names]
+        self.symbols = np.full(256, len(used), np.int32)
+        self.symbols[used] = np.arange(len(used))
+        coded = {k: [self.symbols[np.frombuffer(t, np.uint8)].astype(np.int64) for t in v] for k, v in texts.items()}
+        grams = {k: _grams(v, self.n, order) for k, v in coded.items()}
+        keys = [np.zeros(1, np.int64)]
+        for k in range(1, order + 1):
+            known = np.unique(np.concatenate([np.zeros(0, np.int64), *(g[k][0] // self.n for g in grams.values())]))
+            nodes = sum(map(len, keys)) + len(known)
+            # Where the tables would be too large, the tree is less deep.
+            if not len(known) or nodes * self.n * 4 * len(self.names) > table_bytes:
+                break
+            keys.append(known)
+        self.tree = Contexts(keys, self.n)
+        self.tables = [self.tree.code_lengths(grams[k]).ravel() for k in self.names]
 
     def bits(self, texts: list[bytes]) -> np.ndarray:
         """Code length of every text (rows) in every language."""
         out = np.zeros((len(texts), len(self.names)))
-        sizes = np.array([len(t) for t in texts], np.int64)
+        # A long text is scored in parts, each with the bytes before it as context.
+        order = self.tree.order
+        parts = [
+            (i, (t[at - order : at] if at else b" " * order) + t[at : at + SCORED])
+            for i, t in enumerate(texts)
+            for at in range(0, len(t), SCORED)
+        ]
+        sizes = np.array([len(p) - order for _, p in parts], np.int64)
         for lo, hi in byte_slices(sizes, SCORED):
-            out[lo:hi] = self._scored(texts[lo:hi], sizes[lo:hi])
+            rows = [i for i, _ in parts[lo:hi]]
+            np.add.at(out, rows, self._scored([p for _, p in parts[lo:hi]], sizes[lo:hi]))
         return out
 
-    def _scored(self, texts: list[bytes], sizes: np.ndarray) -> np.ndarray:
-        joined = np.frombuffer(b"".join(b"  " + t for t in texts), np.uint8)
-        s = self.symbols[joined]
-        at = (s[:-2] * self.n + s[1:-1]) * self.n + s[2:]
-        starts = np.concatenate([[0], np.cumsum(sizes + 2)[:-1]])
-        out = np.zeros((len(texts), len(self.names)))
-        some = np.flatnonzero(sizes)
-        if not len(some):
-            return out
-        # Sums from each text's start to its end; what lies between texts is left out.
-        edges = np.stack([starts[some], starts[some] + sizes[some]], axis=1).ravel()
-        for k, table in enumerate(self.tables):
-            sums = np.add.reduceat(np.append(table[at], 0), edges, dtype=np.float64)
-            out[some, k] = sums[::2]
-        return out
+    def _scored(self, parts: list[bytes], sizes: np.ndarray) -> np.ndarray:
+        s = self.symbols[np.frombuffer(b"".join(parts), np.uint8)]
+        at = self.tree.walk(s) * self.n + s[self.tree.order :]
+        starts = np.concatenate([[0], np.cumsum(sizes + self.tree.order)[:-1]])
+        # Sums from each part's start to its end; what lies between parts is left out.
+        edges = np.stack([starts, starts + sizes], axis=1).ravel()
+        sums = [np.add.reduceat(np.append(t[at], 0), edges, dtype=np.float64)[::2] for t in self.tables]
+        return np.stack(sums, axis=1)
 
     def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
         bits = self.bits([normalised(t) for t in texts]) if self.names else np.zeros((len(texts), 0))
