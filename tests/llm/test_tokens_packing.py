@@ -73,7 +73,12 @@ def test_words_encode_as_whole_texts(word_library):
     assert [np.frombuffer(x, "<u4").tolist() for x in found] == [_ids(word_library, t) for t in ODD]
 
 
-def test_forgetting_changes_nothing(byte_library, monkeypatch):
+def test_forgetting_changes_nothing(byte_library, word_library, monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 1)
+    encode = packing.Encoder(WORDS)
+    for text in ODD * 3 + ["ÀÉ, Ünd!! àé, ünd ß ÿ×÷", "x" * 100, "É" * 40 + "!", "x" * 100]:
+        assert np.frombuffer(encode([text])[0], "<u4").tolist() == _ids(word_library, text)
+    assert all(len(w) <= packing.LONG_WORD for w in [*encode.words, *encode.older])
     monkeypatch.setattr(tokens, "REMEMBERED", 1)
     counter = tokens.LengthCounter(BYTES)
     assert [counter([t])[0] for t in ODD * 2] == _lengths(byte_library, ODD * 2)

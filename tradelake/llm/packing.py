@@ -21,13 +21,13 @@ from tradelake.llm.common import byte_slices, field, text_column
 
 # Distinct words in each of a worker's two generations of remembered words.
 REMEMBERED = 250_000
-CALL_WORDS = 2_000
 LONG_WORD = 64
 # Rows handed to Spark at once, in bytes of ids.
 OUT_BYTES = 4 << 20
 
-# Small letters (they stay as they are under the normalizer), then ASCII marks.
-_LETTERS = re.compile("([a-z\xdf-\xf6\xf8-\xff]+)([!-/:-@\\[-`{-~]*)")
+# Letters that the normalizer only lower-cases, one by one, then ASCII marks.
+_LETTERS = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-/:-@\\[-`{-~]*)")
+_MARKED = re.compile(_LETTERS.pattern.replace("+)", "*)"))
 
 
 def cuts_at_white_space(spec: dict) -> bool:
@@ -50,6 +50,20 @@ def _packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+class _Words(dict):
+    """Ids by word; a word that is not there is encoded and, unless it is long, remembered."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.encode(word)
+        if len(word) <= LONG_WORD:
+            self[word] = ids
+        return ids
+
+
 class Encoder:
     """Token ids of texts as little-endian unsigned 32-bit numbers.
 
@@ -61,64 +75,56 @@ class Encoder:
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
-        self.letters = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         self.by_word = cuts_at_white_space(spec)
+        # How the model writes the letters beyond ASCII.
+        written = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.letters = {c: written(chr(c))[0][0] for c in range(0xC0, 0x100)}
         # Special strings are looked up before letters are lower-cased.
-        self.special = [a["content"].encode().lower() for a in spec.get("added_tokens") or []]
+        self.special = [a["content"].lower() for a in spec.get("added_tokens") or []]
+        # Those that may stand inside letters with marks behind.
+        self.plain = [x for x in self.special if _MARKED.fullmatch(x)]
         # A full generation becomes the older one; words met again move on.
-        self.words: dict[bytes, bytes] = {}
+        self.words = _Words(self._word)
         self.older: dict[bytes, bytes] = {}
         self.runs: dict[str, bytes] = {}
 
     def _split(self, data: bytes) -> list[bytes]:
         lower = data.lower()
-        return (data if any(s in lower for s in self.special) else lower).split()
+        return (data if any(x.encode() in lower for x in self.special) else lower).split()
 
     def _run(self, run: str) -> bytes:
         """Ids of one pre-token of letters or of ASCII marks."""
         found = self.runs.get(run)
         if found is None:
-            whole = run if run.isascii() else self.letters(run)[0][0]
+            whole = run if run.isascii() else run.translate(self.letters)
             found = self.runs[run] = _packed([t.id for t in self.library.model.tokenize(whole)])
         return found
 
-    def _learn(self, wanted: set[bytes]) -> None:
-        if len(self.words) > REMEMBERED:
-            self.older, self.words = self.words, {}
-            self.runs.clear()
-        words, older, other = self.words, self.older, []
-        for word in wanted:
-            if word in words:
-                continue
-            known = older.get(word)
-            if known is not None:
-                words[word] = known
-                continue
-            simple = _LETTERS.fullmatch(word.decode()) if len(word) <= LONG_WORD else None
-            if simple and not any(s in word for s in self.special):
-                letters, marks = simple.groups()
-                words[word] = self._run(letters) + (self._run(marks) if marks else b"")
-            else:
-                other.append(word)
-        for i in range(0, len(other), CALL_WORDS):
-            part = other[i : i + CALL_WORDS]
-            encoded = self.library.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            for word, e in zip(part, encoded, strict=True):
-                words[word] = _packed(e.ids)
+    def _word(self, word: bytes) -> bytes:
+        known = self.older.get(word)
+        if known is not None:
+            return known
+        text = word.decode()
+        simple = _LETTERS.fullmatch(text) if len(word) <= LONG_WORD else None
+        if simple and not (self.plain and any(x in text.lower() for x in self.plain)):
+            letters, marks = simple.groups()
+            return self._run(letters.lower()) + (self._run(marks) if marks else b"")
+        return _packed(self.library.encode(text, add_special_tokens=False).ids)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             encoded = self.library.encode_batch_fast(texts, add_special_tokens=False)
             return [_packed(e.ids) for e in encoded]
-        words = [self._split(t.encode()) for t in texts]
-        self._learn(set().union(*words))
+        if len(self.words) > REMEMBERED:
+            self.older, self.words = self.words, _Words(self._word)
+            self.runs.clear()
         of = self.words.__getitem__
-        return [b"".join(map(of, w)) for w in words]
+        return [b"".join(map(of, self._split(t.encode()))) for t in texts]
 
 
 @functools.lru_cache(maxsize=4)
