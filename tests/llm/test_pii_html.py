@@ -1,4 +1,5 @@
 import hashlib
+import functools
 import html
 import re
 
@@ -186,3 +187,23 @@ def test_empty_and_repeated_pages(spark):
     rows = wrappers.extract_text(df).collect()
     assert [tuple(r) for r in rows] == [(1, "http://e.test/", "same")] * 3
     assert wrappers.extract_text(df.limit(0)).count() == 0
+
+
+def _extracted(pages):
+    """Texts of pages of one host, by wrappers of one run and of runs merged in both orders."""
+    whole = wrappers.infer(("http://h.test/", p) for p in pages)["h.test"]
+    single = [wrappers.infer([("http://h.test/", p)])["h.test"] for p in pages]
+    found = [whole, functools.reduce(wrappers.Wrapper.merged, single), functools.reduce(wrappers.Wrapper.merged, single[::-1])]
+    first, *others = ([wrappers.extract(p, w.dump()) for p in pages] for w in found)
+    assert all(texts == first for texts in others)
+    return first
+
+
+@pytest.mark.parametrize("other", ["promo", "intro"])
+def test_pages_that_differ_in_one_opening_tag(other):
+    page = "<body><div class='{c}'>notice {i}</div><article><p>Text {i}</p><div class='ad'><div class='ad'>buy</div>now</div></article><footer>f</footer></body>"
+    pages = [page.format(c=c, i=i) for i, c in enumerate(["ad", other, "ad", other])]
+    assert _extracted(pages) == [f"Text {i}" for i in range(4)]
+    plain = [p.replace("article>", "section>") for p in pages]
+    intro = ["", "notice {} "][other == "intro"]
+    assert _extracted(plain) == [intro.format(i) * (i % 2) + f"Text {i}" for i in range(4)]
