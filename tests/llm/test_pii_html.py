@@ -207,3 +207,11 @@ def test_pages_that_differ_in_one_opening_tag(other):
     plain = [p.replace("article>", "section>") for p in pages]
     intro = ["", "notice {} "][other == "intro"]
     assert _extracted(plain) == [intro.format(i) * (i % 2) + f"Text {i}" for i in range(4)]
+
+
+def test_pages_with_and_without_an_article_on_one_host():
+    with_one = "<body><article><p>a {i}</p><p>b {i}</p></article><p>rights</p></body>"
+    without = "<body><h2>Title {i}</h2><div>Text {i}</div><p>rights</p></body>"
+    pages = [with_one.format(i=0), without.format(i=1), with_one.format(i=2), without.format(i=3)]
+    assert _extracted(pages) == ["a 0 b 0", "Title 1 Text 1", "a 2 b 2", "Title 3 Text 3"]
+    assert _extracted([with_one.format(i=0), with_one.format(i=1), "<body><h2>one</h2><div>alone</div></body>"])[2] == "one alone"
