@@ -215,3 +215,15 @@ def test_pages_with_and_without_an_article_on_one_host():
     pages = [with_one.format(i=0), without.format(i=1), with_one.format(i=2), without.format(i=3)]
     assert _extracted(pages) == ["a 0 b 0", "Title 1 Text 1", "a 2 b 2", "Title 3 Text 3"]
     assert _extracted([with_one.format(i=0), with_one.format(i=1), "<body><h2>one</h2><div>alone</div></body>"])[2] == "one alone"
+
+
+def test_copies_of_a_page_share_no_boilerplate(spark):
+    page = "<body><h2>Title</h2><p class=ad>{}</p><div>Text</div><p>rights</p></body>"
+    assert _extracted([page] * 3) == ["Title Text rights"] * 3
+    assert _extracted([page.format(i) for i in range(3)]) == ["Title Text rights"] * 3
+    other = page.replace("Title", "Other").replace("Text", "More")
+    assert _extracted([page, page, other]) == ["Title Text"] * 2 + ["Other More"]
+    assert _extracted([page, page, "<ul><li>x"]) == ["Title Text rights"] * 2 + ["x"]
+    for parts in (1, 3):
+        df = _pages(spark, [("http://f.test/", page)] * 6).repartition(parts)
+        assert {r.text for r in wrappers.extract_text(df).collect()} == {"Title Text rights"}
