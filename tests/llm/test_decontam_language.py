@@ -108,6 +108,26 @@ def test_cut(spark, docs):
     assert got.where("text IS NULL").count() == 1
 
 
+def test_blocks_change_no_cut(spark, docs):
+    rng = random.Random(4)
+    items = [(str(i), random_text(rng, rng.randint(2, 9), "abcdefgh")) for i in range(30)]
+    items += [("x", "one two three"), ("y", "four five six"), ("z", "p q")]
+    texts = [random_text(rng, rng.randint(0, 60), "abcdefghijklm") for _ in range(80)]
+    # Hit for 30 % by each of two items; an item that forms where another was cut out; none.
+    texts += ["one two three k l four five six m n", "p one two three q m n o r s t u v w x y", "k l m", None, ""]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    df = docs(*enumerate(texts), (None, texts[0])).withColumnRenamed("source", "_text")
+    matcher = decontam.Automaton(items, 3)
+    plain = [(i, t, decontam.without_hits(t or "", matcher, 0.5)) for i, t in [*enumerate(texts), (None, texts[0])]]
+    expected = sorted(str((i, cut if t else t, len(cut))) for i, t, cut in plain if cut is not None)
+    for block in (decontam.BLOCK_BYTES, 150, 60):
+        got = decontam.cut_overlaps(df, bench, window=3, block_bytes=block)
+        assert got.schema == df.schema
+        assert sorted(str((r.doc_id, r.text, r.n_chars)) for r in got.collect()) == expected
+    assert len(plain) > len(expected) > 20 and any(t != cut for _, t, cut in plain if t and cut)
+    assert [cut and cut.split() for _, _, cut in plain[80:83]] == [None, list("mnorstuvwxy"), list("klm")]
+
+
 def plain_bits(texts, text, most):
     """Code length with escapes (method C) and exclusion, symbol by symbol."""
     seen = [{} for _ in range(most + 1)]

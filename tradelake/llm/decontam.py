@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -150,18 +152,24 @@ def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def automata(
-    benchmark: DataFrame, item_col: str, text_col: str, window: int, block_bytes: int = BLOCK_BYTES
-) -> Iterator[Automaton]:
-    """One automaton per block of items; a block's size is bounded before it is collected."""
+def item_blocks(
+    benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int = BLOCK_BYTES
+) -> list[DataFrame]:
+    """The items (item, text) in blocks of about ``block_bytes`` of text."""
     name = F.coalesce(F.col(item_col).cast("string"), F.lit(""))
     text = text_column(benchmark, text_col)
     items = benchmark.select(name.alias("item"), text.alias("text"))
     size = items.select(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-size // block_bytes) or 1
-    for block in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block) if blocks > 1 else items
-        yield Automaton([(r[0], r[1]) for r in part.collect()], window)
+    if blocks == 1:
+        return [items]
+    return [items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block) for block in range(blocks)]
+
+
+def _shared(items: DataFrame, window: int) -> Broadcast:
+    """The automaton of one block of items; the driver keeps none."""
+    automaton = Automaton([(r[0], r[1]) for r in items.collect()], window)
+    return items.sparkSession.sparkContext.broadcast(automaton)
 
 
 SPANS = T.ArrayType(T.StructType([field("start", "bigint"), field("end", "bigint")]))
@@ -200,16 +208,17 @@ def find_overlaps(
         F.lit(None).cast(SPANS).alias("word_spans"),
         F.lit(None).cast(NAMES).alias("item_ids"),
     )
-    blocks = list(automata(benchmark, item_col, item_text_col, window, block_bytes))
-    for i, automaton in enumerate(blocks):
-        found = _passed(found, kept, automaton)
+    blocks = item_blocks(benchmark, item_col, item_text_col, block_bytes)
+    for i, items in enumerate(blocks):
+        shared = _shared(items, window)
+        found = _passed(found, kept, shared)
         if i + 1 < len(blocks):
             found = checkpointed(found)
+            shared.destroy()
     return found.drop("_text")
 
 
-def _passed(found: DataFrame, kept: list[str], automaton: Automaton) -> DataFrame:
-    shared = found.sparkSession.sparkContext.broadcast(automaton)
+def _passed(found: DataFrame, kept: list[str], shared: Broadcast) -> DataFrame:
     fields = [found.schema[c] for c in kept]
     schema = T.StructType(
         [*fields, field("_text", "string"), field("n_words", "bigint"), field("word_spans", SPANS)]
@@ -250,6 +259,7 @@ def cut_overlaps(
     item_text_col: str = "text",
     window: int = 10,
     max_coverage: float = 0.5,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """The rows of ``df`` without the benchmark's passages, with the same columns.
 
@@ -257,23 +267,84 @@ def cut_overlaps(
     break and looked at again until nothing is hit.  A document of whose words
     more than ``max_coverage`` were hit goes as a whole.  Other rows stay as they
     are.  ``n_chars``, if there is such a column, follows the text.
+
+    Of a benchmark in several blocks, the hits of all are gathered before a text is
+    judged and cut, so that blocks change no result.  Every look at the texts is
+    then a pass per block; after the first look only cut texts are looked at.
     """
     schema = df.schema
     place = schema.names.index(text_col)
     chars = schema.names.index("n_chars") if "n_chars" in schema.names else None
-    blocks = automata(benchmark, item_col, item_text_col, window)
-    for automaton in blocks:
-        shared = df.sparkSession.sparkContext.broadcast(automaton)
+    blocks = item_blocks(benchmark, item_col, item_text_col, block_bytes)
+    if len(blocks) == 1:
+        shared = _shared(blocks[0], window)
 
-        def run(batches, shared=shared):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             matcher = shared.value
             for batch in batches:
                 sizes = pc.fill_null(pc.binary_length(batch.column(place)), 0).to_numpy(zero_copy_only=False)
                 for lo, hi in byte_slices(sizes):
                     yield _cleaned(batch.slice(lo, hi - lo), place, chars, matcher, max_coverage)
 
-        df = df.mapInArrow(run, schema)
-    return df
+        return df.mapInArrow(run, schema)
+    return _cut_by_blocks(df, blocks, place, chars, window, max_coverage)
+
+
+# Columns of a row on its way through several blocks: the row's own, then these.
+STATE = [field("_text", "string"), field("_total", "bigint"), field("_hit", "bigint")]
+
+
+def _cut_by_blocks(
+    df: DataFrame, blocks: list[DataFrame], place: int, chars: int | None, window: int, most: float
+) -> DataFrame:
+    """:func:`without_hits` for all rows, with one automaton at a time."""
+    schema, own = df.schema, len(df.schema)
+    inner = T.StructType([field(f"_c{i}", f.dataType) for i, f in enumerate(schema)])
+    state = T.StructType([*inner, *STATE])
+    looked = T.StructType([*state, field("_spans", SPANS), field("_names", NAMES)])
+    rows = df.toDF(*inner.names)
+    text = F.coalesce(F.col(f"_c{place}"), F.lit(""))
+    rows = rows.select("*", text.alias("_text"), F.lit(None).cast("bigint").alias("_total"), F.lit(0).cast("bigint").alias("_hit"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep, texts, totals, hits = [], [], [], []
+            columns = (batch.column(own + k).to_pylist() for k in range(4))
+            for i, (old, total, hit, spans) in enumerate(zip(*columns, strict=True)):
+                spans = [(s["start"], s["end"]) for s in spans]
+                total = len(words_of(old)) if total is None else total
+                hit += sum(b - a for a, b in spans)
+                if hit <= most * total or not spans:
+                    keep.append(i)
+                    texts.append(_cut(old, spans) if spans else old)
+                    totals.append(total)
+                    hits.append(hit)
+            kept = batch.take(pa.array(keep, pa.int64()))
+            arrays = [*kept.columns[:own], pa.array(texts, pa.string()), pa.array(totals, pa.int64()), pa.array(hits, pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, state.names)
+
+    done = []
+    while True:
+        found = rows.select("*", F.lit(None).cast(SPANS).alias("word_spans"), F.lit(None).cast(NAMES).alias("item_ids"))
+        for items in blocks:
+            shared = _shared(items, window)
+            found = checkpointed(_passed(found, [*inner.names, "_total", "_hit"], shared))
+            shared.destroy()
+        found = found.select(*state.names, F.col("word_spans").alias("_spans"), F.col("item_ids").alias("_names"))
+        hit = F.size("_spans") > 0
+        done.append(found.where(~hit).select(*state.names))
+        if found.where(hit).isEmpty():
+            break
+        rows = checkpointed(found.where(hit).select(*looked.names).mapInArrow(cut, state))
+    whole = functools.reduce(DataFrame.union, done)
+
+    def finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            old, new = batch.column(place), batch.column(own)
+            new = pc.if_else(pc.is_valid(old), new, old)
+            yield _with_text(pa.RecordBatch.from_arrays(batch.columns[:own], schema.names), place, chars, new)
+
+    return whole.select(*inner.names, "_text").mapInArrow(finished, schema)
 
 
 def _cleaned(part, place: int, chars: int | None, matcher: Automaton, most: float):
@@ -285,9 +356,13 @@ def _cleaned(part, place: int, chars: int | None, matcher: Automaton, most: floa
         rows.append(i)
         texts.append(cut if text is not None else None)
     part = part.take(pa.array(rows, pa.int64()))
+    return _with_text(part, place, chars, pa.array(texts, part.column(place).type))
+
+
+def _with_text(part: pa.RecordBatch, place: int, chars: int | None, new: pa.Array) -> pa.RecordBatch:
+    """The rows with another text, which ``n_chars`` follows."""
     arrays = list(part.columns)
-    old, new = arrays[place], pa.array(texts, arrays[place].type)
-    arrays[place] = new
+    old, arrays[place] = arrays[place], new
     if chars is not None and pa.types.is_integer(arrays[chars].type):
         same = pc.fill_null(pc.equal(old, new), True)
         arrays[chars] = pc.if_else(same, arrays[chars], pc.cast(pc.utf8_length(new), arrays[chars].type))
@@ -303,10 +378,15 @@ def without_hits(text: str, matcher: Automaton, most: float) -> str | None:
         hit += sum(b - a for a, b in spans)
         if hit > most * total:
             return None
-        places, kept, at = word_places(text), [], 0
-        for a, b in spans:
-            kept.append(text[at : places[a][0]])
-            at = places[b - 1][1]
-        text = "\n".join([*kept, text[at:]])
+        text = _cut(text, spans)
         spans, _ = matcher.hits(words_of(text))
     return text
+
+
+def _cut(text: str, spans: list[tuple[int, int]]) -> str:
+    """The text without these words."""
+    places, kept, at = word_places(text), [], 0
+    for a, b in spans:
+        kept.append(text[at : places[a][0]])
+        at = places[b - 1][1]
+    return "\n".join([*kept, text[at:]])
