@@ -24,8 +24,8 @@ from tradelake.llm.common import checkpointed, table
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages of ``documents``.
 
-    Null or empty texts and texts without a letter have none and go, and so do texts
-    that fit no language best.  Repeated rows share one fate.
+    Null or empty texts and texts without a letter have none and go; a text that
+    fits several languages alike stays.  Repeated rows share one fate.
     """
     return language.keep_identified(docs, language.learn(table(spark, sf_dir, "documents")))
 

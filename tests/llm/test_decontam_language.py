@@ -202,6 +202,13 @@ def test_odd_languages(docs):
     assert {r.lang_pred for r in language.identify(odd, nothing).collect()} == {"und"}
 
 
+def test_texts_that_fit_several_languages_stay(docs):
+    models = language.Models({name: ["the same words"] for name in "abcd"})
+    df = docs((1, "words"), (2, "same"), (3, "12 !"))
+    assert max(r.score for r in language.identify(df, models).collect()) < 0.5
+    assert {r.doc_id for r in language.keep_identified(df, models).collect()} == {1, 2}
+
+
 def test_the_sample_is_bounded(docs):
     rng = random.Random(3)
     df = docs(*((i, random_text(rng, 20, "abcdef"), "en") for i in range(200)))

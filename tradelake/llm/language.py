@@ -248,13 +248,11 @@ def identify(
     return per_text(df, [text_col], fields, make, kept=[id_col])
 
 
-def keep_identified(
-    df: DataFrame, models: Models, text_col: str = "text", min_score: float = 0.5
-) -> DataFrame:
+def keep_identified(df: DataFrame, models: Models, text_col: str = "text") -> DataFrame:
     """The rows of ``df`` with a language, with all their columns.
 
-    Rows go whose text has none (:data:`UNKNOWN`) or whose score is below
-    ``min_score``, which only a text that fits several languages alike can have.
+    Rows go whose text has none (:data:`UNKNOWN`); one that fits several languages
+    alike has one of them, and stays.
     """
     shared = df.sparkSession.sparkContext.broadcast(models)
     place = df.schema.names.index(text_col)
@@ -264,8 +262,8 @@ def keep_identified(
             texts = pc.fill_null(batch.column(place), "")
             sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
             for lo, hi in byte_slices(sizes):
-                names, scores = shared.value.predict(texts.slice(lo, hi - lo).to_pylist())
-                mask = [n != UNKNOWN and s >= min_score for n, s in zip(names, scores, strict=True)]
+                names, _ = shared.value.predict(texts.slice(lo, hi - lo).to_pylist())
+                mask = [n != UNKNOWN for n in names]
                 yield batch.slice(lo, hi - lo).filter(pa.array(mask, pa.bool_()))
 
     return df.mapInArrow(run, df.schema)
