@@ -142,6 +142,20 @@ def test_urls(spark, monkeypatch, size):
     assert nothing.where(F.col("rule").isNull() & (F.col("verdict") == "block")).count() == len(CASES)
 
 
+@pytest.mark.parametrize("size", [urls.BROADCAST_BYTES, 1])
+def test_hosts_beyond_ascii_and_rules_without_a_path(spark, monkeypatch, size):
+    monkeypatch.setattr(urls, "BROADCAST_BYTES", size)
+    cases = {
+        "http://ÜNDER.org/x": ("Ünder.org", "/x", "Ünder.ORG/", "block"),
+        "http://ünder.org/x": ("ünder.org", "/x", None, "allow"),
+        "http://a.Bare.org/x": ("a.bare.org", "/x", "bare.org", "block"),
+    }
+    pages = spark.createDataFrame(list(enumerate(cases)), "page_id long, url string")
+    rules = spark.createDataFrame([("block", "Ünder.ORG/"), ("block", "bare.org")], "verdict string, rule string")
+    got = {r.page_id: tuple(r)[1:] for r in urls.filter_urls(pages, rules).collect()}
+    assert [got[i] for i in range(len(cases))] == list(cases.values())
+
+
 def test_rules_must_allow_or_block():
     with pytest.raises(ValueError):
         urls.build_trie([("deny", "org/")])

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradelake.llm.common import checkpointed, field, per_text
+from tradelake.llm.exact import lower_ascii
 
 # Rules above this size (text bytes) are joined instead of broadcast.
 BROADCAST_BYTES = 32 << 20
@@ -144,8 +145,8 @@ def _join_rules(df: DataFrame, rules: DataFrame, id_col: str, url_col: str, defa
     parts = F.split(F.col(rule), "/", 2)
     tidy = (
         rules.select(
-            F.lower(parts[0]).alias("_h"),
-            F.concat(F.lit("/"), parts[1]).alias("_p"),
+            lower_ascii(parts[0]).alias("_h"),
+            F.concat(F.lit("/"), F.coalesce(F.try_element_at(parts, F.lit(2)), F.lit(""))).alias("_p"),
             F.col(rule).alias("_rule"),
             F.col(verdict).alias("_verdict"),
         )
@@ -160,7 +161,7 @@ def _join_rules(df: DataFrame, rules: DataFrame, id_col: str, url_col: str, defa
     base = df.select(
         F.col(id_col),
         F.monotonically_increasing_id().alias("_row"),
-        F.lower(F.regexp_extract(rest, r"(?s)^([^/]*)", 1)).alias("host"),
+        lower_ascii(F.regexp_extract(rest, r"(?s)^([^/]*)", 1)).alias("host"),
         F.regexp_extract(rest, r"(?s)^[^/]*(.*)$", 1).alias("path"),
     )
     base = checkpointed(base)
