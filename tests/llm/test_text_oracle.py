@@ -6,11 +6,11 @@ import pytest
 from tradelake.llm.oracle_sql import ORACLE
 from tradelake.llm.queries import QUERIES
 
-TABLES = ("documents", "pages", "benchmark", "labels")
+TABLES = ("documents", "pages", "benchmark", "labels", "embeddings")
 
 
 def test_every_operator_has_one_query():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert set(ORACLE) <= set(QUERIES)
 
 
