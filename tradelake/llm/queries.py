@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelake.llm import decontam, exact, language, lines, packing, pii, simhash, tokens, urls, wrappers
+from tradelake.llm import (
+    decontam,
+    exact,
+    language,
+    lines,
+    packing,
+    pii,
+    resampling,
+    simhash,
+    tokens,
+    urls,
+    wrappers,
+)
 from tradelake.llm.common import table
 from tradelake.llm.oracle_sql import ORACLE  # noqa: F401
 
@@ -109,3 +121,9 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", *(pii.counted("base", kind).alias(f"n_{kind}") for kind in pii.KINDS), F.sha2(pii.joined("base"), 256).alias("base_sha256"), pii.joined("spans").alias("spans")
     )
+
+
+@_query
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of the documents, drawn towards the benchmark's words and word pairs."""
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
