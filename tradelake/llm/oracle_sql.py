@@ -61,8 +61,51 @@ SELECT doc_id, sum(size)::BIGINT AS n_lines,
 FROM flagged GROUP BY doc_id
 """
 
+
+
+def _codes(rounds: int = 2) -> str:
+    """Codebooks of 64 entries for 16 parts; distances are whole numbers, kept exact by doubles."""
+    steps = [
+        """kept AS (
+    SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS (
+    SELECT r, p, v[p * (len(v) // 16) + 1 : (p + 1) * (len(v) // 16)] AS x FROM kept, range(16) t(p)
+), book0 AS (
+    SELECT p, r - 1 AS e, x AS c FROM parts WHERE r <= 64
+)"""
+    ]
+    for i in range(rounds + 1):
+        steps.append(f"""code{i} AS (
+    SELECT r, p, any_value(x) AS x,
+           min(((list_inner_product(x, x) - 2 * list_inner_product(x, c) + list_inner_product(c, c)) * 64 + e)::BIGINT) AS k
+    FROM parts JOIN book{i} USING (p) GROUP BY r, p
+)""")
+        if i < rounds:
+            steps.append(f"""mean{i} AS (
+    SELECT p, e, list(m ORDER BY i) AS c
+    FROM (SELECT p, k % 64 AS e, i, floor(sum(x[i]) / count(*)) AS m
+          FROM code{i}, range(1, 1 + (SELECT max(len(x)) FROM parts)) t(i) GROUP BY ALL) GROUP BY p, e
+), book{i + 1} AS (
+    SELECT b.p, b.e, coalesce(m.c, b.c) AS c FROM book{i} b LEFT JOIN mean{i} m ON b.p = m.p AND b.e = m.e
+)""")
+    steps.append(f"""coded AS (
+    SELECT r, string_agg(lower(printf('%02x', k % 64)), '' ORDER BY p) AS code, sum(k // 64)::BIGINT AS error
+    FROM code{rounds} GROUP BY r
+), books AS (
+    SELECT sha256(string_agg(y::BIGINT::VARCHAR, ',' ORDER BY p, e, i)) AS codebooks_sha256
+    FROM (SELECT p, e, unnest(c) AS y, unnest(range(len(c))) AS i FROM book{rounds})
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM coded JOIN kept USING (r), books""")
+    return "WITH " + ", ".join(steps)
+
+
 ORACLE = {
     "op2_url_filters": URLS,
     "op6_exact_dedup": EXACT,
     "op7_line_dedup": LINES,
+    "op12_vector_code_compression": _codes(),
 }

@@ -19,6 +19,7 @@ from tradelake.llm import (
     simhash,
     tokens,
     urls,
+    vector_codes,
     wrappers,
 )
 from tradelake.llm.common import table
@@ -127,3 +128,9 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A quarter of the documents, drawn towards the benchmark's words and word pairs."""
     return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@_query
+def op12_vector_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixteen bytes per vector, and their errors."""
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
