@@ -62,6 +62,37 @@ FROM flagged GROUP BY doc_id
 """
 
 
+NEAR = """
+WITH RECURSIVE worded AS (
+    SELECT doc_id, regexp_extract_all({lower}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, unnest(CASE
+        WHEN len(w) = 0 THEN []
+        WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s
+    FROM worded
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), meets AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both
+    FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM meets JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+    WHERE 100 * both >= 85 * (p.n + q.n - both)
+), edges AS (
+    SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+    SELECT a AS doc_id, a AS other FROM edges
+    UNION
+    SELECT reach.doc_id, edges.b FROM reach JOIN edges ON reach.other = edges.a
+), least AS (
+    SELECT doc_id, min(other) AS least FROM reach GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(least, d.doc_id) AS component_id,
+       coalesce(least, d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN least l ON l.doc_id = d.doc_id
+""".format(lower=LOWER.format("coalesce(text, '')"))
+
 
 def _codes(rounds: int = 2) -> str:
     """Codebooks of 64 entries for 16 parts; distances are whole numbers, kept exact by doubles."""
@@ -107,5 +138,6 @@ ORACLE = {
     "op2_url_filters": URLS,
     "op6_exact_dedup": EXACT,
     "op7_line_dedup": LINES,
+    "op11_minhash_near_dedup": NEAR,
     "op12_vector_code_compression": _codes(),
 }

@@ -13,6 +13,7 @@ from tradelake.llm import (
     exact,
     language,
     lines,
+    minhash,
     packing,
     pii,
     resampling,
@@ -124,6 +125,12 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents by the Jaccard similarity of their three-word shingles."""
+    return minhash.near_groups(table(spark, sf_dir, "documents"))
+
+
 @_query
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A quarter of the documents, drawn towards the benchmark's words and word pairs."""
