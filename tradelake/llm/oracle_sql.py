@@ -74,11 +74,11 @@ WITH RECURSIVE worded AS (
 ), sizes AS (
     SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
 ), meets AS (
-    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
     FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL
 ), links AS (
     SELECT a, b FROM meets JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
-    WHERE 100 * both >= 85 * (p.n + q.n - both)
+    WHERE 100 * shared >= 85 * (p.n + q.n - shared)
 ), edges AS (
     SELECT a, b FROM links UNION ALL SELECT b, a FROM links
 ), reach AS (
