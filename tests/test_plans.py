@@ -26,7 +26,7 @@ def stored(spark, sf_dir):
     return spec
 
 
-STATEFUL = re.compile("streaming|idempotent|replay|rerun|poll|land_|settled|trades_by_date")
+STATEFUL = re.compile("streaming|idempotent|replay|rerun|poll|land_|settled|trades_by_date|upsert|from_state")
 
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if not STATEFUL.search(n)])

@@ -248,3 +248,113 @@ def test_settings(spark):
     assert spark.conf.get(jobs.EMPTY_BATCHES) == "true"
     assert jobs.trigger() == {"availableNow": True}
     assert jobs.trigger("10 seconds") == {"processingTime": "10 seconds"}
+
+
+def test_poll_reads_each_file_once(spark, folder, bronze_rows, monkeypatch):
+    """Files listed once are not opened again, whatever the times of their rows; late files are."""
+    from tradelake.sources import ledger as filelog
+
+    source = schemas.BRONZE_TRADES.at(path=folder("bronze"))
+    target = schemas.SILVER_TRADES_KEYED.at(path=folder("silver"))
+    ledger = schemas.FILE_LEDGER.at(path=folder("ledger"))
+    tables.ensure_table(spark, target)
+    read = []
+    original = tables.read_paths
+
+    def spying(session, spec, paths):
+        df = original(session, spec, paths)
+        text = df._jdf.queryExecution().executedPlan().toString()
+        read.append((sorted(paths), f"InMemoryFileIndex({len(paths)} paths)" in text))
+        return df
+
+    monkeypatch.setattr(tables, "read_paths", spying)
+    ticks_path = folder("ticks")
+    new = {"exchange": "A/B c", "timestamp_ms": T0 + 9 * HOUR}
+    for rows in ([new], [{"kafka_offset": 5, "exchange": ""}, {"kafka_offset": 6, "exchange": None}], []):
+        if rows:
+            tables.append(bronze_rows(*rows), source)
+        spark.range(1).write.mode("append").parquet(ticks_path)
+        ticks = _stream(spark, ticks_path, spark.range(1).schema)
+        jobs.poll_table(spark, ticks, source, target, folder("c"), None, ledger, files_per_write=1, clock=_clock()).awaitTermination()
+    assert sorted(r["kafka_offset"] for r in tables.read_table(spark, target).collect()) == [0, 5, 6]
+    paths = [p for files_, _ in read for p in files_]
+    assert len(paths) == len(set(paths)) == filelog.table_files(spark, source).count() == 3
+    assert all(only for _, only in read)
+    known = filelog.read_ledger(spark, ledger, target.path)
+    assert known.count() == 3
+    # files that are gone are forgotten, and the ledger becomes one file
+    filelog.trim_ledger(spark, ledger, target.path, filelog.table_files(spark, source).where("path LIKE '%HIVE_DEFAULT%'"))
+    assert filelog.read_ledger(spark, ledger, target.path).count() == 1
+
+
+def test_a_tick_that_dies_reads_its_files_again(spark, folder, bronze_rows):
+    from tradelake.sources import ledger as filelog
+
+    source, ledger = schemas.BRONZE_TRADES.at(path=folder("bronze")), schemas.FILE_LEDGER.at(path=folder("ledger"))
+    target = schemas.BRONZE_TRADES.at(path=folder("copy"))
+    tables.ensure_table(spark, target)
+    tables.append(bronze_rows({}, {}), source)
+
+    def dying(rows):
+        tables.insert_new(rows, target)
+        raise InterruptedError
+
+    with pytest.raises(InterruptedError):
+        filelog.consume_table(spark, source, ledger, "c", dying)
+    assert filelog.consume_table(spark, source, ledger, "c", lambda rows: tables.insert_new(rows, target)) == 1
+    assert filelog.consume_table(spark, source, ledger, "c", dying) == 0
+    assert tables.read_table(spark, target).count() == 2
+
+
+def test_stop_and_resume(spark, folder, bronze_rows):
+    """A stream with an interval is stopped behind a micro-batch; the rest follows later, in order."""
+    source, checkpoint = folder("in"), folder("checkpoint")
+    target = tables.with_epoch(schemas.BRONZE_TRADES).at(path=folder("out"))
+    tables.ensure_table(spark, target)
+    for i in range(5):
+        _file(bronze_rows({"kafka_offset": i}), source)
+    stream = _stream(spark, source, max_files_per_trigger=1)
+    query = jobs.stream_to_table(stream, target, checkpoint, interval="1 second")
+    jobs.stop_after(query, 1)
+    done = tables.read_table(spark, target).count()
+    assert not query.isActive and 2 <= done < 5
+    jobs.stream_to_table(stream, target, checkpoint).awaitTermination()
+    rows = tables.read_table(spark, target).collect()
+    assert sorted((r["kafka_offset"], r[tables.EPOCH_COLUMN]) for r in rows) == [(i, i) for i in range(5)]
+
+
+def test_update_candles_follow_late_trades(spark, folder, bronze_rows):
+    jobs.stream_settings(spark)
+    source, checkpoint = folder("in"), folder("checkpoint")
+    target = schemas.CANDLES.at(path=folder("candles"))
+    tables.ensure_table(spark, target)
+
+    def run(*rows):
+        _file(bronze_rows(*rows), source)
+        jobs.candles_to_table(_stream(spark, source), target, checkpoint, "1 hour", clock=_clock()).awaitTermination()
+        found = tables.read_table(spark, target).orderBy("hour_start").collect()
+        return [(r["open_price"], r["close_price"], r["trade_count"]) for r in found]
+
+    assert run({"price": 2.0, "timestamp_ms": T0 + 30 * MINUTE}) == [(2.0, 2.0, 1)]
+    late = {"price": 1.0, "timestamp_ms": T0 + 20 * MINUTE, "kafka_offset": 1}
+    assert run(late, {"price": 5.0, "timestamp_ms": T0 + HOUR, "kafka_offset": 2}) == [(1.0, 2.0, 2), (5.0, 5.0, 1)]
+    # a stream that starts anew counts up from nothing and takes nothing back
+    jobs.candles_to_table(_stream(spark, source, max_files_per_trigger=1), target, folder("anew"), "1 hour", clock=_clock()).awaitTermination()
+    assert run({"price": 7.0, "timestamp_ms": T0 + HOUR + 1, "kafka_offset": 3}) == [(1.0, 2.0, 2), (5.0, 7.0, 2)]
+
+
+def test_state_holds_what_is_not_closed(spark, folder, bronze_rows):
+    jobs.stream_settings(spark)
+    source, checkpoint = folder("in"), folder("checkpoint")
+    target = tables.with_epoch(schemas.CANDLES).at(path=folder("out"))
+    tables.ensure_table(spark, target)
+    rows = [{"price": p, "volume": v, "timestamp_ms": T0 + m * MINUTE, "kafka_offset": i}
+            for i, (p, v, m) in enumerate([(3.0, 1.0, 5), (1.0, 2.0, 50), (None, 3.0, 130), (4.0, 0.0, 200), (8.0, None, 201)])]
+    _file(bronze_rows(*rows), source)
+    jobs.stream_to_table(jobs.candle_stream(_stream(spark, source), clock=_clock()), target, checkpoint).awaitTermination()
+    closed = tables.read_table(spark, target).select(*schemas.CANDLES.schema.names)
+    rest = jobs.open_windows(spark, checkpoint, _clock())
+    assert closed.count() == 2 and rest.count() == 1
+    assert _rows(closed.unionByName(rest)) == _rows(candles.candles(bronze_rows(*rows), clock=_clock()))
+    text = rest._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in text and "BatchScan" in text

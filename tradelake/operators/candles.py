@@ -35,7 +35,6 @@ def candles(
     shuffle no more than a rare one.  Open and close are the prices at the
     smallest and largest (time, *tie_break).
     """
-    now = F.current_timestamp() if clock is None else clock
     in_window = F.unix_millis(at) - F.unix_millis("w.start")
     price, volume, order = F.col("price"), F.col("volume"), F.col("_order")
     grouped = (
@@ -53,6 +52,10 @@ def candles(
             vwap(price, volume).alias("vwap"),
         )
     )
+    return _finished(grouped, clock)
+
+
+def _finished(grouped: DataFrame, clock: Column | None) -> DataFrame:
     opened, closed = F.col("open_price"), F.col("close_price")
     return grouped.withColumns(
         {
@@ -61,11 +64,30 @@ def candles(
             "price_change": closed - opened,
             "price_change_pct": (F.try_divide(closed, opened) - 1) * 100,
             "agg_date": F.to_date("w.start"),
-            "silver_ingestion_timestamp": now,
+            "silver_ingestion_timestamp": F.current_timestamp() if clock is None else clock,
         }
     ).select(*CANDLES.schema.names)
 
 
+# Buffers of the aggregates above as the state of a stream keeps them, in their
+# order; sums that two aggregates share are there once.
+_BUFFERS = """struct<open_price:double, open_key:decimal(38,0), high_price:double, low_price:double,
+    close_price:double, close_key:decimal(38,0), total_volume:double, trade_count:bigint,
+    price_sum:double, priced:bigint, paid:double>"""
+
+
+def candles_of_state(state: DataFrame, clock: Column | None = None) -> DataFrame:
+    """The candles of a stream's unfinished windows from ``key`` and ``value`` of its stored state."""
+    buffers = state.select("key.*", F.col("value").cast(_BUFFERS).alias("v"))
+    grouped = buffers.select(*GROUP, "w", "v.*").withColumns(
+        {
+            "avg_price": F.try_divide(F.col("price_sum"), F.col("priced")),
+            "vwap": F.try_divide(F.col("paid"), F.col("total_volume")),
+        }
+    )
+    return _finished(grouped, clock)
+
+
 def vwap(price: Column, volume: Column) -> Column:
     """Volume-weighted mean price; null when no volume was traded."""
     return F.try_divide(F.sum(price * volume), F.sum(volume))

@@ -51,14 +51,21 @@ def scan_incremental(
     high_water_us: int | None,
     buffer_seconds: int = C.OVERLAP_SECONDS,
     ingested: str = "bronze_ingestion_timestamp",
+    by_file: bool = False,
 ) -> DataFrame:
     """Rows ingested after the mark (epoch microseconds) less an overlap; all
     rows without a mark.  The bound folds to a timestamp literal and so reaches
     the file scan.
+
+    ``by_file`` drops files older than the bound from the listing, before any footer is read:
+    a row is ingested before its file is written.  ``df`` must then be a stored
+    table, and the clocks of its writers must agree to within the overlap.
     """
     if high_water_us is None:
         return df
     bound = F.timestamp_micros(F.lit(high_water_us - buffer_seconds * 1_000_000))
+    if by_file:
+        df = df.where(F.col("_metadata.file_modification_time") > bound)
     return df.where(F.col(ingested) > bound)
 
 

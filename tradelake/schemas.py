@@ -266,3 +266,9 @@ CANDLES = TableSpec(
     write_options=_ZSTD,
     properties=_ZSTD_PROPERTIES,
 )
+
+# Which files a consumer has taken from a table or folder.
+FILE_LEDGER = TableSpec(
+    schema=_struct(consumer="string", path="string", modified="timestamp", size="long", taken_at="timestamp"),
+    partition_by=("consumer",),
+)

@@ -19,9 +19,10 @@ from pyspark.sql import types as T
 from tradelake import constants as C
 from tradelake.operators.picks import dedupe_trades
 from tradelake.schemas import TableSpec
+from tradelake.session import scratch_dir
 
 # Formats whose catalogs take MERGE INTO.
-_MERGE_FORMATS = ("iceberg", "delta")
+MERGE_FORMATS = ("iceberg", "delta")
 
 # Which stream wrote a row, and in which of its epochs.
 STREAM_COLUMN = "write_stream"
@@ -60,6 +61,32 @@ def read_table(spark: SparkSession, spec: TableSpec) -> DataFrame:
     return _renamed(df.select(*spec.schema.names), spec, EMPTY_TEXT, "")
 
 
+def read_paths(spark: SparkSession, spec: TableSpec, paths: Sequence[str]) -> DataFrame:
+    """Rows of some of the table's files; the others are neither listed nor opened."""
+    reader = spark.read.format(spec.format).schema(spec.stored_schema).option("basePath", location(spark, spec))
+    return _renamed(reader.load(list(paths)).select(*spec.schema.names), spec, EMPTY_TEXT, "")
+
+
+def location(spark: SparkSession, spec: TableSpec) -> str:
+    """The folder of a table's files."""
+    if spec.name is None:
+        return spec.path
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {spec.name}")
+    return described.where("col_name = 'Location'").first()["data_type"]
+
+
+def staged(df: DataFrame, path: str | None = None) -> DataFrame:
+    """The rows, stored once in the shared scratch folder (or in ``path``) and read back.
+
+    What is above runs once, however often the result is used, and a lost executor
+    does not run it again.
+    """
+    spark = df.sparkSession
+    path = path or scratch_dir(spark, "staged")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def arrange(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Bring rows of a partition together and sort them inside each file.
 
@@ -79,7 +106,7 @@ def arrange(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 def _renamed(df: DataFrame, spec: TableSpec, old: str, new: str) -> DataFrame:
     """Text partition columns with one value under another name."""
-    if spec.format in _MERGE_FORMATS:
+    if spec.format in MERGE_FORMATS:
         return df
     text = [c for c in spec.partition_by if isinstance(spec.schema[c].dataType, T.StringType)]
     return df.withColumns({c: F.when(F.col(c) == old, F.lit(new)).otherwise(F.col(c)) for c in text})
@@ -146,30 +173,34 @@ def insert_new(
     keys: tuple[str, ...] = C.SOURCE_KEY,
     prefer: Sequence[str] = ("bronze_ingestion_timestamp",),
 ) -> None:
-    """Upsert of immutable rows: append those whose key the table lacks.
+    """Append rows whose key the table lacks; for rows that never change.
 
     Stored rows are never rewritten, so a crash cannot lose them and a rerun
-    finds what the first try stored.  Only the keys of the touched partitions
-    are read back.  Catalogs with MERGE do the same in one transaction.
+    finds what the first try stored.  The batch is staged, so that what is above it runs
+    once; only the keys of the touched partitions are read back.  Catalogs with
+    MERGE do the same in one transaction.  Where newer versions of a row replace
+    older ones, use ``upserts.upsert``.
     """
     rows = df.select(*spec.schema.names)
-    if spec.name is not None and spec.format in _MERGE_FORMATS:
+    if spec.name is not None and spec.format in MERGE_FORMATS:
         target = spec.name.rpartition(".")[2]
         pairs = [F.col(f"new.{k}").eqNullSafe(F.col(f"{target}.{k}")) for k in keys + spec.partition_by]
         batch = dedupe_trades(rows, keys, prefer).alias("new")
         batch.mergeInto(spec.name, reduce(lambda a, b: a & b, pairs)).whenNotMatched().insertAll().merge()
         return
+    rows = staged(rows)
     # One column that is never null: removing copies and looking up stored
     # keys then need the rows in the same places, and share one shuffle.
-    batch = dedupe_trades(rows.withColumn(_KEY, _key(keys)), (_KEY,), prefer)
+    batch = dedupe_trades(rows.withColumn(_KEY, row_key(keys)), (_KEY,), prefer)
     stored = touched_partitions(read_table(df.sparkSession, spec), rows, spec.partition_by)
-    append(batch.join(stored.select(_key(keys).alias(_KEY)), _KEY, "left_anti"), spec)
+    append(batch.join(stored.select(row_key(keys).alias(_KEY)), _KEY, "left_anti"), spec)
 
 
 _KEY = "_key"
 
 
-def _key(keys: Sequence[str]) -> Column:
+def row_key(keys: Sequence[str]) -> Column:
+    """The key columns as one text that is never null."""
     return F.to_json(F.struct(*keys))
 
 
@@ -198,7 +229,7 @@ def _write(df: DataFrame, spec: TableSpec, mode: str) -> None:
         writer.mode(mode).save(spec.path)
         return
     in_order = df.select(*df.sparkSession.table(spec.name).columns)
-    if spec.format in _MERGE_FORMATS:
+    if spec.format in MERGE_FORMATS:
         writer = in_order.writeTo(spec.name).options(**spec.write_options)
         writer.append() if mode == "append" else writer.overwritePartitions()
     elif mode == "append":
@@ -217,3 +248,46 @@ def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
         yield
     finally:
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def drop_partitions(spark: SparkSession, spec: TableSpec, places: DataFrame) -> None:
+    """Remove whole partitions: ``places`` has one row per partition, with its columns.
+
+    For catalog tables and folders; a handful of rows, as there are partitions.
+    """
+    for row in places.select(*spec.partition_by).distinct().collect():
+        values = {c: EMPTY_TEXT if row[c] == "" else row[c] for c in spec.partition_by}
+        if spec.name is not None:
+            # Stored nulls have a name of their own there.
+            pairs = ", ".join(f"{c} = {_literal(v)}" for c, v in values.items())
+            spark.sql(f"ALTER TABLE {spec.name} DROP IF EXISTS PARTITION ({pairs})")
+        else:
+            remove(spark, f"{spec.path.rstrip('/')}/" + "/".join(f"{c}={_folder_name(spark, v)}" for c, v in values.items()))
+
+
+def _literal(value) -> str:
+    return "null" if value is None else "'{}'".format(str(value).replace("\\", "\\\\").replace("'", "\\'"))
+
+
+def _folder_name(spark: SparkSession, value) -> str:
+    """A partition value as the file writers spell it."""
+    if value is None:
+        return "__HIVE_DEFAULT_PARTITION__"
+    catalog = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return catalog.escapePathName(str(value))
+
+
+def _file_system(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, hadoop = _file_system(spark, path)
+    return files.exists(hadoop)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder and what is in it; one that is not there is no error."""
+    files, hadoop = _file_system(spark, path)
+    files.delete(hadoop, True)

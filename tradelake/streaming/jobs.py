@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,9 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tradelake import constants as C
-from tradelake.operators import bronze, candles, decode, landing, scans, silver
-from tradelake.schemas import TableSpec
-from tradelake.sinks import tables
+from tradelake.operators import bronze, candles, decode, landing, silver
+from tradelake.schemas import FILE_LEDGER, TableSpec
+from tradelake.sinks import tables, upserts
+from tradelake.sources import ledger as filelog
 from tradelake.streaming.metrics import observed
 
 # --- fixed values: default trigger intervals of the three streams ---
@@ -210,34 +212,69 @@ def poll_table(
     target: TableSpec,
     checkpoint: str,
     interval: str | None = SILVER_INTERVAL,
-    buffer_seconds: int = C.OVERLAP_SECONDS,
+    ledger: TableSpec | None = None,
+    files_per_write: int = filelog.FILES_PER_WRITE,
     **silver_options,
 ) -> StreamingQuery:
     """Silver from a bronze table that has no streaming read.
 
-    Each tick scans what was ingested since the newest silver row, less an
-    overlap.  The overlap is stored already; ``insert_new`` skips it.  The mark is
-    read from the whole table once, when the stream starts; after that it is the
-    newest row of what was scanned last, so old trades that arrive late move it
-    like any other.  A row that becomes visible more than ``buffer_seconds`` after a
-    newer one is missed.  Where the table can be streamed, prefer
-    :func:`silver_stream`: its checkpoint knows the new files without a scan.
+    Each tick lists the table's files and reads those that the ledger lacks, each once, in
+    writes of at most ``files_per_write`` files.  A file counts when it becomes visible,
+    whatever the times of its rows, so rows that appear late are not missed.  A tick
+    that dies after its write reads the same files again; ``insert_new`` skips what is
+    stored.  Where the table can be streamed, prefer :func:`silver_stream`.
+
+    The ledger is a folder beside the checkpoint if none is given; the consumer in it is the
+    target.
     """
-    seen: list[int | None] = []
+    ledger = ledger or FILE_LEDGER.at(path=f"{checkpoint.rstrip('/')}-ledger")
+
+    def store(fresh: DataFrame) -> None:
+        tables.insert_new(silver.silver_trades(fresh, keep=C.SOURCE_KEY, **silver_options), target)
 
     def refresh(_: DataFrame, __: int) -> None:
-        if not seen:
-            seen.append(scans.read_mark(scans.high_water_mark(tables.read_table(spark, target))))
-        mark = seen[0]
-        stored = tables.read_table(spark, source)
-        fresh = scans.scan_incremental(stored, mark, buffer_seconds)
-        upto = scans.read_mark(scans.high_water_mark(fresh))
-        if upto is None:
-            return
-        # What arrives while this tick runs belongs to the next one.
-        fresh = fresh.where(F.col("bronze_ingestion_timestamp") <= F.timestamp_micros(F.lit(upto)))
-        rows = silver.silver_trades(fresh, keep=C.SOURCE_KEY, **silver_options)
-        tables.insert_new(rows, target)
-        seen[0] = upto if mark is None else max(upto, mark)
+        filelog.consume_table(spark, source, ledger, target.name or target.path, store, files_per_write)
 
     return write_stream(ticks, refresh, checkpoint, interval)
+
+
+# --- candles that follow every trade, and windows still open -----------------------
+
+CANDLE_KEY = ("symbol", "exchange", "base_currency", "quote_currency", "hour_start")
+
+
+def candles_to_table(
+    trades: DataFrame, spec: TableSpec, checkpoint: str, delay: str = "10 minutes", interval: str | None = None, **options
+) -> StreamingQuery:
+    """Start a stream in update mode: every micro-batch replaces the candles it changed.
+
+    A window is in the table from its first trade on and needs no closing.  Its version is
+    its number of trades, which only grows: a replayed micro-batch changes nothing, and a
+    stream that starts anew does not put fewer trades in the place of more.
+    """
+    rows = candle_stream(trades, delay, **options)
+
+    def write(batch: DataFrame, _: int) -> None:
+        upserts.upsert(batch, spec, CANDLE_KEY, version="trade_count")
+
+    return write_stream(rows, write, checkpoint, interval, output_mode="update")
+
+
+def open_windows(spark: SparkSession, checkpoint: str, clock: Column | None = None) -> DataFrame:
+    """Candles of the windows that a stopped :func:`candle_stream` still holds, from its state.
+
+    Together with what the stream has written these are all candles of the trades it took;
+    no trade is read again.  ``checkpoint`` is that of a stream whose state is one aggregation.
+    """
+    return candles.candles_of_state(spark.read.format("statestore").load(checkpoint), clock)
+
+
+def stop_after(query: StreamingQuery, epoch: int, timeout_seconds: float = 600) -> None:
+    """Let a running stream finish micro-batch ``epoch``, then stop it; resume it from its checkpoint."""
+    end = time.monotonic() + timeout_seconds
+    while query.isActive and time.monotonic() < end:
+        done = query.lastProgress
+        if done is not None and done.batchId >= epoch:
+            break
+        time.sleep(0.05)
+    query.stop()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from tradelake import constants as C
 from workload.queries import SAMPLE_END, SAMPLE_START, SYMBOL
-from workload.views import NOW_MS, PRODUCER, TOPIC
+from workload.views import NOW_MS, PARTS, PRODUCER, TOPIC
 
 NOW = "'2024-02-01 00:00:00.000'"
 
@@ -351,6 +351,11 @@ SELECT symbol, exchange, base_currency, quote_currency, {_r('price')} AS price,
 FROM {{source}}"""
 
 _STORED = BRONZE + _FULL_BRONZE.format(source="bronze")
+_CORRECTED = f"""{BRONZE}, corrected AS (
+  SELECT * REPLACE (CASE WHEN kafka_offset % 3 = 0 THEN price + 1 ELSE price END AS price,
+                    CASE WHEN kafka_offset % 3 = 0 THEN bronze_ingestion_timestamp + INTERVAL 5 SECONDS
+                         ELSE bronze_ingestion_timestamp END AS bronze_ingestion_timestamp)
+  FROM bronze)""" + _FULL_BRONZE.format(source="corrected")
 _STORED_WILD = f"{BRONZE}, {_WILD}" + _FULL_BRONZE.format(source="wild")
 
 ORACLE: dict[str, str] = {
@@ -453,6 +458,17 @@ ORACLE: dict[str, str] = {
        {_r('price')} AS price, {_ts('bronze_ingestion_timestamp')} AS bronze_ingestion_timestamp FROM bronze""",
     "idempotent_reload": _RELOADED,
     "table_poll": _RELOADED,
+    "table_poll_late": _RELOADED,
+    "upsert_versions": _CORRECTED,
+    "catalog_upsert_versions": _CORRECTED,
+    "streaming_resume_bronze": f"WITH {ENRICHED}" + _BRONZE_SELECT.replace("trade_index\nFROM bronze", f"""trade_index,
+       (SELECT any_value(least({PARTS - 1}, (extract(day FROM ts) - 1) // 8 + CASE WHEN event_id % 13 = 0 THEN 1 ELSE 0 END))
+        FROM events e WHERE e.event_id = kafka_offset) AS write_epoch
+FROM bronze"""),
+    "streaming_resume_silver": DIRTY_SILVER + _SILVER_SELECT,
+    "streaming_resume_candles": HOURLY + _CANDLE_SELECT,
+    "candles_from_state": HOURLY + _CANDLE_SELECT,
+    "streaming_candles_update": HOURLY + _CANDLE_SELECT,
     "epoch_replay": f"""{BRONZE} SELECT kafka_partition, kafka_offset, trade_index, symbol, {_r('price')} AS price,
        cast(CASE WHEN trade_date < DATE '{SAMPLE_START}' THEN 0 ELSE 1 END AS bigint) AS write_epoch FROM bronze""",
     "settled_days": _STORED,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,7 +28,7 @@ from tradelake.operators import (
 from tradelake.plans import medallion
 from tradelake.schemas import TableSpec
 from tradelake.session import configure, scratch_dir
-from tradelake.sinks import tables
+from tradelake.sinks import tables, upserts
 from tradelake.sources import files
 from tradelake.streaming import jobs
 from workload import views as V
@@ -642,20 +643,139 @@ def silver_decimals(spark, sf_dir):
     return stored.select("kafka_offset", F.col("price").cast("string"), F.col("volume").cast("string"))
 
 
-@query
-def table_poll(spark, sf_dir):
-    """Silver polled twice from a growing bronze table; ticks come from a file stream."""
-    rows = V.bronze(spark, sf_dir)
+def _polled(spark: SparkSession, sf_dir: str, parts: list[DataFrame]) -> DataFrame:
+    """Silver polled from a bronze table after each part is added; ticks come from a file stream."""
     source = schemas.BRONZE_TRADES.at(path=scratch_dir(spark, "bronze"))
     target = schemas.SILVER_TRADES_KEYED.at(path=scratch_dir(spark, "silver"))
+    ledger = schemas.FILE_LEDGER.at(path=scratch_dir(spark, "ledger"))
     tables.ensure_table(spark, target)
-    early = F.col("trade_date") < F.lit(SAMPLE_END).cast("date")
     ticks = _stream(spark, sf_dir, "region")
-    for part in (rows.where(early), rows.where(~early)):
+    for part in parts:
         tables.append(part, source)
         jobs.poll_table(
-            spark, ticks, source, target, scratch_dir(spark, "checkpoint"), None, clock=V.now()
+            spark, ticks, source, target, scratch_dir(spark, "checkpoint"), None, ledger, clock=V.now()
         ).awaitTermination()
     return tables.read_table(spark, target).select(*KEY, "trade_id", "trade_value", "trade_date")
 
 
+@query
+def table_poll(spark, sf_dir):
+    """Silver polled twice from a growing bronze table."""
+    rows = V.bronze(spark, sf_dir)
+    early = F.col("trade_date") < F.lit(SAMPLE_END).cast("date")
+    return _polled(spark, sf_dir, [rows.where(early), rows.where(~early)])
+
+
+@query
+def table_poll_late(spark, sf_dir):
+    """Every third trade becomes visible only when much newer ones are silver already."""
+    rows = V.bronze(spark, sf_dir)
+    late = F.col("kafka_offset") % 3 == 0
+    return _polled(spark, sf_dir, [rows.where(~late), rows.where(late)])
+
+
+# --- corrections ------------------------------------------------------------------
+
+
+def _upserted(spark: SparkSession, sf_dir: str, target: TableSpec) -> DataFrame:
+    """Trades, then newer and older versions of some of them, the latter twice."""
+    rows = V.bronze(spark, sf_dir)
+    tables.ensure_table(spark, target)
+    for batch in (rows, V.corrections(rows), V.corrections(rows)):
+        upserts.upsert(batch, target)
+    return tables.read_table(spark, target)
+
+
+@query
+def upsert_versions(spark, sf_dir):
+    return _upserted(spark, sf_dir, schemas.BRONZE_TRADES.at(path=scratch_dir(spark, "versions")))
+
+
+@query
+def catalog_upsert_versions(spark, sf_dir):
+    return _upserted(spark, sf_dir, _catalog(spark, schemas.BRONZE_TRADES, "versions"))
+
+
+# --- streams of many micro-batches ----------------------------------------------------
+
+
+def _arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events replayed in parts, some late; every part is a micro-batch."""
+    path = scratch_dir(spark, "arrivals")
+    for part in range(V.PARTS):
+        V.arriving(spark, sf_dir, part).coalesce(1).write.mode("append").parquet(path)
+    return files.stream_files(spark, path, V.table(spark, sf_dir, "events").schema, max_files_per_trigger=1)
+
+
+def _resumed(stream: DataFrame, spec: TableSpec) -> tuple[DataFrame, str]:
+    """A stream that dies behind the write of its second micro-batch and is started again; its checkpoint."""
+    spark = stream.sparkSession
+    target = tables.with_epoch(spec).at(path=scratch_dir(spark, "stream"))
+    tables.ensure_table(spark, target)
+    checkpoint = scratch_dir(spark, "checkpoint")
+
+    def dying(batch: DataFrame, epoch: int) -> None:
+        tables.append_epoch(batch, target, epoch, jobs.stream_id(spark, checkpoint))
+        if epoch == 1:
+            raise InterruptedError("stopped behind the write")
+
+    try:
+        jobs.write_stream(stream, dying, checkpoint).awaitTermination()
+    except StreamingQueryException as stopped:
+        if "stopped behind the write" not in str(stopped):
+            raise
+    for _ in range(2):
+        jobs.stream_to_table(stream, target, checkpoint).awaitTermination()
+    return tables.read_table(spark, target), checkpoint
+
+
+@query
+def streaming_resume_bronze(spark, sf_dir):
+    """Bronze with the micro-batch that stored each trade."""
+    messages = V.feed_messages(_arrivals(spark, sf_dir))
+    records = medallion.feed_to_records(messages, V.PRODUCER, V.TOPIC, F.lit(V.NOW_MS))
+    return _resumed(jobs.bronze_stream(records, clock=V.now()), schemas.BRONZE_TRADES)[0].drop(tables.STREAM_COLUMN)
+
+
+@query
+def streaming_resume_silver(spark, sf_dir):
+    rows = V.as_bronze(V.dirty_trades(_arrivals(spark, sf_dir)))
+    stored, _ = _resumed(jobs.silver_stream(rows, clock=V.now()), schemas.SILVER_TRADES)
+    return stored.select(*schemas.SILVER_TRADES.schema.names)
+
+
+# Longer than any trade of the replay is late.
+PATIENT = "20 days"
+
+
+@query
+def streaming_resume_candles(spark, sf_dir):
+    """Candles closed by the watermark, then those that the stopped stream still holds."""
+    jobs.stream_settings(spark)
+    trades = V.as_bronze(V.trades(_arrivals(spark, sf_dir)))
+    closed, checkpoint = _resumed(jobs.candle_stream(trades, PATIENT, clock=V.now()), schemas.CANDLES)
+    return closed.select(*CANDLE_COLUMNS).unionByName(jobs.open_windows(spark, checkpoint).select(*CANDLE_COLUMNS))
+
+
+@query
+def candles_from_state(spark, sf_dir):
+    """Closed candles and those in the state of a stream that has stopped; no trade is read twice."""
+    jobs.stream_settings(spark)
+    stream = V.as_bronze(V.trades(_stream(spark, sf_dir, "events")))
+    target = tables.with_epoch(schemas.CANDLES).at(path=scratch_dir(spark, "closed"))
+    checkpoint = scratch_dir(spark, "checkpoint")
+    tables.ensure_table(spark, target)
+    jobs.stream_to_table(jobs.candle_stream(stream, "6 hours", clock=V.now()), target, checkpoint).awaitTermination()
+    closed = tables.read_table(spark, target).select(*CANDLE_COLUMNS)
+    return closed.unionByName(jobs.open_windows(spark, checkpoint).select(*CANDLE_COLUMNS))
+
+
+@query
+def streaming_candles_update(spark, sf_dir):
+    """Every micro-batch replaces the candles it changed; late trades too, nothing is closed."""
+    jobs.stream_settings(spark)
+    trades = V.as_bronze(V.trades(_arrivals(spark, sf_dir)))
+    target = schemas.CANDLES.at(path=scratch_dir(spark, "candles"))
+    tables.ensure_table(spark, target)
+    jobs.candles_to_table(trades, target, scratch_dir(spark, "checkpoint"), PATIENT, clock=V.now()).awaitTermination()
+    return tables.read_table(spark, target).select(*CANDLE_COLUMNS)

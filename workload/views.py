@@ -171,6 +171,37 @@ def feed_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").selectExpr("event_id", f"{FEED_SYMBOL} AS symbol")
 
 
+# --- events in the order in which they arrive --------------------------------------
+
+# Eight days each, and every thirteenth event one part late.
+PARTS = 4
+ARRIVAL = f"least({PARTS - 1}, (day(ts) - 1) div 8 + CASE WHEN event_id % 13 = 0 THEN 1 ELSE 0 END)"
+
+
+def arriving(spark: SparkSession, sf_dir: str, part: int) -> DataFrame:
+    return table(spark, sf_dir, "events").where(f"{ARRIVAL} = {part}")
+
+
+# Every third trade is corrected after 5 s, every fifth has an outdated copy.
+CORRECTED = "kafka_offset % 3 = 0"
+OUTDATED = "kafka_offset % 5 = 0"
+
+
+def corrections(bronze_rows: DataFrame) -> DataFrame:
+    """New versions of stored trades: newer prices, and older ones that must not win."""
+    newer = bronze_rows.where(CORRECTED).selectExpr(
+        "* EXCEPT (price, bronze_ingestion_timestamp)",
+        "price + 1 AS price",
+        "bronze_ingestion_timestamp + INTERVAL 5 SECONDS AS bronze_ingestion_timestamp",
+    )
+    older = bronze_rows.where(OUTDATED).selectExpr(
+        "* EXCEPT (price, bronze_ingestion_timestamp)",
+        "price - 1 AS price",
+        "bronze_ingestion_timestamp - INTERVAL 5 SECONDS AS bronze_ingestion_timestamp",
+    )
+    return newer.unionByName(older)
+
+
 # --- other tables ---------------------------------------------------------------
 
 
