@@ -142,3 +142,16 @@ def test_nothing_may_follow_the_object(spark):
     bad = ['{"type":"ping"} x', '{"type":"ping"}{}', '{"type":"ping"},{}', '{"type":"ping"}],[{}', '{"type":"ping"}},{"v":{}', '[{"type":"ping"}]']
     df = spark.createDataFrame([(v,) for v in good + bad], "value string")
     assert [r["route"] for r in feed.route_messages(df).collect()] == ["ping"] * 2 + ["malformed"] * 6
+
+
+def test_text_behind_a_message_is_found_whatever_its_shape(spark):
+    """Plain messages need no second look; everything else gets one."""
+    good = ['{"type":"ping"}', ' {"type":"trade","data":[{"s":"a","c":["x","y"]},{"s":"b"}]} \n',
+            '{"type":"trade","data":[{"s":"}{"}]}', '{"type":"error","msg":"a \\"quoted\\" [text]"}', '{"type":"ping","x":{"y":{"z":[[1]]}}}']
+    bad = ['{"type":"ping"} {}', '{"type":"ping"}}', '{"type":"ping"}]', '{"type":"ping"},{"type":"ping"}', '{"type":"ping"},"x":{}',
+           '{"type":"[{"} "]}', '{"type":"ping"}] [{}', '{"type":"trade","data":[{"s":"a"}]}]', '["type"]', '{"type":"trade","data":[{"s":']
+    df = spark.createDataFrame([(t,) for t in good + bad], "value string")
+    found = {r["value"]: r["route"] != "malformed" for r in feed.route_messages(df).collect()}
+    assert found == {**dict.fromkeys(good, True), **dict.fromkeys(bad, False)}
+    plain = df.where(df["value"].rlike(feed._PLAIN)).collect()
+    assert {r["value"] for r in plain} == set(good[:2])

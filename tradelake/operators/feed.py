@@ -15,6 +15,12 @@ from tradelake.schemas import FEED_MESSAGE, TRADE
 _BROKEN = "_broken"
 _PARSED = T.StructType(FEED_MESSAGE.fields + [T.StructField(_BROKEN, T.StringType())])
 
+# One object with at most one array, of objects with arrays of plain values, and no bracket or
+# brace inside a string: it ends with its last character.  ``_RUN`` has no structure; a string is
+# taken as a whole.  Nothing in it goes back over what it has matched.
+_RUN = r'(?:[^{}\[\]"]++|"(?:[^"\\{}\[\]]++|\\.)*+")*+'
+_PLAIN = rf"^\s*\{{{_RUN}(?:\[(?:{_RUN}\{{{_RUN}(?:\[{_RUN}\]{_RUN})*+\}})*+{_RUN}\]{_RUN})?+\}}\s*$"
+
 ROUTES = ("trades", "error", "ping", "no_data", "empty_data", "malformed")
 
 
@@ -32,11 +38,11 @@ def route_messages(messages: DataFrame, value_col: str = "value") -> DataFrame:
     parsed = parse_once(messages, F.from_json(text, _PARSED, options), "_feed")
 
     kind, data = F.col("_feed.type"), F.col("_feed.data")
-    # The parsers stop at the end of the first value.  Inside an array and inside an
-    # object nothing can follow it unseen.
-    whole = (F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1) & F.get_json_object(
-        F.concat(F.lit('{"v":'), text, F.lit("}")), "$.v"
-    ).isNotNull()
+    # The parser stops at the end of the first value.  A message of the plain shape ends there;
+    # others are looked at inside an array and inside an object, where nothing can follow unseen.
+    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    inside = F.get_json_object(F.concat(F.lit('{"v":'), text, F.lit("}")), "$.v").isNotNull()
+    whole = F.rlike(text, F.lit(_PLAIN)) | (alone & inside)
     is_object = F.coalesce(F.startswith(F.ltrim(text), F.lit("{")) & whole, F.lit(False))
     # A parsed null does not tell "data": null from no data at all.
     has_data_key = F.array_contains(F.json_object_keys(text), "data")

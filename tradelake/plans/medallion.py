@@ -11,6 +11,7 @@ from tradelake import constants as C
 from tradelake.operators import bronze, candles, decode, feed, reports, scans, silver
 from tradelake.schemas import TableSpec
 from tradelake.sinks import tables
+from tradelake.streaming.metrics import RunMetrics
 
 
 def feed_to_records(
@@ -40,16 +41,26 @@ def run_silver_batch(
     start: dt.date | str,
     end: dt.date | str | None = None,
     only_valid: bool = False,
+    metrics: RunMetrics | None = None,
     **silver_options,
 ) -> None:
     """Silver trades of ``[start, end)`` into a keyed table; reruns add nothing.
 
-    Trades without a date belong to every range: the rules report them.
+    Trades without a date belong to every range: the rules report them.  ``metrics`` gets the rows
+    read, cleaned and kept.
     """
     tables.ensure_table(spark, target)
+
+    def counted(df: DataFrame, step: str, at: str) -> DataFrame:
+        return df if metrics is None else metrics.step(df, step, at)
+
     rows = scans.scan_date_range(tables.read_table(spark, source), start, end, undated=True)
-    cleaned = silver.silver_trades(rows, keep=C.SOURCE_KEY, **silver_options)
-    tables.insert_new(silver.keep_valid(cleaned, only_valid), target)
+    rows = counted(rows, "bronze", "trade_datetime")
+    cleaned = counted(silver.silver_trades(rows, keep=C.SOURCE_KEY, **silver_options), "silver", "trade_datetime")
+    kept = silver.keep_valid(cleaned, only_valid)
+    tables.insert_new(counted(kept, "kept", "trade_datetime") if only_valid else kept, target)
+    if metrics is not None:
+        metrics.store()
 
 
 def run_candle_batch(

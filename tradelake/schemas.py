@@ -272,3 +272,17 @@ FILE_LEDGER = TableSpec(
     schema=_struct(consumer="string", path="string", modified="timestamp", size="long", taken_at="timestamp"),
     partition_by=("consumer",),
 )
+
+# What the steps of batch jobs counted, one row per run and step.
+JOB_METRICS = TableSpec(
+    schema=_struct(
+        job="string",
+        run="string",
+        step="string",
+        row_count="long",
+        min_ts="timestamp",
+        max_ts="timestamp",
+        recorded_at="timestamp",
+    ),
+    partition_by=("job",),
+)

@@ -36,7 +36,12 @@ OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 def ensure_table(spark: SparkSession, spec: TableSpec) -> None:
-    """Create the namespace and the table, or the folder, where missing."""
+    """Create the namespace and the table, or the folder, where missing.
+
+    One that is there is brought to the declared columns (``evolution.evolve_table``).
+    """
+    from tradelake.sinks.evolution import evolve_table
+
     if spec.name is None:
         try:
             spark.read.format(spec.format).schema(spec.stored_schema).load(spec.path)
@@ -45,11 +50,14 @@ def ensure_table(spark: SparkSession, spec: TableSpec) -> None:
                 raise
             empty = spark.createDataFrame([], spec.stored_schema)
             _file_writer(empty, spec).mode("append").save(spec.path)
+        evolve_table(spark, spec)
         return
     if "." in spec.name:
         spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {spec.name.rpartition('.')[0]}")
     if not spark.catalog.tableExists(spec.name):
         spark.sql(spec.ddl())
+    else:
+        evolve_table(spark, spec)
 
 
 def read_table(spark: SparkSession, spec: TableSpec) -> DataFrame:
@@ -98,10 +106,12 @@ def arrange(df: DataFrame, spec: TableSpec) -> DataFrame:
     arranged = _renamed(df.select(*spec.schema.names), spec, "", EMPTY_TEXT)
     if spec.partition_by:
         arranged = arranged.hint("rebalance", *spec.partition_by)
-    if spec.sort_by:
-        terms = [_sort_term(t) for t in (*spec.partition_by, *spec.sort_by)]
-        arranged = arranged.sortWithinPartitions(*terms)
-    return arranged
+    return _sorted(arranged, spec)
+
+
+def _sorted(df: DataFrame, spec: TableSpec) -> DataFrame:
+    terms = [_sort_term(t) for t in (*spec.partition_by, *spec.sort_by)]
+    return df.sortWithinPartitions(*terms) if spec.sort_by else df
 
 
 def _renamed(df: DataFrame, spec: TableSpec, old: str, new: str) -> DataFrame:
@@ -122,6 +132,12 @@ def append(df: DataFrame, spec: TableSpec) -> None:
     _write(arrange(df, spec), spec, "append")
 
 
+def append_arranged(df: DataFrame, spec: TableSpec) -> None:
+    """Append rows that are dealt out already (``compaction.packed``, ``clustering.clustered``)."""
+    rows = _renamed(df.select(*spec.schema.names), spec, "", EMPTY_TEXT)
+    _write(_sorted(rows, spec), spec, "append")
+
+
 def append_epoch(df: DataFrame, spec: TableSpec, epoch_id: int, stream_id: str = "batch") -> None:
     """Append a micro-batch so that replaying the epoch replaces its own rows.
 
@@ -228,7 +244,11 @@ def _write(df: DataFrame, spec: TableSpec, mode: str) -> None:
         writer = _file_writer(df, spec).option("partitionOverwriteMode", "dynamic")
         writer.mode(mode).save(spec.path)
         return
-    in_order = df.select(*df.sparkSession.table(spec.name).columns)
+    # Columns that the table has and this job does not know are null.
+    stored = df.sparkSession.table(spec.name).schema
+    in_order = df.select(*[
+        F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in stored.fields
+    ])
     if spec.format in MERGE_FORMATS:
         writer = in_order.writeTo(spec.name).options(**spec.write_options)
         writer.append() if mode == "append" else writer.overwritePartitions()
@@ -291,3 +311,39 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder and what is in it; one that is not there is no error."""
     files, hadoop = _file_system(spark, path)
     files.delete(hadoop, True)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file whole; nothing if it is not there."""
+    for name in (path, f"{path}.new"):
+        files, hadoop = _file_system(spark, name)
+        if files.exists(hadoop):
+            stream = files.open(hadoop)
+            try:
+                return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            finally:
+                stream.close()
+    return None
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small file in the place of the last one; readers find the one or the other, whole."""
+    files, new = _file_system(spark, f"{path}.new")
+    out = files.create(new, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    _, target = _file_system(spark, path)
+    files.delete(target, False)
+    files.rename(new, target)
+
+
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether a folder has data files, at any depth."""
+    files, hadoop = _file_system(spark, path)
+    if not files.exists(hadoop):
+        return False
+    found = files.listFiles(hadoop, True)
+    while found.hasNext():
+        if not found.next().getPath().getName().startswith(("_", ".")):
+            return True
+    return False

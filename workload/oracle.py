@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tradelake import constants as C
-from workload.queries import SAMPLE_END, SAMPLE_START, SYMBOL
+from workload.queries import CLUSTER_SCAN, RANGE_SCAN, SAMPLE_END, SAMPLE_START, SYMBOL
 from workload.views import NOW_MS, PARTS, PRODUCER, TOPIC
 
 NOW = "'2024-02-01 00:00:00.000'"
@@ -310,12 +310,13 @@ SELECT p.symbol, p.exchange, {_ts('p.hour_start')} AS hour_start, p.kafka_offset
 FROM picked p JOIN bronze b USING (kafka_offset)"""
 
 
-_STOCKS = """stocks AS (
+_EXEMPT = " OR ".join(f"contains(symbol, '{name}')" for name in C.SUBSCRIPTION_EXCHANGES)
+
+_STOCKS = f"""stocks AS (
   SELECT event_id, CASE event_type WHEN 'view' THEN 'BINANCE:C' || user_id WHEN 'click' THEN 'OKX:C' || user_id
                                    ELSE 'S' || user_id END AS symbol, value AS price FROM events),
 marked AS (
-  SELECT *, (contains(symbol, ':') AND (contains(symbol, 'BINANCE') OR contains(symbol, 'COINBASE')
-             OR contains(symbol, 'KRAKEN') OR contains(symbol, 'BITFINEX')))
+  SELECT *, (contains(symbol, ':') AND ({_EXEMPT}))
          OR symbol IN (SELECT 'S' || s_suppkey FROM supplier) AS known FROM stocks)"""
 
 _CODES = C.ERROR_CODES
@@ -358,6 +359,19 @@ _CORRECTED = f"""{BRONZE}, corrected AS (
   FROM bronze)""" + _FULL_BRONZE.format(source="corrected")
 _STORED_WILD = f"{BRONZE}, {_WILD}" + _FULL_BRONZE.format(source="wild")
 
+_DAYS_ONCE = f"SELECT exchange, count(*) AS row_count, count(DISTINCT symbol) AS symbols, 'true' AS symbols_ok, 'true' AS median_ok"
+
+# Offsets counted per topic partition, without those lost.
+_HOLEY = f"""{BRONZE}, counted AS (
+  SELECT kafka_partition, kafka_offset // 3 AS kafka_offset FROM bronze),
+kept AS (
+  SELECT * FROM counted WHERE NOT (kafka_offset % 97 < 3 OR kafka_offset % 500 BETWEEN 200 AND 219)),
+stepped AS (
+  SELECT *, lag(kafka_offset) OVER (PARTITION BY kafka_partition ORDER BY kafka_offset) AS before FROM kept),
+gaps AS (
+  SELECT '{TOPIC}' AS kafka_topic, kafka_partition, before + 1 AS gap_start, kafka_offset - 1 AS gap_end,
+         kafka_offset - before - 1 AS missing FROM stepped WHERE kafka_offset - before > 1)"""
+
 ORACLE: dict[str, str] = {
     "ohlcv_1h": HOURLY + _CANDLE_SELECT,
     "ohlcv_interval": f"{BRONZE}, {_candles('bronze', '5 minutes')}" + _CANDLE_SELECT,
@@ -465,6 +479,37 @@ ORACLE: dict[str, str] = {
        (SELECT any_value(least({PARTS - 1}, (extract(day FROM ts) - 1) // 8 + CASE WHEN event_id % 13 = 0 THEN 1 ELSE 0 END))
         FROM events e WHERE e.event_id = kafka_offset) AS write_epoch
 FROM bronze"""),
+    "streaming_dedupe_watermark": _STORED + """
+       WHERE trade_datetime <= (SELECT max(trade_datetime) FROM bronze) - INTERVAL 10 MINUTES""",
+    "evolved_bronze": _STORED.replace("'1.0' AS schema_version", """
+       CASE WHEN kafka_offset % 2 = 1 THEN '1.0' END AS schema_version""").replace(
+        _r("price"), _r("(CASE WHEN kafka_offset % 2 = 0 THEN price::float::double ELSE price END)")),
+    "catalog_evolved_bronze": _STORED.replace("'1.0' AS schema_version", """
+       CASE WHEN kafka_offset % 2 = 1 THEN '1.0' END AS schema_version"""),
+    "compacted_epochs": _STORED,
+    "clustered_scan": _STORED + f" WHERE {CLUSTER_SCAN}",
+    "z_clustered_scan": _STORED + f" WHERE {RANGE_SCAN}",
+    "offset_gaps": f"{_HOLEY} SELECT * FROM gaps",
+    "offset_report": f"""{_HOLEY}, seen AS (
+       SELECT kafka_partition, min(kafka_offset) AS first_offset, max(kafka_offset) AS last_offset, count(*) AS messages,
+              count(*) FILTER (kafka_offset % 5 = 0) AS repeats FROM kept GROUP BY kafka_partition),
+       lost AS (SELECT kafka_partition, count(*) AS gaps, sum(missing)::BIGINT AS missing FROM gaps GROUP BY 1)
+       SELECT '{TOPIC}' AS kafka_topic, s.*, coalesce(gaps, 0) AS gaps, coalesce(missing, 0) AS missing
+       FROM seen s LEFT JOIN lost USING (kafka_partition)""",
+    "job_metrics": " UNION ALL ".join(
+        f"""({DIRTY_SILVER} SELECT 'silver_batch' AS job, '{step}' AS step, count(*) AS row_count,
+        {_ts('min(trade_datetime)')} AS min_ts, {_ts('max(trade_datetime)')} AS max_ts FROM silver {kept})"""
+        for step, kept in (("bronze", ""), ("silver", ""), ("kept", "WHERE validation_errors = ''"))
+    ),
+    "quality_sketches": f"{BRONZE} {_DAYS_ONCE} FROM bronze GROUP BY exchange",
+    "feed_text_routes": f"""WITH {FEED}, kinds AS (SELECT route,
+       CASE WHEN route <> 'malformed' THEN json_extract_string(value, '$.type')
+            WHEN contains(value, '"ping"') THEN 'ping' ELSE 'trade' END AS message_type FROM routed)
+       SELECT route, message_type, count(*) AS messages FROM kinds GROUP BY ALL""",
+    "land_csv_dirty": f"{_ORDERS} WHERE o_orderkey % 17 <> 0 AND o_orderkey % 19 <> 0",
+    "land_csv_rejected": """SELECT CASE WHEN o_orderkey % 17 = 0 THEN 'x' ELSE '' END || o_orderkey AS o_orderkey,
+       CASE WHEN o_orderkey % 19 = 0 THEN 'true' ELSE 'false' END AS bad_price FROM orders
+       WHERE o_orderkey % 17 = 0 OR o_orderkey % 19 = 0""",
     "streaming_resume_silver": DIRTY_SILVER + _SILVER_SELECT,
     "streaming_resume_candles": HOURLY + _CANDLE_SELECT,
     "candles_from_state": HOURLY + _CANDLE_SELECT,

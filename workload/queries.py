@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradelake import constants as C
 from tradelake import schemas
@@ -20,17 +22,20 @@ from tradelake.operators import (
     feed,
     landing,
     listing,
+    offsets,
     picks,
     reports,
     scans,
     silver,
+    sketches,
 )
 from tradelake.plans import medallion
 from tradelake.schemas import TableSpec
 from tradelake.session import configure, scratch_dir
-from tradelake.sinks import tables, upserts
+from tradelake.sinks import clustering, compaction, tables, upserts
 from tradelake.sources import files
 from tradelake.streaming import jobs
+from tradelake.streaming.metrics import RunMetrics
 from workload import views as V
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -779,3 +784,182 @@ def streaming_candles_update(spark, sf_dir):
     tables.ensure_table(spark, target)
     jobs.candles_to_table(trades, target, scratch_dir(spark, "checkpoint"), PATIENT, clock=V.now()).awaitTermination()
     return tables.read_table(spark, target).select(*CANDLE_COLUMNS)
+
+
+@query
+def streaming_dedupe_watermark(spark, sf_dir):
+    """Every trade twice in the stream; once in the table when the watermark has passed it."""
+    jobs.stream_settings(spark)
+    stream = V.as_bronze(V.trades(_stream(spark, sf_dir, "events")))
+    twice = stream.withColumn("_copy", F.explode(F.lit([0, 1]))).drop("_copy")
+    return _finished(jobs.dedupe_stream(twice), schemas.BRONZE_TRADES)
+
+
+# --- tables that change their columns -----------------------------------------------
+
+
+def _evolved(spark: SparkSession, sf_dir: str, place: dict, widened: dict[str, str]) -> DataFrame:
+    """Half of the trades stored without one column and with narrower ones, then the others in full."""
+    rows, new = V.bronze(spark, sf_dir), schemas.BRONZE_TRADES.at(**place)
+    fewer = [f for f in new.schema.fields if f.name != "schema_version"]
+    old = replace(new, schema=T.StructType(fewer)).with_columns(**widened)
+    even = F.col("kafka_offset") % 2 == 0
+    tables.ensure_table(spark, old)
+    narrow = rows.where(even).withColumns({c: F.col(c).cast(kind) for c, kind in widened.items()})
+    tables.append(narrow, old)
+    tables.ensure_table(spark, new)
+    tables.append(rows.where(~even), new)
+    return tables.read_table(spark, new)
+
+
+@query
+def evolved_bronze(spark, sf_dir):
+    return _evolved(spark, sf_dir, {"path": scratch_dir(spark, "evolved")}, {"kafka_offset": "integer", "price": "float"})
+
+
+@query
+def catalog_evolved_bronze(spark, sf_dir):
+    name = f"evolved_{scratch_dir(spark, 'evolved').rpartition('-')[2]}"
+    return _evolved(spark, sf_dir, {"name": name}, {})
+
+
+# --- file layout ------------------------------------------------------------------
+
+
+@query
+def compacted_epochs(spark, sf_dir):
+    """Epochs compacted while late rows still come, old ones dropped; every row is read once."""
+    rows = V.bronze(spark, sf_dir)
+    epochs = tables.with_epoch(schemas.BRONZE_TRADES).at(path=scratch_dir(spark, "epochs"))
+    settled = schemas.BRONZE_TRADES.at(path=scratch_dir(spark, "settled"))
+    late = F.col("kafka_offset") % 13 == 0
+    for epoch in range(2):
+        tables.append_epoch(rows.where(~late & (F.col("kafka_offset") % 2 == epoch)), epochs, epoch)
+    compaction.compact_epochs(spark, epochs, settled, SAMPLE_START)
+    tables.append_epoch(rows.where(late), epochs, 2)
+    compaction.compact_epochs(spark, epochs, settled, SAMPLE_END)
+    compaction.expire_epochs(spark, epochs, settled, SAMPLE_START)
+    return compaction.read_current(spark, epochs, settled)
+
+
+CLUSTER = ("exchange", "base_currency", "quote_currency", "trade_datetime")
+# Bounds of the scans over clustered files.
+CLUSTER_SCAN = "exchange = 'view' AND base_currency = 't1' AND trade_datetime >= TIMESTAMP '2024-01-10 00:00:00'"
+RANGE_SCAN = "price BETWEEN 5 AND 20 AND timestamp_ms BETWEEN 1704844800000 AND 1705449600000"
+
+
+def _clustered(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    spec = TableSpec(schemas.BRONZE_TRADES.schema, partition_by=(), path=scratch_dir(spark, "clustered"))
+    tables.append_arranged(rows, spec)
+    return tables.read_table(spark, spec)
+
+
+@query
+def clustered_scan(spark, sf_dir):
+    """One symbol's later trades from files clustered by symbol and time."""
+    return _clustered(spark, clustering.clustered(V.bronze(spark, sf_dir), CLUSTER)).where(CLUSTER_SCAN)
+
+
+@query
+def z_clustered_scan(spark, sf_dir):
+    """Bounds on price and time at once, from files clustered by both."""
+    rows = clustering.z_clustered(V.bronze(spark, sf_dir), ("price", "timestamp_ms"))
+    return _clustered(spark, rows).where(RANGE_SCAN)
+
+
+# --- what was lost, what was counted --------------------------------------------------
+
+
+@query
+def offset_gaps(spark, sf_dir):
+    return offsets.offset_gaps(V.holey(V.bronze(spark, sf_dir)), block=256)
+
+
+@query
+def offset_report(spark, sf_dir):
+    return offsets.offset_report(V.holey(V.bronze(spark, sf_dir)), block=256)
+
+
+@query
+def job_metrics(spark, sf_dir):
+    """Rows read, cleaned and kept by a silver batch."""
+    source = schemas.BRONZE_TRADES.at(path=scratch_dir(spark, "bronze"))
+    target = schemas.SILVER_TRADES_KEYED.at(path=scratch_dir(spark, "silver"))
+    counts = schemas.JOB_METRICS.at(path=scratch_dir(spark, "metrics"))
+    tables.append(V.dirty_bronze(spark, sf_dir), source)
+    run = RunMetrics(spark, counts, "silver_batch")
+    medallion.run_silver_batch(
+        spark, source, target, "0001-01-01", "9999-12-31", only_valid=True, metrics=run, clock=V.now()
+    )
+    return tables.read_table(spark, counts).select("job", "step", "row_count", "min_ts", "max_ts")
+
+
+@query
+def quality_sketches(spark, sf_dir):
+    """Sketches of days merged per exchange, held against the exact numbers."""
+    rows = V.bronze(spark, sf_dir)
+    merged = sketches.merged_sketches(sketches.daily_sketches(rows), ["exchange"])
+    about = merged.select(
+        F.col("exchange").alias("_exchange"),
+        sketches.sketched_symbols(F.col("symbols")).alias("_symbols"),
+        sketches.sketched_price(F.col("prices"), 0.5).alias("_median"),
+    )
+    price = F.col("price")
+    exact = rows.join(about, F.col("exchange") == F.col("_exchange")).groupBy("exchange").agg(
+        F.count("*").alias("row_count"),
+        F.count_distinct("symbol").alias("symbols"),
+        F.max("_symbols").alias("_symbols"),
+        F.avg((price < F.col("_median")).cast("int")).alias("_below"),
+        F.avg((price <= F.col("_median")).cast("int")).alias("_upto"),
+    )
+    return exact.select(
+        "exchange",
+        "row_count",
+        "symbols",
+        (F.abs(F.col("_symbols") - F.col("symbols")) <= F.col("symbols") * 0.05).alias("symbols_ok"),
+        ((F.col("_below") <= 0.52) & (F.col("_upto") >= 0.48)).alias("median_ok"),
+    )
+
+
+# --- feed files and uploads -----------------------------------------------------------
+
+
+@query
+def feed_text_routes(spark, sf_dir):
+    """Feed messages read from text files, counted by what they are."""
+    path = scratch_dir(spark, "feed")
+    V.feed(spark, sf_dir).select(F.col("value").cast("string").alias("value")).write.text(path)
+    routed = feed.route_messages(files.read_feed_text(spark, path))
+    return routed.groupBy("route", "message_type").agg(F.count("*").alias("messages"))
+
+
+def _uploaded(spark: SparkSession, sf_dir: str) -> tuple[TableSpec, TableSpec]:
+    """Uploads landed as they come in two parts, the job run twice after each."""
+    schema = V.table(spark, sf_dir, "orders").schema
+    target = files.upload_table(TableSpec(schema, partition_by=())).at(path=scratch_dir(spark, "landed"))
+    rejected = files.rejected_uploads(path=scratch_dir(spark, "rejected"))
+    seen = schemas.FILE_LEDGER.at(path=scratch_dir(spark, "ledger"))
+    folder, rows = scratch_dir(spark, "uploads"), V.uploads(spark, sf_dir)
+    first = F.col("o_custkey").cast("long") % 2 == 0
+    for part in (rows.where(first), rows.where(~first)):
+        part.write.mode("append").option("header", True).csv(folder)
+        for _ in range(2):
+            files.land_uploads(spark, folder, target, rejected, seen, schema)
+    return target, rejected
+
+
+@query
+def land_csv_dirty(spark, sf_dir):
+    """The lines that fit, each once."""
+    target, _ = _uploaded(spark, sf_dir)
+    return tables.read_table(spark, target).drop(files.SOURCE_FILE, files.UPLOAD)
+
+
+@query
+def land_csv_rejected(spark, sf_dir):
+    """The lines that do not, as they were."""
+    _, rejected = _uploaded(spark, sf_dir)
+    line = F.col("line")
+    return tables.read_table(spark, rejected).select(
+        F.substring_index(line, ",", 1).alias("o_orderkey"), F.contains(line, F.lit(",n/a,")).alias("bad_price")
+    )

@@ -182,6 +182,35 @@ def arriving(spark: SparkSession, sf_dir: str, part: int) -> DataFrame:
     return table(spark, sf_dir, "events").where(f"{ARRIVAL} = {part}")
 
 
+# --- messages lost and sent twice -------------------------------------------------
+
+LOST = "kafka_offset % 97 < 3 OR kafka_offset % 500 BETWEEN 200 AND 219"
+TWICE = "kafka_offset % 5 = 0"
+
+
+def holey(bronze_rows: DataFrame) -> DataFrame:
+    """Offsets counted per topic partition, some of them missing and some there twice."""
+    counted = bronze_rows.withColumn("kafka_offset", F.expr("kafka_offset div 3")).where(f"NOT ({LOST})")
+    return counted.unionByName(counted.where(TWICE))
+
+
+# --- uploads with broken lines ----------------------------------------------------
+
+DIRTY_KEY, DIRTY_PRICE = "o_orderkey % 17 = 0", "o_orderkey % 19 = 0"
+
+
+def uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as text, some with a key or a price that is no number."""
+    return table(spark, sf_dir, "orders").selectExpr(
+        f"concat(CASE WHEN {DIRTY_KEY} THEN 'x' ELSE '' END, cast(o_orderkey AS string)) AS o_orderkey",
+        "cast(o_custkey AS string) AS o_custkey",
+        "o_orderstatus",
+        f"CASE WHEN {DIRTY_PRICE} THEN 'n/a' ELSE cast(o_totalprice AS string) END AS o_totalprice",
+        "date_format(o_orderdate, \"yyyy-MM-dd'T'HH:mm:ss.SSS\") AS o_orderdate",
+        "o_orderpriority",
+    )
+
+
 # Every third trade is corrected after 5 s, every fifth has an outdated copy.
 CORRECTED = "kafka_offset % 3 = 0"
 OUTDATED = "kafka_offset % 5 = 0"
