@@ -28,6 +28,8 @@ COMPARED = 1 << 22
 # A group of more documents, or with more shingles, is cut.
 GROUP_ROWS = 1024
 GROUP_SHINGLES = 1 << 21
+# Bits of the filter that says which texts are read again; a fixed size, whatever the input.
+FILTER_BITS = 1 << 26
 # Distances from a group's hub are told apart in this many steps up to the largest of a link.
 STEPS = 3
 
@@ -358,11 +360,28 @@ def near_groups(
     )
 
 
+def _filtered(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Texts whose key may be among the wanted ones, so that few others are shuffled.
+
+    A bit per hash of a wanted key, 64 to a row: at most ``FILTER_BITS / 64`` rows are
+    broadcast.  With far more keys than bits all texts pass, and the join that follows sorts them out.
+    """
+
+    def bit(df: DataFrame) -> DataFrame:
+        at = F.pmod(F.xxhash64("_key"), F.lit(FILTER_BITS))
+        return df.withColumn("_word", F.shiftright(at, 6)).withColumn("_bit", F.expr("shiftleft(1L, cast(pmod(xxhash64(_key), 64) AS int))"))
+
+    words = bit(wanted).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    met = bit(texts).join(F.broadcast(words), "_word").where(F.col("_bits").bitwiseAND(F.col("_bit")) != 0)
+    return met.select(*texts.columns)
+
+
 def _links(members: DataFrame, nodes: DataFrame, texts: DataFrame, shingle: int, threshold: int, percent: int) -> DataFrame:
     """A forest of the confirmed links within the groups, by nodes."""
     # Only texts with a possible partner are read into sets again.
     wanted = checkpointed(members.select("_node").distinct().join(nodes.select("_node", "_key"), "_node"))
-    again = texts.select("_key", "_text").join(wanted, "_key").groupBy("_key", "_node").agg(F.first("_text").alias("_text"))
+    maybe = _filtered(texts.select("_key", "_text"), wanted)
+    again = maybe.join(wanted, "_key").groupBy("_key", "_node").agg(F.first("_text").alias("_text"))
 
     def make():
         return lambda found: [[s.view(np.int64) for s in (shingle_set(t, shingle) for t in found)]]
