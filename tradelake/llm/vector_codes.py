@@ -29,7 +29,7 @@ BEYOND = 0.05
 
 STATE = T.StructType(
     [
-        field("_vector", "binary"),  # integer components, 64 bit
+        field("_vector", "binary"),  # integer components, 32 bit
         field("_codes", "binary"),  # per part: its entry
         field("_near", "binary"),  # per part: b closest entries, the own one first
         field("_bounds", "binary"),  # per part: upper bound of the first, lower ones of the others, outer bound
@@ -63,8 +63,8 @@ def as_integers(vectors: pa.Array, dim: int, largest: int) -> np.ndarray:
 
 
 def largest_component(dim: int, entries: int) -> int:
-    """Up to here distances, times the number of entries, fit into 64 bits."""
-    return isqrt((1 << 62) // (4 * max(1, dim) * entries))
+    """Up to here distances, times the number of entries, fit into 64 bits, and components into 32."""
+    return min((1 << 31) - 1, isqrt((1 << 62) // (4 * max(1, dim) * entries)))
 
 
 def squared(x: np.ndarray, entries: np.ndarray) -> np.ndarray:
@@ -175,7 +175,7 @@ def _moved(state: DataFrame, kept: list[str], books: list[np.ndarray], drifts: l
             widths = pc.binary_length(batch.column(n + 2)).to_numpy() // len(books)
             for b in np.unique(widths).tolist():
                 rows = batch.filter(pa.array(widths == b))
-                x = _numbers(rows.column(n), np.int64, dim)
+                x = _numbers(rows.column(n), np.int32, dim).astype(np.int64)
                 near = _numbers(rows.column(n + 2), np.uint8, len(books), b).astype(np.int64)
                 bounds = _numbers(rows.column(n + 3), np.float32, len(books), b + 1)
                 found, depths = [], np.zeros(k + 1, np.int64)
@@ -211,7 +211,7 @@ def _bytes(rows: np.ndarray) -> pa.Array:
 
 def _packed(batch: pa.RecordBatch, n: int, x: np.ndarray, found: list) -> pa.RecordBatch:
     near = np.stack([f[0] for f in found], axis=1).astype(np.uint8)
-    made = (x, near[:, :, 0], near, np.stack([f[1] for f in found], axis=1))
+    made = (x.astype(np.int32), near[:, :, 0], near, np.stack([f[1] for f in found], axis=1))
     names = [batch.schema.names[i] for i in range(n)] + STATE.names
     return pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(n)), *map(_bytes, made)], names)
 
@@ -230,7 +230,7 @@ def _sums(state: DataFrame, books: list[np.ndarray], dim: int) -> tuple[np.ndarr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, counts = zeros()
         for batch in _slices(batches):
-            x = _numbers(batch.column(0), np.int64, dim)
+            x = _numbers(batch.column(0), np.int32, dim).astype(np.int64)
             codes = _numbers(batch.column(1), np.uint8, len(books))
             for p, cut in enumerate(pieces):
                 np.add.at(sums[:, cut], codes[:, p], x[:, cut])
@@ -329,7 +329,7 @@ def _results(state: DataFrame, books: list[np.ndarray], dim: int, id_col: str) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
-            x = _numbers(batch.column(2), np.int64, dim)
+            x = _numbers(batch.column(2), np.int32, dim).astype(np.int64)
             codes = _numbers(batch.column(3), np.uint8, len(books))
             error = np.zeros(len(x), np.int64)
             for p, cut in enumerate(pieces):
