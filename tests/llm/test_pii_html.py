@@ -1,13 +1,15 @@
 import hashlib
 import functools
 import html
+import random
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tradelake.llm import pii, wrappers
+from tradelake.llm import html_tokens, pii, wrappers
 from tradelake.llm.html_tokens import blocks, tokens
 from tradelake.llm.queries import QUERIES
 
@@ -227,3 +229,48 @@ def test_copies_of_a_page_share_no_boilerplate(spark):
     for parts in (1, 3):
         df = _pages(spark, [("http://f.test/", page)] * 6).repartition(parts)
         assert {r.text for r in wrappers.extract_text(df).collect()} == {"Title Text rights"}
+
+
+@pytest.mark.parametrize(
+    "page, kinds",
+    [
+        ("<a " * 400_000, 1),
+        ('<a "' * 300_000, 1),
+        ("<a \"'" * 200_000 + ">", 2),
+        ("<" * 1_000_000, 1),
+        ("<script " * 130_000, 1),
+        ("<p><b " * 170_000, None),
+        ("".join(f"<t{i}>" for i in range(150_000)), 150_000),
+    ],
+)
+def test_hostile_pages_take_seconds(page, kinds):
+    """A megabyte of tags left open, quotes that never end, or tags that are all different."""
+    began = time.monotonic()
+    found = html_tokens.tokens(page)
+    assert kinds is None or len(found) == kinds
+    wrappers.extract(page, wrappers.Wrapper.of([], []).dump())
+    assert time.monotonic() - began < 30
+
+
+def test_a_tag_left_open_is_text():
+    assert html_tokens.tokens('x <p> 1 < 2 <b "y> <i>') == [("#", "x "), ("p", ""), ("#", ' 1 < 2 <b "y> '), ("i", "")]
+    assert html_tokens.tokens("<a title='>'>t</a><!-- <p> --><script>if (a<b) x</script><!doctype") == [("a", ""), ("#", "t"), ("/a", "")]
+
+
+def test_long_streams_align_between_anchors(monkeypatch):
+    rng = random.Random(4)
+    a = [f"t{i}" for i in range(40_000)]
+    b = [n if i % 3 else f"u{i}" for i, n in enumerate(a)]
+    began = time.monotonic()
+    assert wrappers.aligned(a, b) == [(i, i) for i in range(40_000) if i % 3]
+    assert wrappers.aligned(a, [f"v{i}" for i in range(40_000)]) == []
+    merged = wrappers.Wrapper.of(a, [None] * len(a)).merged(wrappers.Wrapper.of(b, [None] * len(b)))
+    assert sum(not o for o in merged.optional) == sum(1 for i in range(40_000) if i % 3)
+    assert time.monotonic() - began < 30
+    # with a small table the pairs still rise in both streams and match
+    monkeypatch.setattr(wrappers, "TABLE_CELLS", 30)
+    for _ in range(200):
+        x, y = ([rng.choice("abcdefghijkl") for _ in range(rng.randint(0, 25))] for _ in range(2))
+        pairs = wrappers.aligned(x, y)
+        assert all(x[i] == y[j] for i, j in pairs)
+        assert all(p < q and r < t for (p, r), (q, t) in zip(pairs, pairs[1:]))
