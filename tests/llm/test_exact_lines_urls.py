@@ -1,6 +1,8 @@
 import hashlib
+import os
 import random
 import re
+import tracemalloc
 
 import pytest
 from pyspark.sql import functions as F
@@ -40,33 +42,58 @@ def test_groups_of_copies(docs):
     assert {r[2:] for r in exact.keep_one(clash).collect()} == {("_key", "_digest", "_size", "_place", "keep_id")}
 
 
-def plain_chunks(text, divisor=3):
-    rows, out, chunk, before = (text or "").split("\n"), [], [], 0
-    for i, line in enumerate(rows):
-        h = int(hashlib.md5(line.encode()).hexdigest()[:12], 16)
-        rolling = (h % 1_048_573 + before % 1_048_573 * 31) % 1_048_573
-        chunk.append(line)
-        before = h
-        if i == len(rows) - 1 or rolling % divisor == 0:
-            out.append(chunk)
-            chunk = []
+def plain_dedup(rows):
+    """Of neighbouring lines that stand together in several places all but the first place go."""
+    texts = {i: (t or "").split("\n") for i, t in rows}
+    places = {}
+    for i in sorted(texts):
+        for k, pair in enumerate(zip(texts[i], texts[i][1:])):
+            places.setdefault(pair, []).append((i, k))
+    stay, go = set(), set()
+    for found in places.values():
+        if len(found) > 1:
+            stay |= {(found[0][0], found[0][1] + d) for d in (0, 1)}
+            go |= {(i, k + d) for i, k in found[1:] for d in (0, 1)}
+    out = {}
+    for i, lines_ in texts.items():
+        gone = [(i, k) in go - stay for k in range(len(lines_))]
+        runs = sum(g and not (k and gone[k - 1]) for k, g in enumerate(gone))
+        out[i] = (len(lines_), sum(gone), runs, "\n".join(x for x, g in zip(lines_, gone) if not g))
     return out
 
 
-def plain_dedup(rows):
-    first, found = {}, {}
-    for i, t in sorted(rows, key=lambda r: r[0]):
-        kept, gone, chunks = [], 0, plain_chunks(t)
-        for chunk in chunks:
-            key = "\n".join(chunk)
-            if len(chunk) > 1 and key in first:
-                gone += 1
-            else:
-                first.setdefault(key, i) if len(chunk) > 1 else None
-                kept += chunk
-        size = sum(map(len, chunks))
-        found[i] = (size, size - len(kept), gone, "\n".join(kept))
-    return found
+def repeated_runs(rows):
+    """Runs of neighbouring lines, over 50 words in total, that stand in an earlier text; exact copies left out."""
+    seen, met, out = set(), set(), []
+    for i, t in sorted(rows):
+        if t in met:
+            continue
+        met.add(t)
+        lines_ = t.split("\n")
+        known = [pair in seen for pair in zip(lines_, lines_[1:])] + [False]
+        start = None
+        for k, k_known in enumerate(known):
+            if k_known and start is None:
+                start = k
+            elif not k_known and start is not None:
+                if sum(len(x.split()) for x in lines_[start : k + 1]) > 50:
+                    out.append((i, lines_[start : k + 1]))
+                start = None
+        seen.update(zip(lines_, lines_[1:]))
+    return out
+
+
+def test_nine_of_ten_repeated_passages_are_found(spark, read):
+    folder = os.path.dirname(os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")) + "/sf0.1"
+    df = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    rows = [(r.doc_id, r.text or "") for r in df.collect()]
+    kept = {r.doc_id: (r.n_removed_lines, r.text) for r in lines.dedup_lines(df).collect()}
+    runs = repeated_runs(rows)
+    found = sum("\n".join(run) not in kept[i][1] for i, run in runs)
+    assert len(runs) > 100 and found >= 0.9 * len(runs)
+    # every line that went still stands somewhere
+    there = {x for _, t in kept.values() for x in t.split("\n")}
+    assert {x for _, t in rows for x in t.split("\n")} <= there | {""}
 
 
 def test_lines_against_plain_code(docs):
@@ -159,3 +186,15 @@ def test_hosts_beyond_ascii_and_rules_without_a_path(spark, monkeypatch, size):
 def test_rules_must_allow_or_block():
     with pytest.raises(ValueError):
         urls.build_trie([("deny", "org/")])
+
+
+def test_a_full_trie_fits_a_worker():
+    rules, size = [], 0
+    while size < urls.BROADCAST_BYTES:
+        rules.append(("block", f"host{len(rules)}.example{len(rules) % 977}.org/a{len(rules)}/b"))
+        size += len(rules[-1][1])
+    tracemalloc.start()
+    trie = urls.build_trie(rules)
+    assert tracemalloc.get_traced_memory()[0] < 200e6
+    tracemalloc.stop()
+    assert urls.match(trie, "x.host5.example5.org", "/a5/bc") is not None

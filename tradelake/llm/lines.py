@@ -7,12 +7,9 @@ from pyspark.sql import functions as F
 
 from tradelake.llm.common import checkpointed, text_column
 
-# Line hashes are numbers below 16**HEX; rolling hashes are taken modulo PRIME.
+# Line hashes are numbers below 16**HEX.
 HEX = 12
-PRIME = 1_048_573
-FACTOR = 31
-# A boundary lies behind one line in DIVISOR.
-DIVISOR = 3
+# Lines that a rolling hash covers; shorter repeats stay.
 MIN_LINES = 2
 
 
@@ -25,55 +22,55 @@ def _line_hash(line: Column) -> Column:
     return F.conv(F.substring(F.md5(line), 1, HEX), 16, 10).cast("long")
 
 
-def _chunked(df: DataFrame, text_col: str, kept: list[Column], divisor: int) -> DataFrame:
-    """``kept``, ``_lines``, ``_hashes`` and ``_ends``: where each chunk ends.
+def _rolled(df: DataFrame, text_col: str, kept: list[Column], size: int) -> DataFrame:
+    """``kept``, ``_start`` and ``_hash`` per place: the rolling hash of ``size`` lines from there on.
 
-    The rolling hash of a line is made of its own and the line's before it; a
-    chunk ends where it is divisible by ``divisor``.  A boundary so depends on
-    two lines only, and is found again wherever these stand.
+    It depends on these lines only, and is found again wherever they stand.
     """
-    text = text_column(df, text_col)
-    lines = df.select(*kept, _held(F.split(text, "\n", -1)).alias("_lines"))
-    hashes = lines.select("*", _held(F.transform("_lines", _line_hash)).alias("_hashes"))
+    lines = df.select(*kept, F.split(text_column(df, text_col), "\n", -1).alias("_lines"))
+    hashes = lines.select(*lines.columns[:-1], _held(F.transform("_lines", _line_hash)).alias("_hashes"))
+    places = F.when(
+        F.size("_hashes") >= size,
+        F.transform(
+            F.sequence(F.lit(1), F.size("_hashes") - (size - 1)), lambda i: F.xxhash64(F.slice("_hashes", i, size))
+        ),
+    )
+    return hashes.select(*lines.columns[:-1], F.posexplode(places).alias("_start", "_hash"))
 
-    def ends(i: Column) -> Column:
-        before = F.when(i > 1, F.try_element_at("_hashes", i - 1)).otherwise(F.lit(0))
-        rolling = (F.try_element_at("_hashes", i) % PRIME + before % PRIME * FACTOR) % PRIME
-        return (i == F.size("_hashes")) | (rolling % divisor == 0)
 
-    numbers = F.sequence(F.lit(1), F.size("_hashes"))
-    return hashes.select("*", _held(F.filter(numbers, ends)).alias("_ends"))
+def _covered(starts: str, size: int) -> Column:
+    """The lines that windows beginning at ``starts`` cover, each once."""
+    return F.array_distinct(F.flatten(F.transform(starts, lambda s: F.sequence(s, s + (size - 1)))))
 
 
-def _chunks(ends: str) -> Column:
-    """Ranges of lines (from, to; 0-based, end exclusive)."""
-    start = lambda k: F.when(k == 0, F.lit(0)).otherwise(F.try_element_at(ends, k))
-    return F.transform(ends, lambda e, k: F.struct(start(k).alias("start"), e.alias("stop")))
+def _runs(lines: str) -> Column:
+    """Ascending line numbers as runs (``_start``, ``_stop``; end exclusive)."""
+    at = lambda k: F.try_element_at(lines, k)
+    begins = F.filter(F.sequence(F.lit(1), F.size(lines)), lambda k: (k == 1) | (at(k) - at(F.greatest(k - 1, F.lit(1))) > 1))
+    ends = F.concat(F.slice(begins, 2, F.size(begins)), F.array(F.size(lines) + 1))
+    return F.transform(
+        F.arrays_zip(begins.alias("b"), ends.alias("e")),
+        lambda r: F.struct(at(r["b"]).alias("_start"), (at(r["e"] - 1) + 1).alias("_stop")),
+    )
 
 
 def _key(df: DataFrame, id_col: str, text_col: str) -> Column:
     return F.concat_ws(":", F.md5(text_column(df, text_col)), df[id_col].cast("string"))
 
 
-def dedup_lines(
-    df: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    divisor: int = DIVISOR,
-    min_lines: int = MIN_LINES,
-) -> DataFrame:
+def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = MIN_LINES) -> DataFrame:
     """``id, n_lines, n_removed_lines, n_removed_chunks, text`` per row.
 
-    Texts are cut into chunks of whole lines at content-defined boundaries.  A
-    chunk of ``min_lines`` lines or more that occurs again, in the same or in
-    another document, stays only where the smallest identifier (then the first
-    place) has it.  Chunks are found by their lines' hashes; those that occur again
-    are compared by their bytes before any is removed.
+    A hash rolls over every ``min_lines`` neighbouring lines.  Boundaries lie where it is found nowhere else:
+    between them are the chunks whose neighbouring lines stand together in another place too, wherever
+    that begins and ends.  Of such lines only the place with the smallest identifier (then the first in
+    the text) stays, with all its lines; the others go, and a run of lines that go is a removed
+    chunk.  Hashes that are found again are compared by the bytes of their lines before any is removed.
 
-    Only hashes are shuffled to find repeated chunks, summed up in each task
-    first, so that a chunk which a third of all documents have is no large group.
+    Only hashes are shuffled to find what is repeated, summed up in each task
+    first, so that lines which a third of all documents have are no large group.
     Texts are shuffled twice by document: once to compare bytes of repeated
-    chunks, once to remove them.
+    lines, once to remove them.
 
     Null text counts as empty: one empty line.  Rows that repeat identifier and
     text count as one document and give equal results.  A null identifier is
@@ -82,33 +79,19 @@ def dedup_lines(
     """
     key = _key(df, id_col, text_col).alias("_key")
     identifier = F.col(id_col).alias("_id")
-    cut = _chunked(df, text_col, [key, identifier], divisor)
-    found = cut.select("_key", "_id", "_hashes", F.explode(_chunks("_ends")).alias("_c"))
-    n = F.col("_c.stop") - F.col("_c.start")
-    chunks = checkpointed(
-        found.where(n >= min_lines).select(
-            "_key",
-            "_id",
-            F.col("_c.start").alias("_start"),
-            F.col("_c.stop").alias("_stop"),
-            F.xxhash64(F.slice("_hashes", F.col("_c.start") + 1, n)).alias("_hash"),
-            n.alias("_n"),
-        )
-    )
-    again = checkpointed(chunks.groupBy("_hash", "_n").count().where("count > 1").drop("count"))
-    places = F.collect_list(F.struct("_start", "_stop")).alias("_places")
-    suspects = chunks.join(again, ["_hash", "_n"], "left_semi").groupBy("_key").agg(places)
+    rolled = checkpointed(_rolled(df, text_col, [key], min_lines))
+    again = checkpointed(rolled.groupBy("_hash").count().where("count > 1").drop("count"))
+    # Rows that repeat identifier and text have the same places.
+    suspects = rolled.join(again, "_hash", "left_semi").groupBy("_key").agg(F.collect_set("_start").alias("_starts"))
 
-    # The bytes of the suspects; one row per different chunk and task goes on.
+    # The bytes of the suspects; one row per different lines and task goes on.
     texts = df.select(key, identifier, F.split(text_column(df, text_col), "\n", -1).alias("_lines"))
     compared = (
         texts.join(suspects, "_key")
-        .select("_key", "_id", "_lines", F.explode("_places").alias("_p"))
+        .select("_key", "_id", "_lines", F.explode("_starts").alias("_start"))
         .select(
-            F.struct("_id", "_key", "_p._start", "_p._stop").alias("_place"),
-            F.array_join(F.slice("_lines", F.col("_p._start") + 1, F.col("_p._stop") - F.col("_p._start")), "\n").alias(
-                "_bytes"
-            ),
+            F.struct("_id", "_key", "_start").alias("_place"),
+            F.array_join(F.slice("_lines", F.col("_start") + 1, min_lines), "\n").alias("_bytes"),
         )
     )
     compared = checkpointed(compared.withColumn("_digest", F.sha2("_bytes", 256)))
@@ -118,12 +101,14 @@ def dedup_lines(
         .where("_count > 1")
         .select("_digest", "_first")
     )
+    first = F.col("_place") == F.col("_first")
+    start = F.col("_place._start")
+    placed = compared.drop("_bytes").join(same, "_digest").groupBy(F.col("_place._key").alias("_key")).agg(
+        F.collect_set(F.when(first, start)).alias("_stay"), F.collect_set(F.when(~first, start)).alias("_go")
+    )
+    lines = F.array_sort(F.array_except(_covered("_go", min_lines), _covered("_stay", min_lines)))
     removed = (
-        compared.drop("_bytes")
-        .join(same, "_digest")
-        .where("_place <> _first")
-        .groupBy(F.col("_place._key").alias("_key"))
-        .agg(F.array_sort(F.collect_set(F.struct("_place._start", "_place._stop"))).alias("_gone"))
+        placed.select("_key", _held(lines).alias("_at")).where(F.size("_at") > 0).select("_key", _runs("_at").alias("_gone"))
     )
     whole = df.select(key, identifier, F.split(text_column(df, text_col), "\n", -1).alias("_lines"))
     joined = whole.join(removed, "_key", "left").withColumn("_m", F.coalesce(F.size("_gone"), F.lit(0)))

@@ -39,26 +39,25 @@ LINES = """
 WITH docs AS (
     SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
 ), numbered AS (
-    SELECT doc_id, len(lines) AS n, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS i FROM docs
-), hashed AS (
-    SELECT *, ('0x' || substr(md5(line), 1, 12))::BIGINT AS h FROM numbered
-), rolled AS (
-    SELECT *, (h % 1048573 + coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0) % 1048573 * 31) % 1048573 AS r
-    FROM hashed
+    SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS i FROM docs
+), paired AS (
+    SELECT doc_id, i, line || chr(10) || lead(line) OVER (PARTITION BY doc_id ORDER BY i) AS body FROM numbered
+), placed AS (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY body ORDER BY doc_id, i) = 1 AS stays,
+           count(*) OVER (PARTITION BY body) AS n FROM paired WHERE body IS NOT NULL
+), gone AS (
+    SELECT doc_id, unnest([i, i + 1]) AS i FROM placed WHERE NOT stays
+    EXCEPT
+    SELECT doc_id, unnest([i, i + 1]) AS i FROM placed WHERE stays AND n > 1
 ), marked AS (
-    SELECT *, coalesce(sum(CASE WHEN i = n OR r % 3 = 0 THEN 1 ELSE 0 END) OVER (
-        PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk
-    FROM rolled
-), chunks AS (
-    SELECT doc_id, chunk, string_agg(line, chr(10) ORDER BY i) AS body, count(*) AS size FROM marked GROUP BY ALL
-), flagged AS (
-    SELECT *, size >= 2 AND row_number() OVER (PARTITION BY body, size >= 2 ORDER BY doc_id, chunk) > 1 AS gone FROM chunks
+    SELECT l.doc_id, l.i, line, g.i IS NOT NULL AS gone,
+           lag(g.i IS NOT NULL) OVER (PARTITION BY l.doc_id ORDER BY l.i) AS before
+    FROM numbered l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.i = l.i
 )
-SELECT doc_id, sum(size)::BIGINT AS n_lines,
-       coalesce(sum(size) FILTER (gone), 0)::BIGINT AS n_removed_lines,
-       count(*) FILTER (gone) AS n_removed_chunks,
-       coalesce(string_agg(body, chr(10) ORDER BY chunk) FILTER (NOT gone), '') AS text
-FROM flagged GROUP BY doc_id
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed_lines,
+       count(*) FILTER (gone AND NOT coalesce(before, false)) AS n_removed_chunks,
+       coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') AS text
+FROM marked GROUP BY doc_id
 """
 
 

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from tradelake.llm.common import checkpointed, field, per_text
 from tradelake.llm.exact import lower_ascii
 
-# Rules above this size (text bytes) are joined instead of broadcast.
-BROADCAST_BYTES = 32 << 20
+# Rules above this size (text bytes) are joined instead of broadcast.  The trie takes up to 50 times as much
+# in each Python worker.
+BROADCAST_BYTES = 2 << 20
 
 # (verdict, rule): host, then the beginning of the path.
 Rule = tuple[str, str]
