@@ -2,6 +2,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -219,3 +220,16 @@ def test_the_sample_is_bounded(docs):
     assert 0 < shallow.tree.order < language.ORDER and shallow.tables[0].nbytes <= 1000
     whole = language.learn(df, max_docs=1, max_bytes=1)
     assert whole.names == ["en"]
+
+
+def test_a_full_block_fits_a_worker():
+    """The states of as much text as a block may have, all of it different."""
+    rng = random.Random(1)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8))) for _ in range(decontam.BLOCK_BYTES // 6)]
+    items = [(str(i), " ".join(words[i : i + 60])) for i in range(0, len(words), 60)]
+    assert sum(len(t) for _, t in items) > decontam.BLOCK_BYTES * 0.9
+    tracemalloc.start()
+    automaton = decontam.Automaton(items, 10)
+    assert tracemalloc.get_traced_memory()[0] < 160e6
+    tracemalloc.stop()
+    assert automaton.hits(items[3][1].encode().split())[0] == [(0, 60)]

@@ -15,8 +15,9 @@ from pyspark.sql import types as T
 
 from tradelake.llm.common import byte_slices, checkpointed, field, text_column
 
-# Benchmark text per automaton; a larger benchmark takes several passes.
-BLOCK_BYTES = 8 << 20
+# Benchmark text per automaton; a larger benchmark takes several passes.  A block's states take about 110
+# times its text, in the driver while it is built and in each Python worker.
+BLOCK_BYTES = 1 << 20
 
 _OTHER = bytes(range(0x30)) + bytes(range(0x3A, 0x41)) + bytes(range(0x5B, 0x61)) + bytes(range(0x7B, 0x80))
 _TABLE = bytes.maketrans(
