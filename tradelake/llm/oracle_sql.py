@@ -133,10 +133,51 @@ FROM coded JOIN kept USING (r), books""")
     return "WITH " + ", ".join(steps)
 
 
+# The checksum bit by bit; the numbers are those of the common CRC-32.
+RESAMPLED = """
+WITH texts AS (
+    SELECT 0 AS target, doc_id AS id, text FROM documents
+    UNION ALL
+    SELECT 1, item_id, text FROM benchmark
+), worded AS (
+    SELECT target, id, regexp_extract_all({lower}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM texts
+), features AS (
+    SELECT target, id, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS feature FROM worded
+), distinct_features AS (
+    SELECT DISTINCT feature, hex(feature) AS x FROM features
+), bucketed AS (
+    SELECT feature, xor(list_reduce(
+        list_prepend(4294967295, list_transform(range(0, len(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT)),
+        lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda d, z: xor(d >> 1, 3988292384 * (d & 1)))
+    ), 4294967295) % 10000 AS bucket FROM distinct_features
+), placed AS (
+    SELECT target, id, bucket FROM features JOIN bucketed USING (feature)
+), totals AS (
+    SELECT count(*) FILTER (target = 0) AS s_all, count(*) FILTER (target = 1) AS t_all FROM placed
+), gains AS (
+    SELECT bucket, floor(1000 * ln((count(*) FILTER (target = 1) + 1)::DOUBLE * (s_all + 10000)
+                                   / ((count(*) FILTER (target = 0) + 1)::DOUBLE * (t_all + 10000))))::BIGINT AS gain
+    FROM placed, totals GROUP BY bucket, s_all, t_all
+), weights AS (
+    SELECT id, count(*) AS n_features, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight
+    FROM placed JOIN gains USING (bucket) WHERE target = 0 GROUP BY id
+), scored AS (
+    SELECT id AS doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(len(w), 0) >= 20 AS fits,
+           coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || id), 1, 8))::BIGINT + 0.5::DOUBLE)
+                                                      / 4294967296)))::BIGINT AS score
+    FROM worded LEFT JOIN weights USING (id) WHERE target = 0
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY fits ORDER BY score DESC, doc_id) AS place,
+           count(*) FILTER (fits) OVER () * 25 // 100 AS drawn FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN fits AND place <= drawn THEN place END AS rank FROM ranked
+""".replace("{lower}", LOWER.format("coalesce(text, '')"))
+
 ORACLE = {
     "op2_url_filters": URLS,
     "op6_exact_dedup": EXACT,
     "op7_line_dedup": LINES,
     "op11_minhash_near_dedup": NEAR,
     "op12_vector_code_compression": _codes(),
+    "op13_importance_resampling": RESAMPLED,
 }
