@@ -70,18 +70,26 @@ def run_candle_batch(
     start: dt.date | str | None = None,
     end: dt.date | str | None = None,
     clock: Column | None = None,
+    metrics: RunMetrics | None = None,
 ) -> None:
     """Hourly candles of ``[start, end)`` (all dates without a start).
 
     Whole days are read, so whole (day, exchange) partitions are replaced and a
-    rerun leaves the table as it was.
+    rerun leaves the table as it was.  ``metrics`` gets the trades read and the candles.
     """
     tables.ensure_table(spark, target)
     trades = tables.read_table(spark, source)
     if start is not None:
         trades = scans.scan_date_range(trades, start, end)
-    rows = candles.candles(scans.scan_trades(trades), clock=clock)
+    trades = scans.scan_trades(trades)
+    if metrics is not None:
+        trades = metrics.step(trades, "trades", "trade_datetime")
+    rows = candles.candles(trades, clock=clock)
+    if metrics is not None:
+        rows = metrics.step(rows, "candles", "hour_start")
     tables.overwrite_partitions(rows, target)
+    if metrics is not None:
+        metrics.store()
 
 
 def open_candles(stored: DataFrame, trades: DataFrame, **options) -> DataFrame:

@@ -15,7 +15,7 @@ from tradelake.operators import bronze, candles, decode, landing, silver
 from tradelake.schemas import FILE_LEDGER, TableSpec
 from tradelake.sinks import tables, upserts
 from tradelake.sources import ledger as filelog
-from tradelake.streaming.metrics import observed
+from tradelake.streaming.metrics import RunMetrics, observed
 
 # --- fixed values: default trigger intervals of the three streams ---
 BRONZE_INTERVAL = "10 seconds"
@@ -214,6 +214,7 @@ def poll_table(
     interval: str | None = SILVER_INTERVAL,
     ledger: TableSpec | None = None,
     files_per_write: int = filelog.FILES_PER_WRITE,
+    metrics: TableSpec | None = None,
     **silver_options,
 ) -> StreamingQuery:
     """Silver from a bronze table that has no streaming read.
@@ -225,12 +226,16 @@ def poll_table(
     stored.  Where the table can be streamed, prefer :func:`silver_stream`.
 
     The ledger is a folder beside the checkpoint if none is given; the consumer in it is the
-    target.
+    target.  ``metrics`` gets the rows of every write.
     """
     ledger = ledger or FILE_LEDGER.at(path=f"{checkpoint.rstrip('/')}-ledger")
 
     def store(fresh: DataFrame) -> None:
-        tables.insert_new(silver.silver_trades(fresh, keep=C.SOURCE_KEY, **silver_options), target)
+        rows = silver.silver_trades(fresh, keep=C.SOURCE_KEY, **silver_options)
+        run = RunMetrics(spark, metrics, "silver_poll") if metrics else None
+        tables.insert_new(run.step(rows, "silver", "trade_datetime") if run else rows, target)
+        if run:
+            run.store()
 
     def refresh(_: DataFrame, __: int) -> None:
         filelog.consume_table(spark, source, ledger, target.name or target.path, store, files_per_write)

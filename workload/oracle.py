@@ -332,8 +332,9 @@ _ORDERS = f"""SELECT o_orderkey, o_custkey, o_orderstatus, {_r('o_totalprice')}
 
 _NEWEST = "ORDER BY hour_start DESC, symbol, exchange, base_currency, quote_currency"
 
-_RELOADED = f"""{BRONZE}, {CLEAN} SELECT kafka_partition, kafka_offset, trade_index, trade_id,
-       {_r('trade_value')} AS trade_value, {_day('trade_date')} AS trade_date FROM clean"""
+_RELOADED = f"{BRONZE}, {CLEAN}, {SILVER}" + _SILVER_SELECT.replace(
+    "FROM silver", f", '{TOPIC}' AS kafka_topic, kafka_partition, kafka_offset, trade_index FROM silver"
+)
 
 # Every seventh trade dated a thousand years ahead, every eleventh without a time.
 _WILD = """wild AS (
@@ -468,8 +469,7 @@ ORACLE: dict[str, str] = {
     "symbol_last_24h": f"""{HOURLY.replace('priced AS (', 'every AS (')},
        priced AS (SELECT * FROM every WHERE symbol = '{SYMBOL}' {_NEWEST} LIMIT 24)""" + _CANDLE_SELECT,
     "nation_count": "SELECT count(*) AS row_count FROM nation",
-    "dedupe_trades": f"""{BRONZE} SELECT kafka_partition, kafka_offset, trade_index, symbol,
-       {_r('price')} AS price, {_ts('bronze_ingestion_timestamp')} AS bronze_ingestion_timestamp FROM bronze""",
+    "dedupe_trades": _STORED,
     "idempotent_reload": _RELOADED,
     "table_poll": _RELOADED,
     "table_poll_late": _RELOADED,
@@ -500,7 +500,10 @@ FROM bronze"""),
         f"""({DIRTY_SILVER} SELECT 'silver_batch' AS job, '{step}' AS step, count(*) AS row_count,
         {_ts('min(trade_datetime)')} AS min_ts, {_ts('max(trade_datetime)')} AS max_ts FROM silver {kept})"""
         for step, kept in (("bronze", ""), ("silver", ""), ("kept", "WHERE validation_errors = ''"))
-    ),
+    ) + f""" UNION ALL ({DIRTY_BRONZE} SELECT 'candle_batch', 'trades', count(*), {_ts('min(trade_datetime)')},
+        {_ts('max(trade_datetime)')} FROM bronze)
+       UNION ALL ({DIRTY_BRONZE}, {_candles('bronze')} SELECT 'candle_batch', 'candles', count(*),
+        {_ts('min(hour_start)')}, {_ts('max(hour_start)')} FROM candles)""",
     "quality_sketches": f"{BRONZE} {_DAYS_ONCE} FROM bronze GROUP BY exchange",
     "feed_text_routes": f"""WITH {FEED}, kinds AS (SELECT route,
        CASE WHEN route <> 'malformed' THEN json_extract_string(value, '$.type')
@@ -514,8 +517,9 @@ FROM bronze"""),
     "streaming_resume_candles": HOURLY + _CANDLE_SELECT,
     "candles_from_state": HOURLY + _CANDLE_SELECT,
     "streaming_candles_update": HOURLY + _CANDLE_SELECT,
-    "epoch_replay": f"""{BRONZE} SELECT kafka_partition, kafka_offset, trade_index, symbol, {_r('price')} AS price,
-       cast(CASE WHEN trade_date < DATE '{SAMPLE_START}' THEN 0 ELSE 1 END AS bigint) AS write_epoch FROM bronze""",
+    "epoch_replay": _STORED.replace("trade_index\nFROM", f"""trade_index,
+       cast(CASE WHEN trade_date < DATE '{SAMPLE_START}' THEN 0 ELSE 1 END AS bigint) AS write_epoch
+FROM"""),
     "settled_days": _STORED,
     "candle_rerun": HOURLY + _CANDLE_SELECT,
     "streaming_bronze": f"WITH {ENRICHED}" + _BRONZE_SELECT,

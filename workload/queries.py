@@ -426,9 +426,7 @@ def dedupe_trades(spark, sf_dir):
     again = once.withColumn(
         "bronze_ingestion_timestamp", F.expr("bronze_ingestion_timestamp + INTERVAL 5 SECONDS")
     )
-    return picks.dedupe_trades(once.unionByName(again)).select(
-        *KEY, "symbol", "price", "bronze_ingestion_timestamp"
-    )
+    return picks.dedupe_trades(once.unionByName(again))
 
 
 @query
@@ -440,7 +438,7 @@ def idempotent_reload(spark, sf_dir):
     tables.insert_new(scans.scan_date_range(rows, SAMPLE_START, SAMPLE_END), target)
     tables.insert_new(rows, target)
     tables.insert_new(rows, target)
-    return tables.read_table(spark, target).select(*KEY, "trade_id", "trade_value", "trade_date")
+    return tables.read_table(spark, target)
 
 
 @query
@@ -451,7 +449,7 @@ def epoch_replay(spark, sf_dir):
     early = F.col("trade_date") < F.lit(SAMPLE_START).cast("date")
     for epoch, part in ((0, rows.where(early)), (1, rows.where(~early)), (1, rows.where(~early))):
         tables.append_epoch(part, target, epoch)
-    return tables.read_table(spark, target).select(*KEY, "symbol", "price", tables.EPOCH_COLUMN)
+    return tables.read_table(spark, target).drop(tables.STREAM_COLUMN)
 
 
 @query
@@ -635,7 +633,7 @@ def catalog_reload(spark, sf_dir):
     rows = silver.silver_trades(V.bronze(spark, sf_dir), clock=V.now(), keep=C.SOURCE_KEY)
     for part in (scans.scan_date_range(rows, SAMPLE_START, SAMPLE_END), rows, rows):
         tables.insert_new(part, target)
-    return tables.read_table(spark, target).select(*KEY, "trade_id", "trade_value", "trade_date")
+    return tables.read_table(spark, target)
 
 
 @query
@@ -660,7 +658,7 @@ def _polled(spark: SparkSession, sf_dir: str, parts: list[DataFrame]) -> DataFra
         jobs.poll_table(
             spark, ticks, source, target, scratch_dir(spark, "checkpoint"), None, ledger, clock=V.now()
         ).awaitTermination()
-    return tables.read_table(spark, target).select(*KEY, "trade_id", "trade_value", "trade_date")
+    return tables.read_table(spark, target)
 
 
 @query
@@ -882,7 +880,7 @@ def offset_report(spark, sf_dir):
 
 @query
 def job_metrics(spark, sf_dir):
-    """Rows read, cleaned and kept by a silver batch."""
+    """Rows read, cleaned and kept by a silver batch; trades and candles of a candle batch."""
     source = schemas.BRONZE_TRADES.at(path=scratch_dir(spark, "bronze"))
     target = schemas.SILVER_TRADES_KEYED.at(path=scratch_dir(spark, "silver"))
     counts = schemas.JOB_METRICS.at(path=scratch_dir(spark, "metrics"))
@@ -891,6 +889,9 @@ def job_metrics(spark, sf_dir):
     medallion.run_silver_batch(
         spark, source, target, "0001-01-01", "9999-12-31", only_valid=True, metrics=run, clock=V.now()
     )
+    candle_table = schemas.CANDLES.at(path=scratch_dir(spark, "candles"))
+    run = RunMetrics(spark, counts, "candle_batch")
+    medallion.run_candle_batch(spark, source, candle_table, clock=V.now(), metrics=run)
     return tables.read_table(spark, counts).select("job", "step", "row_count", "min_ts", "max_ts")
 
 
