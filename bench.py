@@ -50,9 +50,12 @@ ONCE = (
     "settled_days",
     "epoch_replay",
     "table_poll",
+    "upsert_versions",
+    "compacted_epochs",
     "streaming_silver",
     "streaming_candles",
     "streaming_dedupe",
+    "streaming_candles_update",
 )
 
 
