@@ -164,3 +164,30 @@ def test_sum_of_squares_takes_the_least():
         levels[level + size] += 1
         assert full == (level + size == capacity)
         assert packer.levels[1:capacity].tolist() == levels[1:capacity]
+
+
+@pytest.mark.parametrize("tasks", [1, 8, 32])
+def test_most_pieces_stay_where_they_were_placed(tasks):
+    """At the ends of tasks, under a twentieth of the documents' rests is cut to fill other windows."""
+    rng = random.Random(tasks)
+    moved, total = 0, 0
+    for _ in range(tasks):
+        packer = packing.SumOfSquares(2048)
+        for doc in range(10_000 // tasks):
+            size = min(2047, int(rng.expovariate(1 / 600)) + 1)
+            packer.place(size)[0].append((doc, 0, size, bytes(4 * size)))
+            total += 1
+        placed = {p[0]: i for i, w in enumerate(packer.rest()) for p in w}
+        found: dict[int, list] = {}
+        for sequence in packing._closed(packer, 2048):
+            assert sum(map(packing._length, sequence)) in (2048, *(1 << k for k in range(11)))
+            windows = {placed[p[0]] for p in sequence}
+            home = min(windows)
+            for doc, start, whole, data in sequence:
+                found.setdefault(doc, []).append((start, len(data) // 4, whole, placed[doc] == home))
+        assert set(found) == set(placed)
+        for pieces in found.values():
+            pieces.sort()
+            assert sum(p[1] for p in pieces) == pieces[0][2]
+            moved += not (len(pieces) == 1 and pieces[0][3])
+    assert moved < 0.05 * total

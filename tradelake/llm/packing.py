@@ -198,8 +198,9 @@ def pack(
     Each scan task packs its own documents, without a shuffle: a document's
     whole windows are sequences of their own, its rest is placed by
     :class:`SumOfSquares`.  At most the partly filled windows are held in
-    memory.  At the task's end these are joined and cut into whole windows; what
-    then is left is cut at powers of two, which need no padding.  A sequence
+    memory.  At the task's end the fullest of them stay as they are and are filled
+    up with pieces cut from the emptiest; what then is left is cut at powers of
+    two, which need no padding.  A sequence
     id holds the task's number above :data:`SEQUENCE_BITS` bits, so that a task
     run again after a loss gives the same rows.
 
@@ -272,19 +273,36 @@ class _Rows:
 
 
 def _closed(packer: SumOfSquares, window: int) -> Iterator[list[tuple]]:
-    """The partly filled windows as whole ones, then as powers of two."""
+    """The partly filled windows as whole ones, then powers of two.
+
+    As many windows as their ids can fill, the fullest, stay as they were placed;
+    the pieces of the others are cut to fill them up, and what then is left.
+    """
     held = list(packer.rest())
-    left = sum(len(p[3]) // 4 for w in held for p in w)
-    parts = (p for w in held for p in w)
+    left = sum(_length(p) for w in held for p in w)
+    kept, loose = held[: left // window], held[left // window :]
+    pieces = (p for w in reversed(loose) for p in w)
     carry: tuple | None = None
-    while left:
-        size = window if left >= window else 1 << (left.bit_length() - 1)
-        room, sequence = size, []
+
+    def filled(sequence: list[tuple], size: int) -> list[tuple]:
+        nonlocal carry
+        room = size - sum(map(_length, sequence))
         while room:
-            doc, start, total, data = carry or next(parts)
+            doc, start, total, data = carry or next(pieces)
             n = min(room, len(data) // 4)
             sequence.append((doc, start, total, data[: 4 * n]))
             carry = (doc, start + n, total, data[4 * n :]) if 4 * n < len(data) else None
             room -= n
+        return sequence
+
+    for sequence in kept:
+        yield filled(sequence, window)
+    left %= window
+    while left:
+        size = 1 << (left.bit_length() - 1)
+        yield filled([], size)
         left -= size
-        yield sequence
+
+
+def _length(piece: tuple) -> int:
+    return len(piece[3]) // 4
