@@ -19,7 +19,7 @@ def test_groups_of_copies(docs):
     texts = ["a", "A", "É", "é", "", None, "long " * 30_000, "Long " * 30_000, "b\n", "b"]
     rows = [(i, rng.choice(texts)) for i in range(300)] + [(7, "a"), (7, "a"), (None, "é"), (None, "only null")]
     df = docs(*rows).withColumnRenamed("lang", "kept").withColumnRenamed("source", "_run")
-    got = exact.group_copies(df, run_bits=4, fan_bits=3).collect()
+    got = exact.group_copies(df, leaf_bits=1, run_bits=3).collect()
     groups = {}
     for i, t in rows:
         groups.setdefault(lower(t), []).append(i)
@@ -42,6 +42,24 @@ def test_groups_of_copies(docs):
     assert {r[2:] for r in exact.keep_one(clash).collect()} == {("_key", "_digest", "_size", "_place", "keep_id")}
 
 
+def test_runs_are_merged_in_their_order(spark):
+    """A merge exchanges stretches of runs once, sorts them, and folds along the sorted rows."""
+    rng = random.Random(6)
+    rows = [(run, hashlib.sha256(b"%d" % rng.randrange(40)).digest()) for run in range(8) for _ in range(30)]
+    runs = spark.createDataFrame(rows, "_run int, _digest binary").select(
+        "_run", "_digest", F.lit(1).alias("_size"), F.lit(2).alias("_check"), F.struct(F.rand(3).alias("_id")).alias("_best"), F.lit(1).alias("_n")
+    )
+    merged = exact._merged(runs, 1, 6)
+    plan = merged._jdf.queryExecution().sparkPlan().toString()
+    assert "SortAggregate" in plan and "HashAggregate" not in plan
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(_run") == plan.count("Exchange") == 1 and plan.count("Sort [") >= 1
+    counts = {}
+    for run, digest in rows:
+        counts[run >> 1, digest] = counts.get((run >> 1, digest), 0) + 1
+    assert {(r["_run"], bytes(r["_digest"])): r["_n"] for r in merged.collect()} == counts
+
+
 def plain_dedup(rows):
     """Of neighbouring lines that stand together in several places all but the first place go."""
     texts = {i: (t or "").split("\n") for i, t in rows}
