@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -21,11 +23,19 @@ LABELS = 1 + len(KINDS)
 # Documents, and bytes of their texts, that the field is trained on.
 TRAIN_DOCS = 4000
 TRAIN_BYTES = 8 << 20
-# Features and steps of the training.
-FEATURES = 2000
+# Steps of the training, and how far equal labels are favoured before it.
 STEPS = 150
-# Rounds of message passing, and the belief above which a span is added.
-ROUNDS = 10
+PRIOR = 2.0
+# Words of a document whose beliefs are computed at once, and further words on either side.
+STRETCH = 20_000
+OVERLAP = 64
+# Digits that words of one number share, and words that one number is written in.
+SAME_DIGITS = 7
+NUMBER_WORDS = 6
+# Rounds of message passing at most, the change at which it ends, and the belief above
+# which a span is added.
+ROUNDS = 60
+CHANGE = 1e-3
 BELIEF = 0.8
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -35,9 +45,9 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
+_BEHIND = re.compile(r"\s*(\S*)")
 # Words with a digit or an at sign: only they can be personal data of these kinds.
 _CANDIDATE = re.compile(r"(?<!\S)[^\s0-9@]*[0-9@]\S*")
-_WORD = re.compile(r"\S+")
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -103,53 +113,148 @@ def base_spans(text: str) -> list[Span]:
     return sorted(found)
 
 
+def _words(text: str, spans: list[Span]) -> Iterator[tuple[int, int, int]]:
+    """Start, end and label of each candidate word; a word in several spans has the first one's."""
+    at, open_spans = 0, []
+    for m in _CANDIDATE.finditer(text):
+        start, end = m.span()
+        while at < len(spans) and spans[at][0] < end:
+            open_spans.append(spans[at])
+            at += 1
+        open_spans = [s for s in open_spans if s[2] > start]
+        yield start, end, open_spans[0][1] + 1 if open_spans else OUTSIDE
+
+
 class Sequence:
-    """A document's candidate words with their edges, features and known labels."""
-
-    __slots__ = ("words", "labels", "chain", "skip", "features")
-
-    def __init__(self, text: str, spans: list[Span]):
-        found = list(_CANDIDATE.finditer(text))
-        self.words = [m.span() for m in found]
-        self.labels = [OUTSIDE] * len(found)
-        i = 0
-        for start, kind, end in spans:
-            while i and self.words[i - 1][1] > start:
-                i -= 1
-            while i < len(self.words) and self.words[i][1] <= start:
-                i += 1
-            while i < len(self.words) and self.words[i][0] < end:
-                if self.labels[i] == OUTSIDE:
-                    self.labels[i] = kind + 1
-                i += 1
-        self.chain = [
-            (i, i + 1)
-            for i in range(len(found) - 1)
-            if self.words[i + 1][0] - self.words[i][1] <= 2 and text[self.words[i][1] : self.words[i + 1][0]].isspace()
-        ]
-        # Each word is tied to the last one before it with the same letters or
-        # digits: all repetitions are connected by as many edges as words.
-        self.skip = []
-        last: dict[str, int] = {}
-        for i, m in enumerate(found):
-            for key in _alike(m.group()):
-                if key in last:
-                    self.skip.append((last[key], i))
-                last[key] = i
-        self.features = [_features(text, *m.span()) for m in found]
+    """A stretch of a document's candidate words with their edges, features and known labels.
 
+    ``own`` are the words whose beliefs count; those around them are context.
+    ``far`` are labels of matches elsewhere in the document that a word resembles.
+    """
 
-def _alike(word: str) -> list[str]:
-    """What a word shares with those that repeat it or resemble it."""
-    core = word.strip(".,;:!?()[]{}<>\"'").lower()
-    digits = "".join(_DIGIT.findall(word))
-    keys = ["w" + core] if len(core) >= 5 else []
-    return keys + (["d" + digits[-7:]] if len(digits) >= 7 else [])
+    __slots__ = ("words", "labels", "chain", "skip", "features", "keys", "own", "far")
+
+    def __init__(self, text: str, spans: list[Span], words=None, own=None, known=None):
+        words = list(_words(text, spans)) if words is None else words
+        self.words = [(a, b) for a, b, _ in words]
+        self.labels = [y for _, _, y in words]
+        self.own = own or (0, len(words))
+        self.chain = [(i, i + 1) for i in range(len(words) - 1) if _adjoin(text, self.words[i][1], self.words[i + 1][0])]
+        self.keys, parts = _alike(text, self.words, self.labels, self.chain)
+        # Each word is tied to the last one before it that it resembles: all
+        # repetitions are connected by as many edges as words.  The words that make up
+        # one number are tied to the number before, not to each other.
+        self.skip = []
+        last: dict[str, tuple[int | None, int]] = {}
+        for i, keys in enumerate(self.keys):
+            before = set()
+            for key in keys:
+                earlier, latest = last.get(key, (None, None))
+                if not (latest is not None and latest == i - 1 and key == parts[i] == parts[i - 1]):
+                    earlier = latest
+                before |= {earlier} - {None}
+                last[key] = earlier, i
+            self.skip += [(j, i) for j in sorted(before)]
+        self.far = []
+        if known:
+            here = self.matched_keys()
+            for i, keys in enumerate(self.keys):
+                labels = {known[k] for k in keys if k in known and k not in here}
+                if not self.labels[i]:
+                    self.far += [(i, y) for y in sorted(labels)]
+        self.features = [_features(text, *w) for w in self.words]
+
+    def matched_keys(self) -> dict[str, int]:
+        return {k: y for keys, y in zip(self.keys, self.labels) if y for k in keys}
+
+
+def stretches(text: str, spans: list[Span]) -> Iterator[Sequence]:
+    """A document's words, all at once or, of long ones, :data:`STRETCH` at a time.
+
+    Stretches overlap by :data:`OVERLAP` words on either side.  What a word resembles
+    among the matches of the whole document is known in every stretch.
+    """
+    known: dict[str, int] | None = None
+    held: list[tuple[int, int, int]] = []
+    context = 0
+    for word in _words(text, spans):
+        held.append(word)
+        if len(held) == context + STRETCH + OVERLAP:
+            if known is None:
+                known = _matches(text, spans)
+            yield Sequence(text, spans, held, (context, context + STRETCH), known)
+            first = max(0, context + STRETCH - OVERLAP)
+            context += STRETCH - first
+            held = held[first:]
+    if len(held) > context:
+        yield Sequence(text, spans, held, (context, len(held)), known)
+
+
+def _matches(text: str, spans: list[Span]) -> dict[str, int]:
+    """Label by key, of the words inside spans."""
+    found: dict[str, int] = {}
+    run: list[tuple[int, int, int]] = []
+
+    def take() -> None:
+        words = [(a, b) for a, b, _ in run]
+        labels = [y for _, _, y in run]
+        chain = [(i, i + 1) for i in range(len(run) - 1)]
+        for keys, y in zip(_alike(text, words, labels, chain)[0], labels):
+            found.update(dict.fromkeys(keys, y))
+        run.clear()
+
+    for word in _words(text, spans):
+        if run and not (word[2] and _adjoin(text, run[-1][1], word[0]) and len(run) < STRETCH):
+            take()
+        if word[2]:
+            run.append(word)
+    take()
+    return found
+
+
+def _adjoin(text: str, end: int, start: int) -> bool:
+    return start - end <= 2 and text[end:start].isspace()
+
+
+def _alike(
+    text: str, words: list[tuple[int, int]], labels: list[int], chain: list[tuple[int, int]]
+) -> tuple[list[list[str]], list[str]]:
+    """For each word, what it shares with those that repeat it or resemble it.
+
+    The word without marks around it, the last digits of a long number, the name
+    before an at sign; for neighbouring words that make up a number, its digits, which
+    are also returned apart.
+    """
+    keys = []
+    parts = [""] * len(words)
+    for start, end in words:
+        word = text[start:end]
+        core = word.strip(".,;:!?()[]{}<>\"'").lower()
+        digits = "".join(_DIGIT.findall(word))
+        own = ["w" + core] if len(core) >= 5 else []
+        own += ["d" + digits[-SAME_DIGITS:]] if len(digits) >= SAME_DIGITS else []
+        name = core.partition("@")[0]
+        keys.append(own + (["e" + name] if "@" in core and len(name) >= 3 else []))
+    linked = {b for _, b in chain}
+    start = 0
+    for i in range(1, len(words) + 1):
+        if i < len(words) and i in linked and labels[i] == labels[i - 1]:
+            continue
+        if 2 <= i - start <= NUMBER_WORDS:
+            digits = "".join(_DIGIT.findall(text[words[start][0] : words[i - 1][1]]))
+            if len(digits) >= SAME_DIGITS:
+                for j in range(start, i):
+                    key = "d" + digits[-SAME_DIGITS:]
+                    if key not in keys[j]:
+                        keys[j].append(key)
+                        parts[j] = key
+        start = i
+    return keys, parts
 
 
 def _shape(word: str) -> str:
     out: list[str] = []
-    for c in word[:64]:
+    for c in word:
         c = "9" if c.isdigit() else "a" if c.isalpha() else c
         if not (out and out[-1] == c and c in "9a"):
             out.append(c)
@@ -169,22 +274,33 @@ def _fits(word: str) -> str:
     return ""
 
 
+def _neighbours(text: str, start: int, end: int) -> tuple[str, str]:
+    """The words before and behind a word."""
+    a = start
+    while a and text[a - 1].isspace():
+        a -= 1
+    b = a
+    while b and not text[b - 1].isspace():
+        b -= 1
+    behind = _BEHIND.match(text, end)
+    return text[b:a], behind.group(1)
+
+
 def _features(text: str, start: int, end: int) -> list[str]:
     word = text[start:end]
-    before = text[max(0, start - 24) : start].split()
-    behind = text[end : end + 24].split()
+    before, behind = _neighbours(text, start, end)
     digits = len(_DIGIT.findall(word))
     return [
         "bias",
-        "shape=" + _shape(word)[:24],
+        "shape=" + _shape(word),
         f"first={'9' if word[0].isdigit() else word[0]}",
         f"digits={min(digits, 20)}",
         f"length={min(len(word) // 4, 8)}",
         f"at={'@' in word}",
         f"dots={min(word.count('.'), 4)}",
         f"fits={_fits(word)}",
-        f"before={_shape(before[-1])[:12] if before else ''}",
-        f"behind={_shape(behind[0])[:12] if behind else ''}",
+        f"before={_shape(before)}",
+        f"behind={_shape(behind)}",
     ]
 
 
@@ -196,27 +312,28 @@ class Field:
 
     @classmethod
     def trained(cls, texts: Iterable[str]) -> Field | None:
-        """Trained piece by piece on words labelled by the patterns.
+        """All potentials together, by pseudo-likelihood on words labelled by the patterns.
 
-        Word potentials are a multinomial logistic regression; those of the two kinds
-        of edges are how much more often two labels meet than by chance.
+        Each word's label is learned from its features and its neighbours' labels.
+        Words with a look-alike are learned a second time with their features hidden,
+        so that edges must tell the label.  A word that only resembles a match has no
+        known label and teaches nothing.
         """
-        docs = [Sequence(t, base_spans(t)) for t in texts]
-        rows = [(f, y) for d in docs for f, y in zip(d.features, d.labels)]
+        docs = [d for t in texts for d in stretches(t, base_spans(t))]
+        index: dict[str, int] = {}
+        rows = [[index.setdefault(f, len(index)) for f in fs] for d in docs for fs in d.features]
         if not rows:
             return None
-        counts: dict[str, int] = {}
-        for features, _ in rows:
-            for f in features:
-                counts[f] = counts.get(f, 0) + 1
-        names = sorted(counts, key=lambda f: (-counts[f], f))[:FEATURES]
-        index = {f: i for i, f in enumerate(names)}
-        labels = np.array([y for _, y in rows])
-        weights = _logistic([[index[f] for f in x if f in index] for x, _ in rows], labels, len(index))
-        share = np.bincount(labels, minlength=LABELS) + 1.0
-        chain = _meeting([(d.labels[a], d.labels[b]) for d in docs for a, b in d.chain], share)
-        skip = _meeting([(d.labels[a], d.labels[b]) for d in docs for a, b in d.skip], share)
-        return cls(index, weights, chain, (skip + skip.T) / 2)
+        labels = np.array([y for d in docs for y in d.labels])
+        taught = np.array([bool(y) or matched.isdisjoint(keys) for d in docs for matched in [set(d.matched_keys())] for y, keys in zip(d.labels, d.keys)])
+        offsets = np.cumsum([0, *(len(d.words) for d in docs)])
+        edges = []
+        for name in ("chain", "skip"):
+            found = [(at + a, at + b) for d, at in zip(docs, offsets) for a, b in getattr(d, name)]
+            pairs = np.array(found, np.int64).reshape(-1, 2)
+            edges.append(pairs[taught[pairs].all(axis=1)])
+        weights, chain, skip = _fit(np.array(rows, np.int32), labels, taught, edges, len(index))
+        return cls(index, weights, chain, skip)
 
     def beliefs(self, docs: list[Sequence]) -> list[np.ndarray]:
         """Label beliefs of every word by loopy sum-product message passing.
@@ -234,6 +351,8 @@ class Field:
                     unary[at + i, label] = 0.0
                 else:
                     unary[at + i] = self.weights[[self.index[f] for f in features if f in self.index]].sum(axis=0)
+            for i, label in d.far:
+                unary[at + i] += self.skip[label]
         edges = [(at + a, at + b, k) for d, at in zip(docs, offsets) for k, es in enumerate((d.chain, d.skip)) for a, b in es]
         belief = unary
         if edges:
@@ -246,7 +365,10 @@ class Field:
                 np.add.at(belief, u, back)
                 new_there = _sums((belief[u] - back)[:, :, None] + potential, 1)
                 new_back = _sums((belief[v] - there)[:, None, :] + potential, 2)
+                change = max(np.abs(new_there - there).max(), np.abs(new_back - back).max())
                 there, back = (there + new_there) / 2, (back + new_back) / 2
+                if change < CHANGE:
+                    break
             belief = unary.copy()
             np.add.at(belief, v, there)
             np.add.at(belief, u, back)
@@ -261,38 +383,62 @@ def _sums(x: np.ndarray, axis: int) -> np.ndarray:
     return out - out.max(axis=1, keepdims=True)
 
 
-def _meeting(pairs: list[tuple[int, int]], share: np.ndarray) -> np.ndarray:
-    found = np.full((LABELS, LABELS), 0.1) + 0.9 * np.eye(LABELS)
-    for a, b in pairs:
-        found[a, b] += 1
-    chance = np.outer(share, share) / share.sum() ** 2
-    return np.clip(np.log(found / found.sum() / chance), -4, 4)
+def _fit(
+    rows: np.ndarray, labels: np.ndarray, taught: np.ndarray, edges: list[np.ndarray], n: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word, chain and skip potentials of greatest pseudo-likelihood under a Gaussian prior.
 
-
-def _logistic(rows: list[list[int]], labels: np.ndarray, n: int) -> np.ndarray:
-    x = np.zeros((len(rows), n), np.float32)
-    for i, r in enumerate(rows):
-        x[i, r] = 1
-    y = np.eye(LABELS, dtype=np.float32)[labels]
-    weights = np.zeros((n, LABELS), np.float32)
-    moved = np.zeros_like(weights)
-    for _ in range(STEPS):
-        scores = x @ weights
+    ``rows`` are the numbers of each word's features, so memory grows with words alone.
+    Words with skip edges come a second time, with one feature that stands for hidden ones.
+    """
+    linked = np.zeros(len(rows), bool)
+    linked[edges[1]] = True
+    again = np.flatnonzero(linked & taught)
+    known = np.eye(LABELS)[labels]
+    parameters = [np.zeros((n + 1, LABELS)), PRIOR * np.eye(LABELS), PRIOR * np.eye(LABELS)]
+    centres = [p.copy() for p in parameters]
+    moments = [(np.zeros_like(p), np.zeros_like(p)) for p in parameters]
+    total = int(taught.sum()) + len(again)
+
+    def residuals(scores: np.ndarray, truth: np.ndarray) -> np.ndarray:
         scores = np.exp(scores - scores.max(axis=1, keepdims=True))
-        scores /= scores.sum(axis=1, keepdims=True)
-        gradient = x.T @ (y - scores) / len(rows) - 1e-4 * weights
-        moved = 0.9 * moved + gradient
-        weights += 0.5 * moved
-    return weights.astype(np.float64)
-
-
-def added_spans(text: str, doc: Sequence, belief: np.ndarray, base: list[Span]) -> list[Span]:
-    """Spans of neighbouring words believed to be of one kind, apart from the base spans."""
+        return truth - scores / scores.sum(axis=1, keepdims=True)
+
+    for step in range(1, STEPS + 1):
+        weights = parameters[0]
+        around = np.zeros((len(rows), LABELS))
+        for (u, v), potential in zip((e.T for e in edges), parameters[1:]):
+            np.add.at(around, v, potential[labels[u]])
+            np.add.at(around, u, potential.T[labels[v]])
+        scores = around.copy()
+        for column in rows.T:
+            scores += weights[column]
+        seen = residuals(scores, known) * taught[:, None]
+        hidden = residuals(around[again] + weights[n], known[again])
+        gradients = [np.zeros_like(p) for p in parameters]
+        for label in range(LABELS):
+            for column in rows.T:
+                gradients[0][:, label] += np.bincount(column, seen[:, label], n + 1)
+        gradients[0][n] = hidden.sum(axis=0)
+        seen[again] += hidden
+        for (u, v), gradient in zip((e.T for e in edges), gradients[1:]):
+            gradient += known[u].T @ seen[v] + seen[u].T @ known[v]
+        gradients[2] = (gradients[2] + gradients[2].T) / 2
+        for p, centre, gradient, (mean, square) in zip(parameters, centres, gradients, moments):
+            gradient = (gradient - 0.1 * (p - centre)) / total
+            mean += 0.1 * (gradient - mean)
+            square += 0.01 * (gradient**2 - square)
+            p += 0.1 * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-9)
+    return parameters[0][:n], parameters[1], parameters[2]
+
+
+def added_spans(text: str, doc: Sequence, belief: np.ndarray, out: list[Span]) -> None:
+    """Add to ``out`` spans of neighbouring words believed to be of one kind."""
     best = belief.argmax(axis=1)
     sure = belief[np.arange(len(best)), best] >= BELIEF
     chained = {b for _, b in doc.chain}
-    out: list[Span] = []
-    for i, (start, end) in enumerate(doc.words):
+    for i in range(*doc.own):
+        start, end = doc.words[i]
         label = int(best[i])
         if doc.labels[i] or label == OUTSIDE or not sure[i]:
             continue
@@ -302,12 +448,17 @@ def added_spans(text: str, doc: Sequence, belief: np.ndarray, base: list[Span])
             end -= 1
         if start == end:
             continue
-        joins = i in chained and out and out[-1][1] == label - 1 and not doc.labels[i - 1] and best[i - 1] == label and sure[i - 1]
-        if joins:
+        if i in chained and out and out[-1][1] == label - 1 and out[-1][2] > doc.words[i - 1][0]:
             out[-1] = (out[-1][0], label - 1, end)
         else:
             out.append((start, label - 1, end))
-    return [s for s in out if not any(a < s[2] and s[0] < b for a, _, b in base)]
+
+
+def _apart(found: list[Span], base: list[Span]) -> list[Span]:
+    """Those that overlap no base span."""
+    starts = [a for a, _, _ in base]
+    reach = [0, *accumulate((b for _, _, b in base), max)]
+    return [s for s in found if reach[bisect_left(starts, s[2])] <= s[0]]
 
 
 def find_spans(texts: list[str], model: Field | None) -> list[tuple[list[Span], list[Span]]]:
@@ -315,12 +466,25 @@ def find_spans(texts: list[str], model: Field | None) -> list[tuple[list[Span],
     base = [base_spans(t) for t in texts]
     if model is None:
         return [(b, b) for b in base]
-    docs = [Sequence(t, b) for t, b in zip(texts, base)]
-    out = []
-    for text, doc, belief, own in zip(texts, docs, model.beliefs(docs), base):
-        more = added_spans(text, doc, belief, own) if len(doc.words) else []
-        out.append((own, sorted(own + more)))
-    return out
+    more: list[list[Span]] = [[] for _ in texts]
+    held: list[tuple[int, Sequence]] = []
+
+    def judge() -> None:
+        for (i, doc), belief in zip(held, model.beliefs([d for _, d in held])):
+            added_spans(texts[i], doc, belief, more[i])
+        held.clear()
+
+    words = 0
+    for i, (text, own) in enumerate(zip(texts, base)):
+        for doc in stretches(text, own):
+            held.append((i, doc))
+            words += len(doc.words)
+            if words >= STRETCH:
+                judge()
+                words = 0
+    if held:
+        judge()
+    return [(b, sorted(b + _apart(m, b))) for b, m in zip(base, more)]
 
 
 SPANS = T.ArrayType(
