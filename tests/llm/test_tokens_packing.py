@@ -1,5 +1,6 @@
 import random
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
@@ -84,6 +85,19 @@ def test_forgetting_changes_nothing(byte_library, word_library, monkeypatch):
     assert [counter([t])[0] for t in ODD * 2] == _lengths(byte_library, ODD * 2)
 
 
+def test_letters_are_remembered_under_other_marks(word_library, monkeypatch):
+    """Words that differ in their marks alone share the ids of their letters, also after words were forgotten."""
+    monkeypatch.setattr(packing, "REMEMBERED", 16)
+    encode = packing.Encoder(WORDS)
+    calls, library = [], encode.library
+    model = SimpleNamespace(tokenize=lambda run: calls.append(run) or library.model.tokenize(run))
+    encode.library = SimpleNamespace(model=model, encode=library.encode)
+    texts = ["un deux trois quatre", "UN, deux! trois. quatre?", "un. Deux, trois! quatre.", "\xe9t\xe9! \xc9T\xc9"]
+    for text in texts:
+        assert np.frombuffer(encode([text])[0], "<u4").tolist() == _ids(word_library, text)
+    assert calls.count("un") == calls.count("trois") == 1
+
+
 def test_counts(docs, byte_library):
     texts = [*ODD, None, ODD[3]]
     df = docs(*enumerate(texts)).withColumnRenamed("source", "n_tokens")

@@ -25,6 +25,7 @@ LONG_WORD = 64
 # Rows handed to Spark at once, in bytes of ids.
 OUT_BYTES = 4 << 20
 
+_MARKS = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum())
 # Letters that the normalizer only lower-cases, one by one, then ASCII marks.
 _LETTERS = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-/:-@\\[-`{-~]*)")
 _MARKED = re.compile(_LETTERS.pattern.replace("+)", "*)"))
@@ -46,8 +47,13 @@ def cuts_at_white_space(spec: dict) -> bool:
     return bool(known and drops and whole)
 
 
+# Formats of short lists, by length.
+_FORMATS = [struct.Struct(f"<{n}I").pack for n in range(LONG_WORD + 1)]
+
+
 def _packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    n = len(ids)
+    return _FORMATS[n](*ids) if n <= LONG_WORD else struct.pack(f"<{n}I", *ids)
 
 
 class _Words(dict):
@@ -91,30 +97,42 @@ class Encoder:
         # A full generation becomes the older one; words met again move on.
         self.words = _Words(self._word)
         self.older: dict[bytes, bytes] = {}
-        self.runs: dict[str, bytes] = {}
+        # Letters, or marks, of a word: words with other marks behind have them in common.
+        self.runs: dict[bytes, bytes] = {}
+        self.older_runs: dict[bytes, bytes] = {}
 
     def _split(self, data: bytes) -> list[bytes]:
         lower = data.lower()
         return (data if any(x.encode() in lower for x in self.special) else lower).split()
 
-    def _run(self, run: str) -> bytes:
-        """Ids of one pre-token of letters or of ASCII marks."""
+    def _run(self, run: bytes) -> bytes:
+        """Ids of one pre-token of letters, lower-cased, or of ASCII marks."""
         found = self.runs.get(run)
         if found is None:
-            whole = run if run.isascii() else run.translate(self.letters)
-            found = self.runs[run] = _packed([t.id for t in self.library.model.tokenize(whole)])
+            found = self.older_runs.get(run)
+            if found is None:
+                whole = run.decode()
+                whole = whole if run.isascii() else whole.translate(self.letters)
+                found = _packed([t.id for t in self.library.model.tokenize(whole)])
+            self.runs[run] = found
         return found
 
     def _word(self, word: bytes) -> bytes:
         known = self.older.get(word)
         if known is not None:
             return known
-        text = word.decode()
-        simple = _LETTERS.fullmatch(text) if len(word) <= LONG_WORD else None
-        if simple and not (self.plain and any(x in text.lower() for x in self.plain)):
-            letters, marks = simple.groups()
-            return self._run(letters.lower()) + (self._run(marks) if marks else b"")
-        return _packed(self.library.encode(text, add_special_tokens=False).ids)
+        if len(word) <= LONG_WORD:
+            letters = word.rstrip(_MARKS)
+            # Bytes are letters if they are ASCII ones.
+            if letters.isalpha():
+                lower, marks = letters.lower(), word[len(letters) :]
+            elif simple := _LETTERS.fullmatch(word.decode()):
+                lower, marks = (part.encode() for part in (simple[1].lower(), simple[2]))
+            else:
+                lower = marks = b""
+            if lower and not (self.plain and any(x in word.decode().lower() for x in self.plain)):
+                return self._run(lower) + (self._run(marks) if marks else b"")
+        return _packed(self.library.encode(word.decode(), add_special_tokens=False).ids)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
@@ -122,7 +140,8 @@ class Encoder:
             return [_packed(e.ids) for e in encoded]
         if len(self.words) > REMEMBERED:
             self.older, self.words = self.words, _Words(self._word)
-            self.runs.clear()
+        if len(self.runs) > REMEMBERED // 4:
+            self.older_runs, self.runs = self.runs, {}
         of = self.words.__getitem__
         return [b"".join(map(of, self._split(t.encode()))) for t in texts]
 
@@ -142,33 +161,41 @@ class SumOfSquares:
     counts of partly filled levels becomes least; of equal ones to the fullest.
     """
 
+    # Of a level without windows.
+    NONE = 1 << 40
+
     def __init__(self, capacity: int):
         self.capacity = capacity
         self.levels = np.zeros(capacity + 1, np.int64)
         self.open: dict[int, list] = {}
+        # By room left, the fullest level first: by how much the sum grows when a level
+        # gets a window (a full one is no longer counted), and when it loses one.
+        self.gain = np.ones(capacity + 1, np.int64)
+        self.gain[0] = 0
+        self.loss = np.full(capacity + 1, self.NONE, np.int64)
+        self.loss[capacity] = 0
 
     def place(self, size: int) -> tuple[list, bool]:
         """The window's item list to append to, and whether it is full then."""
         room = self.capacity - size
-        n = self.levels[: room + 1]
-        change = 2 * self.levels[size:] + 1
-        change[-1] = 0  # a full window is no longer counted
-        change[n > 0] += 1 - 2 * n[n > 0]
-        usable = n > 0
-        usable[0] = True
-        change[~usable] = np.iinfo(np.int64).max
-        level = room - int(np.argmin(change[::-1]))
+        level = room - int(np.argmin(self.gain[: room + 1] + self.loss[size:]))
         if level:
-            self.levels[level] -= 1
             window = self.open[level].pop()
+            self._count(level, -1)
         else:
             window = []
         full = level + size == self.capacity
         if not full:
-            self.levels[level + size] += 1
             self.open.setdefault(level + size, []).append(window)
+            self._count(level + size, 1)
         return window, full
 
+    def _count(self, level: int, change: int) -> None:
+        n, at = int(self.levels[level]) + change, self.capacity - level
+        self.levels[level] = n
+        self.gain[at] = 2 * n + 1
+        self.loss[at] = 1 - 2 * n if n else self.NONE
+
     def rest(self) -> Iterator[list]:
         """The windows that are not full, the fullest first."""
         for level in sorted(self.open, reverse=True):
