@@ -7,7 +7,7 @@ import tracemalloc
 import pytest
 from pyspark.sql import functions as F
 
-from tradelake.llm import exact, lines, urls
+from tradelake.llm import common, exact, lines, simhash, urls
 
 
 def lower(text):
@@ -42,6 +42,26 @@ def test_groups_of_copies(docs):
     assert {r[2:] for r in exact.keep_one(clash).collect()} == {("_key", "_digest", "_size", "_place", "keep_id")}
 
 
+def test_rows_that_stay_are_not_shuffled(spark, docs, monkeypatch):
+    """Keys that go are marked: whole rows are joined with a broadcast bitmap before any is sent."""
+    rows = [(i, f"text {i % 90} of some words {i % 90 + 7}") for i in range(100)] + [(99, "text 9 of some words 16")] * 2
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = {}
+        for bits in (24, 1):  # one bit marks every row, and changes nothing
+            monkeypatch.setattr(common, "MARK_BITS", bits)
+            for keep_one in (exact.keep_one, simhash.keep_one):
+                kept = keep_one(docs(*rows))
+                plan = kept._jdf.queryExecution().sparkPlan().toString()
+                assert plan.count("BroadcastHashJoin") >= 2
+                found.setdefault(keep_one, []).append(sorted(map(tuple, kept.collect())))
+        for once, again in found.values():
+            assert once == again and len(once) == len({r[:2] for r in once})
+        assert [r[0] for r in found[exact.keep_one][0]] == list(range(10, 100))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_runs_are_merged_in_their_order(spark):
     """A merge exchanges stretches of runs once, sorts them, and folds along the sorted rows."""
     rng = random.Random(6)

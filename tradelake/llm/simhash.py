@@ -8,11 +8,11 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradelake.llm.common import checkpointed, field, per_text, text_column
+from tradelake.llm.common import checkpointed, field, kept_rows, per_text, text_column
 from tradelake.llm.components import components
 
 BITS = 64
@@ -294,9 +294,7 @@ def keep_one(
     key = F.concat_ws(":", F.md5(text_column(df, text_col)), df[id_col].cast("string"))
     texts = df.select(df[id_col], df[text_col], key.alias("_key"))
     groups = near_groups(texts, id_col, text_col, shingle, max_bits, keep=("_key",))
-    best = groups.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select("_key").distinct()
-    first = F.row_number().over(Window.partitionBy("_key").orderBy("_key"))
+    kept = F.col(id_col).eqNullSafe(F.col("component_id"))
     # The row goes along as one value, so that its columns may have any name.
     keyed = df.select(F.struct("*").alias("_whole"), key.alias("_key"))
-    found = keyed.join(best, "_key", "left_semi").withColumn("_place", first)
-    return found.where("_place = 1").select("_whole.*")
+    return kept_rows(keyed, groups.select("_key", kept.alias("_kept")))
