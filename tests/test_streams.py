@@ -1,5 +1,7 @@
 """Streams give what the batch gives; restarts add nothing; late data is known."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,6 +10,7 @@ from tradelake.operators import candles, silver
 from tradelake.sinks import tables
 from tradelake.sources import files
 from tradelake.streaming import jobs, metrics
+from workload import queries
 
 T0, MINUTE, HOUR = 1704067200000, 60000, 3600000
 
@@ -358,3 +361,25 @@ def test_state_holds_what_is_not_closed(spark, folder, bronze_rows):
     assert _rows(closed.unionByName(rest)) == _rows(candles.candles(bronze_rows(*rows), clock=_clock()))
     text = rest._jdf.queryExecution().executedPlan().toString()
     assert "FileScan" not in text and "BatchScan" in text
+
+
+def test_a_micro_batch_is_a_part_in_many_files(spark, folder, monkeypatch):
+    """Parts of a table of several scan tasks are written and read by as many tasks, some without rows."""
+    source = folder("sf")
+    one_each = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+    days = [1, 2, 9, 10, 17, 31]
+    rows = [(i + 1, dt.datetime(2024, 1, day), 1, "view", 1.0, "{}") for i, day in enumerate(days)]
+    spark.createDataFrame(rows, one_each).repartition(3).write.parquet(f"{source}/events.parquet")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        opened, stream_files = [], files.stream_files
+        monkeypatch.setattr(files, "stream_files", lambda *a, **kw: opened.append(kw) or stream_files(*a, **kw))
+        stream = queries._arrivals(spark, source)
+        seen = []
+        jobs.write_stream(
+            stream, lambda batch, _: seen.append(sorted(r.event_id for r in batch.collect())), folder("checkpoint")
+        ).awaitTermination()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert seen == [[1, 2], [3, 4], [5], [6]]
+    assert opened[0]["max_files_per_trigger"] > 1

@@ -630,7 +630,7 @@ def catalog_epochs(spark, sf_dir):
 @query
 def catalog_reload(spark, sf_dir):
     target = _catalog(spark, schemas.SILVER_TRADES_KEYED, "silver")
-    rows = silver.silver_trades(V.bronze(spark, sf_dir), clock=V.now(), keep=C.SOURCE_KEY)
+    rows = tables.staged(silver.silver_trades(V.bronze(spark, sf_dir), clock=V.now(), keep=C.SOURCE_KEY))
     for part in (scans.scan_date_range(rows, SAMPLE_START, SAMPLE_END), rows, rows):
         tables.insert_new(part, target)
     return tables.read_table(spark, target)
@@ -703,11 +703,20 @@ def catalog_upsert_versions(spark, sf_dir):
 
 
 def _arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events replayed in parts, some late; every part is a micro-batch."""
+    """Events replayed in parts, some late; every part is a micro-batch.
+
+    Parts have equally many files, which their tasks share; empty files fill up a part with fewer.
+    """
     path = scratch_dir(spark, "arrivals")
+    events = V.table(spark, sf_dir, "events")
+    wide = events.rdd.getNumPartitions()
+    n = max(wide, spark.sparkContext.defaultParallelism) if wide > 1 else 1
     for part in range(V.PARTS):
-        V.arriving(spark, sf_dir, part).coalesce(1).write.mode("append").parquet(path)
-    return files.stream_files(spark, path, V.table(spark, sf_dir, "events").schema, max_files_per_trigger=1)
+        V.arriving(spark, sf_dir, part).repartition(n).write.mode("append").parquet(path)
+        written = len(spark.read.schema(events.schema).parquet(path).inputFiles())
+        for _ in range((part + 1) * n - written):
+            events.limit(0).coalesce(1).write.mode("append").parquet(path)
+    return files.stream_files(spark, path, events.schema, max_files_per_trigger=n)
 
 
 def _resumed(stream: DataFrame, spec: TableSpec) -> tuple[DataFrame, str]:
