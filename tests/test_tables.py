@@ -4,6 +4,7 @@ import dataclasses
 import glob
 
 import pytest
+from pyspark.sql import functions as F
 
 from tradelake import constants as C
 from tradelake import schemas
@@ -264,3 +265,16 @@ def test_insert_new_joins_on_hashed_keys(spark, bronze_table, bronze_rows, monke
     stored_scan = [line for line in text.splitlines() if "FileScan" in line][-1]
     assert "price" not in stored_scan and "kafka_offset" in stored_scan
     assert [k for k, _ in _keys(seen[0])] == [5]
+
+
+def test_row_keys_are_compared_as_columns(spark):
+    """Keys are no text, and nulls in them are equal."""
+    rows = spark.createDataFrame([(1, None), (None, 2), (None, None)], "a long, b long").withColumn("k", tables.row_key(("a", "b")))
+    assert [f.name for f in rows.schema["k"].dataType.fields] == ["a", "b"]
+    other = rows.select("k").withColumn("n", F.lit(1))
+    assert rows.join(other, "k").count() == 3 and rows.join(other, "k", "left_anti").count() == 0
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert rows.join(other, "k").count() == 3 and rows.groupBy("k").count().count() == 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
