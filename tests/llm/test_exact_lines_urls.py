@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tradelake.llm import common, exact, lines, simhash, urls
+from tradelake.llm.common import checkpointed
 
 
 def lower(text):
@@ -150,6 +151,30 @@ def test_lines_against_plain_code(docs):
     assert lines.dedup_lines(df.limit(0)).count() == 0
 
 
+def test_texts_are_shuffled_once(spark, docs, monkeypatch):
+    """Also where no join is small enough to be broadcast."""
+    rows = [(i, f"own {i}\nshared a\nshared b\nend {i}") for i in range(40)]
+    plans = []
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return checkpointed(df)
+
+    monkeypatch.setattr(lines, "checkpointed", noted)
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        found = lines.dedup_lines(docs(*rows))
+        plans.append(found._jdf.queryExecution().executedPlan().toString())
+        got = {r.doc_id: tuple(r)[1:] for r in found.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert got == plain_dedup(rows) and sum(v[1] for v in got.values()) == 78
+    shuffled = r"Exchange hashpartitioning\(_key#[^\n]*\n[^\n]*Project \[concat_ws[^\n]*text#"
+    assert len(re.findall(shuffled, "\n".join(plans))) == 1
+
+
 def test_repeated_and_nameless_rows_of_lines(docs):
     text = "\n".join(f"l{i}" for i in range(30))
     rows = [(4, text), (4, text), (9, "x\n" + text), (None, "y\n" + text), (None, None)]

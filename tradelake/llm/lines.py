@@ -69,8 +69,8 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
 
     Only hashes are shuffled to find what is repeated, summed up in each task
     first, so that lines which a third of all documents have are no large group.
-    Texts are shuffled twice by document: once to compare bytes of repeated
-    lines, once to remove them.
+    Texts are shuffled once by document, to compare bytes of repeated lines and
+    to remove them.
 
     Null text counts as empty: one empty line.  Rows that repeat identifier and
     text count as one document and give equal results.  A null identifier is
@@ -82,20 +82,24 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     rolled = checkpointed(_rolled(df, text_col, [key], min_lines))
     again = checkpointed(rolled.groupBy("_hash").count().where("count > 1").drop("count"))
     # Rows that repeat identifier and text have the same places.
-    suspects = rolled.join(again, "_hash", "left_semi").groupBy("_key").agg(F.collect_set("_start").alias("_starts"))
+    suspects = checkpointed(
+        rolled.join(again, "_hash", "left_semi").groupBy("_key").agg(F.collect_set("_start").alias("_starts"))
+    )
 
-    # The bytes of the suspects; one row per different lines and task goes on.
-    texts = df.select(key, identifier, F.split(text_column(df, text_col), "\n", -1).alias("_lines"))
+    # The bytes of the suspects; one row per different lines and task goes on.  This and the rest is one
+    # plan without rows written between, so that all its joins read the same shuffle of the texts.
+    texts = df.select(key, identifier, text_column(df, text_col).alias("_text"))
     compared = (
         texts.join(suspects, "_key")
+        .select("_key", "_id", F.split("_text", "\n", -1).alias("_lines"), "_starts")
         .select("_key", "_id", "_lines", F.explode("_starts").alias("_start"))
         .select(
             F.struct("_id", "_key", "_start").alias("_place"),
             F.array_join(F.slice("_lines", F.col("_start") + 1, min_lines), "\n").alias("_bytes"),
         )
     )
-    compared = checkpointed(compared.withColumn("_digest", F.sha2("_bytes", 256)))
-    same = checkpointed(
+    compared = compared.withColumn("_digest", F.sha2("_bytes", 256))
+    same = (
         compared.groupBy("_digest", "_bytes")
         .agg(F.min("_place").alias("_first"), F.count("*").alias("_count"))
         .where("_count > 1")
@@ -110,8 +114,11 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     removed = (
         placed.select("_key", _held(lines).alias("_at")).where(F.size("_at") > 0).select("_key", _runs("_at").alias("_gone"))
     )
-    whole = df.select(key, identifier, F.split(text_column(df, text_col), "\n", -1).alias("_lines"))
-    joined = whole.join(removed, "_key", "left").withColumn("_m", F.coalesce(F.size("_gone"), F.lit(0)))
+    joined = (
+        texts.join(removed, "_key", "left")
+        .withColumn("_lines", F.split("_text", "\n", -1))
+        .withColumn("_m", F.coalesce(F.size("_gone"), F.lit(0)))
+    )
     return _without(joined, id_col)
 
 
