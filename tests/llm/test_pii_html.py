@@ -6,6 +6,7 @@ import re
 import time
 
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -323,6 +324,63 @@ def test_copies_of_a_page_share_no_boilerplate(spark):
         assert {r.text for r in wrappers.extract_text(df).collect()} == {"Title Text rights"}
 
 
+def test_the_wrapper_says_where_main_text_stands(spark, sf_dir, read):
+    rows = read("SELECT url, html FROM '{d}/pages.parquet' WHERE html IS NOT NULL")
+    df = _pages(spark, rows)
+    made = wrappers.infer_wrappers(df).cache()
+    got = {r.page_id: r.text for r in wrappers.extract_text(df, made).collect()}
+    assert got == {i: plain_article(page) for i, (_, page) in enumerate(rows)} and all(got.values())
+    # The same pages by wrappers that know nothing, and without wrappers.
+    empty = wrappers.Wrapper.of([], []).dump()
+    emptied = made.select("host", F.lit(empty).alias("wrapper"))
+    assert {r.text for r in wrappers.extract_text(df, emptied).collect()} == {""}
+    assert {r.text for r in wrappers.extract_text(df, made.where("host = 'none'")).collect()} == {None}
+    # Of a place that the wrapper does not have, there is no text.
+    old = wrappers.infer([("http://g.test/", "<article><p>a</p></article>")])["g.test"].dump()
+    assert wrappers.extract("<article>b<p>c</p><section>new</section></article>", old) == "b c"
+
+
+def plain_main(page, inside):
+    """Texts of a page by the elements open at each, counted anew for every token."""
+    open_, kept = [], []
+    for kind, text in tokens(page):
+        if kind != "#":
+            names = [k.split(".")[0] for k in open_]
+            if kind[0] == "/":
+                if kind[1:] in names:
+                    del open_[len(names) - 1 - names[::-1].index(kind[1:]) :]
+            elif kind.split(".")[0] not in {*wrappers.VOID, *wrappers.LOOSE} or wrappers._opened(kind)[1]:
+                open_.append(kind)
+        states = [wrappers._opened(k) for k in open_]
+        if not any(n for _, n, _ in states) and (not inside or any(m for _, _, m in states)):
+            kept.append((kind, text))
+    return blocks(kept)
+
+
+def _odd_page(rng, depth=0):
+    out = []
+    for _ in range(rng.randint(1, 4)):
+        if depth == 4 or rng.random() < 0.5:
+            out.append(rng.choice(["alpha", "beta", "<br>", "<p>x</p>", "<p>y", "</div>", "</nav>", "</article>"]))
+        else:
+            tag = rng.choice(["div", "div class=ad", "div class='a b'", "div class=wide-story", "section", "nav", "ul", "code", "b", "main", "article"])
+            out.append(f"<{tag}>{_odd_page(rng, depth + 1)}" + f"</{tag.split()[0]}>" * (rng.random() < 0.85))
+    return "".join(out)
+
+
+def test_places_of_odd_pages_of_one_host():
+    rng = random.Random(7)
+    for _ in range(200):
+        pages = [f"<p>own {i}</p>" * (i == 2) + _odd_page(rng) for i in range(4)]
+        single = [wrappers.infer([("http://h.test/", p)])["h.test"] for p in pages]
+        for p, w in zip(pages, single):
+            assert wrappers.extract(p, w.dump()) == plain_main(p, wrappers.has_main(k for k, _ in tokens(p)))
+        merged = functools.reduce(wrappers.Wrapper.merged, single)
+        for p in pages:
+            if wrappers.has_main(k for k, _ in tokens(p)):
+                assert wrappers.extract(p, wrappers.Wrapper.load(merged.dump()).dump()) == plain_main(p, True)
+
+
 @pytest.mark.parametrize(
     "page, kinds",
     [
